@@ -1,0 +1,30 @@
+"""Join helpers: broadcast only behind a size check, else a shuffle join that AQE
+may still turn into a broadcast once it has measured the side at run time."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side must fit in every executor's memory; this bound is in rows
+# (the small sides here are narrow: a few strings and decimals per row).
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads no more than
+    ``max_rows + 1`` rows (the limit stops the scan early); only a count reaches the
+    driver."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only when the row count is proven small; otherwise return the
+    side unchanged so the planner keeps a shuffle join (and AQE decides at run time)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a side whose size is bounded by construction (a fixed seed, a
+    calendar of observed dates); the caller states the bound where it calls this."""
+    return F.broadcast(df)
