@@ -41,29 +41,37 @@ PRODUCT_FORMAT_STRIP = r"[\d,\.\s'/]"
 # ---------------------------------------------------------------------------------
 
 
-def _case(key: Column, pairs, default: Column) -> Column:
-    expr = None
-    for sym, code in pairs:
-        value = F.lit(code).cast("string")
-        expr = F.when(key == F.lit(sym), value) if expr is None else expr.when(key == F.lit(sym), value)
-    return expr.otherwise(default)
+def _lookup(key: Column, pairs) -> Column:
+    """Literal-map lookup: one reference to ``key`` (a CASE would repeat it per arm),
+    null for a missing or null key."""
+    kv = []
+    for k, v in pairs:
+        kv += [F.lit(k), F.lit(v).cast("string")]
+    return F.try_element_at(F.create_map(*kv), key)
 
 
 def cart_currency_from_symbol(symbol) -> Column:
     """ISO code for a cart currency symbol (trimmed), null when unknown."""
-    return _case(unicode_trim(_col(symbol)), CART_SYMBOL_TO_CODE, F.lit(None).cast("string"))
+    return _lookup(unicode_trim(_col(symbol)), CART_SYMBOL_TO_CODE)
 
 
 def product_raw_symbol(min_price_format) -> Column:
     return unicode_trim(F.upper(F.regexp_replace(_col(min_price_format), PRODUCT_FORMAT_STRIP, "")))
 
 
+# The first map's null arms, settled by the fallback rule (a fallback arm for a symbol
+# the first map sends to UNKNOWN can never fire).
+_NULL_ARMS = {k for k, v in PRODUCT_SYMBOL_TO_CODE if v is None}
+
+
+def product_currency_of_symbol(sym) -> Column:
+    """ISO code for an already extracted product symbol (see ``product_raw_symbol``)."""
+    sym = _col(sym)
+    mapped = [(k, v) for k, v in PRODUCT_SYMBOL_TO_CODE if v is not None]
+    settled = [(k, v) for k, v in PRODUCT_SYMBOL_FALLBACK if k in _NULL_ARMS]
+    return F.coalesce(_lookup(sym, mapped), _lookup(sym, settled), F.lit(PRODUCT_UNKNOWN))
+
+
 def product_currency(min_price_format) -> Column:
     """ISO code for a product from its formatted minimum price; UNKNOWN when no rule fits."""
-    sym = product_raw_symbol(min_price_format)
-    mapped = _case(sym, PRODUCT_SYMBOL_TO_CODE, F.lit(PRODUCT_UNKNOWN))
-    fallback = None
-    for s, code in PRODUCT_SYMBOL_FALLBACK:
-        cond = mapped.isNull() & (sym == F.lit(s))
-        fallback = F.when(cond, F.lit(code)) if fallback is None else fallback.when(cond, F.lit(code))
-    return fallback.otherwise(mapped)
+    return product_currency_of_symbol(product_raw_symbol(min_price_format))

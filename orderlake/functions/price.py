@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.text import _col, unicode_trim
@@ -27,6 +27,33 @@ def safe_int(c) -> Column:
     return F.when(s.rlike(_ASCII_INT), s.try_cast("bigint"))
 
 
+def normalize_price_text(t) -> Column:
+    """Rules 1-4 of ``parse_price`` on already trimmed text."""
+    t = _col(t)
+    return (
+        F.when(t.contains("٫"), F.regexp_replace(t, "٫", "."))
+        .when(t.rlike(r"\d'\d"), F.regexp_replace(t, "'", ""))
+        .when(t.rlike(r"\d,\d{2}$"), F.regexp_replace(F.regexp_replace(t, r"\.", ""), ",", "."))
+        .otherwise(F.regexp_replace(t, ",", ""))
+    )
+
+
+def with_parsed_price(df: DataFrame, raw: str = "item_price_raw", out: str = "item_price",
+                      status: str | None = "item_price_status") -> DataFrame:
+    """``parse_price`` and ``item_price_status`` as staged projections: the trimmed and
+    the normalised text are columns computed once per row (Catalyst keeps a projection
+    whose costly result is used several times instead of inlining it)."""
+    df = df.withColumn("__price_t", unicode_trim(raw))
+    df = df.withColumn("__price_n", normalize_price_text("__price_t"))
+    n = F.col("__price_n")
+    df = df.withColumn("__price_v", F.when(n.rlike(_ASCII_NUMBER), n.try_cast(PRICE_TYPE)))
+    v = F.col("__price_v")
+    cols = {out: F.when(v != 0, v)}
+    if status:
+        cols[status] = F.when(F.col("__price_t").isin(*ZERO_PRICE_TEXTS), F.lit("zero_price")).otherwise(F.lit("valid"))
+    return df.withColumns(cols).drop("__price_t", "__price_n", "__price_v")
+
+
 def parse_price(raw) -> Column:
     """Raw price text to a decimal, first matching rule wins:
 
@@ -37,13 +64,7 @@ def parse_price(raw) -> Column:
     4. otherwise commas are dropped (thousands grouping).
     Then a safe cast; zero becomes null.
     """
-    t = unicode_trim(_col(raw))
-    normalized = (
-        F.when(t.contains("٫"), F.regexp_replace(t, "٫", "."))
-        .when(t.rlike(r"\d'\d"), F.regexp_replace(t, "'", ""))
-        .when(t.rlike(r"\d,\d{2}$"), F.regexp_replace(F.regexp_replace(t, r"\.", ""), ",", "."))
-        .otherwise(F.regexp_replace(t, ",", ""))
-    )
+    normalized = normalize_price_text(unicode_trim(_col(raw)))
     value = safe_decimal(normalized)
     return F.nullif(value, F.lit(0).cast(PRICE_TYPE))
 

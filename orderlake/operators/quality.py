@@ -1,6 +1,18 @@
-"""Data-quality checks (Q1-Q4). Each returns the failing rows, so a check passes when
-its result is empty; ``run_checks`` gathers the failure counts of many checks in one
-small table (one row per check, computed on the executors)."""
+"""Data-quality checks (Q1-Q4).
+
+Row-level forms (``check_*``) return the failing rows, so a check passes when its
+result is empty. Summary forms (``*_summary``) return one row per check,
+``(check_name, failures)``, computed on the executors:
+
+* not-null and accepted-values checks of one table share a single aggregation pass
+  (one ``count_if`` per column), however many columns are checked;
+* a uniqueness check is a grouped count with map-side partial aggregation, so a hot
+  value is counted per map task before the shuffle;
+* a relationship check is a left anti join against the distinct parent keys.
+
+Run the checks on built tables (written, or checkpointed into the shared checkpoint
+folder) so that every check reads the table instead of re-deriving it.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +23,7 @@ from pyspark.sql import functions as F
 
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
-    """Values of ``column`` that occur more than once (nulls ignored). A grouped count
-    with partial aggregation, so a hot value is counted map-side first."""
+    """Values of ``column`` that occur more than once (nulls ignored)."""
     return (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
               .filter(F.col("n_records") > 1))
 
@@ -22,19 +33,52 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Rows whose value is outside ``values`` (nulls are not checked, as not_null does that)."""
+    """Rows whose value is outside ``values`` (nulls are left to not_null)."""
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
 
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row (left anti join)."""
+    """Child rows whose non-null key has no parent row."""
     p = parent.select(F.col(field).alias("__parent_key")).distinct()
     c = child.filter(F.col(column).isNotNull())
     return c.join(p, c[column] == p["__parent_key"], "left_anti")
 
 
+def _count_rows(name: str, df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(F.lit(name).alias("check_name"),
+                                                                               "failures")
+
+
+def _unpivot_counts(counts: DataFrame, names: dict[str, str]) -> DataFrame:
+    return counts.unpivot([], list(names), "__col", "failures").select(
+        F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("__col")).alias("check_name"),
+        F.col("failures").cast("bigint").alias("failures"))
+
+
+def not_null_summary(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """All not-null checks of one table in one pass."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__nn_{i}") for i, c in enumerate(columns)])
+    return _unpivot_counts(counts, {f"__nn_{i}": f"{table}.{c}" for i, c in enumerate(columns)})
+
+
+def accepted_values_summary(df: DataFrame, table: str, rules: dict[str, list]) -> DataFrame:
+    """All accepted-values checks of one table in one pass."""
+    cols = list(rules)
+    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*rules[c])).alias(f"__av_{i}")
+                      for i, c in enumerate(cols)])
+    return _unpivot_counts(counts, {f"__av_{i}": f"{table}.{c}" for i, c in enumerate(cols)})
+
+
+def unique_summary(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_count_rows(f"{table}.{c}", check_unique(df, c)) for c in columns])
+
+
+def relationships_summary(child: DataFrame, table: str, rules: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        _count_rows(f"{table}.{c}", check_relationships(child, c, parent, field)) for c, (parent, field) in rules.items()
+    ])
+
+
 def failures_summary(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: (check_name, failures)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
-             for name, df in checks.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """One row per named row-level check: (check_name, failures)."""
+    return reduce(DataFrame.unionByName, [_count_rows(name, df) for name, df in checks.items()])

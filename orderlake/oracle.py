@@ -130,14 +130,14 @@ _j AS (
   SELECT l.l_orderkey, l.l_partkey, l.l_linenumber AS ln, l.l_quantity, l.l_extendedprice, l.l_returnflag,
          o.o_custkey AS ck, o.o_orderstatus, o.o_orderdate,
          CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) AS cents,
-         ((o.o_custkey % 1000003) * 2654435761) % 4294967296 AS ipl
+         ((o.o_custkey % 1000003) * 2654435761) & 4294967295 AS ipl
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 _ev AS (
   SELECT
     CASE WHEN o_orderstatus = 'P' THEN 'add_to_cart_action' ELSE 'checkout_success' END AS collection,
     CASE WHEN ck % 50 = 49 THEN 'not-an-ip'
-         ELSE concat_ws('.', ipl // 16777216, (ipl // 65536) % 256, (ipl // 256) % 256, ipl % 256) END AS ip,
+         ELSE concat_ws('.', ipl >> 24, (ipl >> 16) & 255, (ipl >> 8) & 255, ipl & 255) END AS ip,
     'agent-' || CAST(ck % 3 AS VARCHAR) AS user_agent,
     {pick('ck % 3', ['1920x1080', '1366x768', '390x844'])} AS resolution,
     CASE WHEN ck % 7 = 0 THEN NULL WHEN ck % 7 = 1 THEN '  ' ELSE 'u' || CAST(ck AS VARCHAR) END AS user_id_db,

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.currency import cart_currency_from_symbol, product_currency, product_raw_symbol
+from orderlake.functions.currency import cart_currency_from_symbol, product_currency_of_symbol, product_raw_symbol
 from orderlake.functions.dates import parse_local_date
-from orderlake.functions.price import item_price_status, parse_price, price_priority, safe_decimal, safe_int
+from orderlake.functions.price import price_priority, safe_decimal, safe_int, with_parsed_price
 from orderlake.functions.text import nullif_blank, url_domain
 from orderlake.operators.currency import resolve_currency, to_usd
 from orderlake.operators.dedup import keep_first
@@ -41,11 +41,8 @@ def product_rename(product_info: DataFrame) -> DataFrame:
 def stg_dim_product(product_info: DataFrame) -> DataFrame:
     """M2: one row per product id (W1), currency from the formatted price."""
     dedup = keep_first(product_rename(product_info), ["product_id"])
-    return dedup.select(
-        "*",
-        product_raw_symbol("min_price_format").alias("raw_symbol"),
-        product_currency("min_price_format").alias("currency_code"),
-    )
+    with_sym = dedup.withColumn("raw_symbol", product_raw_symbol("min_price_format"))
+    return with_sym.withColumn("currency_code", product_currency_of_symbol("raw_symbol"))
 
 
 def cart_lines(raw_events: DataFrame, strict_dates: bool = True) -> DataFrame:
@@ -78,15 +75,13 @@ def cart_lines(raw_events: DataFrame, strict_dates: bool = True) -> DataFrame:
 def dedup_order_items(lines: DataFrame) -> DataFrame:
     """One line per (order, product), a usable price preferred; remaining ties are
     broken by every other column."""
-    return keep_first(lines, ["order_id", "product_id"], order=[price_priority("item_price_raw").asc()])
+    return keep_first(lines, ["order_id", "product_id"], order=[price_priority("item_price_raw").asc()],
+                      tie_breakers=[c for c in lines.columns if c not in ("order_id", "product_id")])
 
 
 def clean_prices(lines: DataFrame) -> DataFrame:
     """C1 + C5."""
-    return lines.withColumns({
-        "item_price": parse_price("item_price_raw"),
-        "item_price_status": item_price_status("item_price_raw"),
-    })
+    return with_parsed_price(lines, "item_price_raw", "item_price", "item_price_status")
 
 
 def stg_fact_sales_order(raw_events: DataFrame, rates: DataFrame, strict_dates: bool = True) -> DataFrame:

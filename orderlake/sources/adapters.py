@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.schemas import CART_ITEM, PRODUCT_FIELDS
+from orderlake.schemas import CART_ITEM, OPTION, PRODUCT_FIELDS
 from orderlake.sources.seed import DEFAULT_SHOP_HOST
 
 
@@ -71,53 +71,68 @@ def shop_urls(host: str) -> list:
 
 def ip_text(ipl: Column) -> Column:
     """Dotted IPv4 text of a 32-bit value."""
-    a = _div(ipl, 16777216)
-    b = _div(ipl, 65536) % 256
-    c = _div(ipl, 256) % 256
-    d = ipl % 256
+    a = F.shiftright(ipl, 24)
+    b = F.shiftright(ipl, 16).bitwiseAND(255)
+    c = F.shiftright(ipl, 8).bitwiseAND(255)
+    d = ipl.bitwiseAND(255)
     return F.concat_ws(".", a.cast("string"), b.cast("string"), c.cast("string"), d.cast("string"))
 
 
 def customer_ip_long(custkey: Column) -> Column:
     """A well-spread 32-bit value per customer (multiplicative hashing, no overflow)."""
-    return ((custkey % 1000003) * 2654435761) % 4294967296
+    return ((custkey % 1000003) * 2654435761).bitwiseAND(4294967295)
 
 
 def checkout_events(lineitem: DataFrame, orders: DataFrame, shop_host: str = DEFAULT_SHOP_HOST) -> DataFrame:
     l = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
-
-    ck = F.col("o_custkey")
-    ln = F.col("l_linenumber")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    p = price_texts(cents)
-    price = (F.when(ln % 5 == 0, p["plain"]).when(ln % 5 == 1, p["eu"]).when(ln % 5 == 2, p["swiss"])
-             .when(ln % 5 == 3, p["us"]).otherwise(p["arabic_sep"]))
-    product_id = F.when(F.col("l_partkey") % 97 == 0, F.concat(F.lit("P-"), F.col("l_partkey").cast("string"))) \
-        .otherwise(F.col("l_partkey").cast("string"))
-    currency = _pick(ck % 8, CART_SYMBOLS)
-    empty_opt = F.array().cast("array<struct<option_label:string,value_label:string>>")
+    # Both sides grow with the data: a sort-merge join on the order key, never a
+    # broadcast of ``orders``. The projections below then run in the post-shuffle
+    # tasks, spread over the whole cluster.
+    j = l.join(o.hint("merge"), l.l_orderkey == o.o_orderkey, "inner")
+
+    # Staged projections: intermediate values are computed once per row and keep
+    # the generated code small.
+    ck, ln = F.col("o_custkey"), F.col("l_linenumber")
+    j = j.select(
+        "l_orderkey", "l_partkey", "l_returnflag", "o_orderstatus", ck.alias("ck"), ln.alias("ln"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+        (F.unix_timestamp(F.col("o_orderdate")) + F.col("o_orderkey") % 86400).alias("secs"),
+        customer_ip_long(ck).alias("ipl"),
+        F.col("l_quantity").cast("int").alias("amount"),
+        F.when(F.col("l_partkey") % 97 == 0, F.concat(F.lit("P-"), F.col("l_partkey").cast("string")))
+         .otherwise(F.col("l_partkey").cast("string")).alias("item_pid"),
+        _pick(ck % 8, CART_SYMBOLS).alias("currency"),
+    )
+    j = j.select("*", _div(F.col("cents"), 100).alias("whole"),
+                 F.lpad((F.col("cents") % 100).cast("string"), 2, "0").alias("frac"))
+    j = j.select("*", F.format_number(F.col("whole"), 0).alias("grouped"))
+    whole_s, frac, grouped = F.col("whole").cast("string"), F.col("frac"), F.col("grouped")
+    ln = F.col("ln")
+    price = (F.when(ln % 5 == 0, F.concat(whole_s, F.lit("."), frac))                          # 1234.56
+             .when(ln % 5 == 1, F.concat(F.translate(grouped, ",", "."), F.lit(","), frac))    # 1.234,56
+             .when(ln % 5 == 2, F.concat(F.translate(grouped, ",", "'"), F.lit("."), frac))    # 1'234.56
+             .when(ln % 5 == 3, F.concat(grouped, F.lit("."), frac))                           # 1,234.56
+             .otherwise(F.concat(whole_s, F.lit("٫"), frac)))                                  # 1234٫56
+    empty_opt = F.array().cast(T.ArrayType(OPTION))
     option = F.when(ln % 2 == 0, F.array(F.struct(F.lit("alloy").alias("option_label"),
                                                    F.col("l_returnflag").alias("value_label")))).otherwise(empty_opt)
-    amount = F.col("l_quantity").cast("int")
-    item = F.struct(product_id.alias("product_id"), amount.alias("amount"), price.alias("price"),
-                    currency.alias("currency"), option.alias("option"))
-    zero = F.struct(product_id.alias("product_id"), amount.alias("amount"),
+    item = F.struct(F.col("item_pid").alias("product_id"), F.col("amount"), price.alias("price"),
+                    F.col("currency"), option.alias("option"))
+    zero = F.struct(F.col("item_pid").alias("product_id"), F.col("amount"),
                     _pick(F.col("l_orderkey") % 3, ZERO_PRICE_SPELLINGS).alias("price"),
-                    currency.alias("currency"), empty_opt.alias("option"))
+                    F.col("currency"), empty_opt.alias("option"))
     cart = (F.when(ln == 7, F.array().cast(T.ArrayType(CART_ITEM)))
             .when(ln % 4 == 0, F.array(zero, item)).otherwise(F.array(item)))
 
-    secs = F.unix_timestamp(F.col("o_orderdate")) + F.col("o_orderkey") % 86400
-    ipl = customer_ip_long(ck)
-    ip = F.when(ck % 50 == 49, F.lit("not-an-ip")).otherwise(ip_text(ipl))
+    ck = F.col("ck")
     cks = ck.cast("string")
+    ip = F.when(ck % 50 == 49, F.lit("not-an-ip")).otherwise(ip_text(F.col("ipl")))
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), ln.cast("string"), F.col("l_partkey").cast("string")).alias("_id"),
         F.when(F.col("o_orderstatus") == "P", F.lit("add_to_cart_action")).otherwise(F.lit("checkout_success")).alias("collection"),
-        secs.cast("long").alias("time_stamp"),
-        F.from_unixtime(secs, "yyyy-MM-dd HH:mm:ss").alias("local_time"),
+        F.col("secs").cast("long").alias("time_stamp"),
+        F.from_unixtime(F.col("secs"), "yyyy-MM-dd HH:mm:ss").alias("local_time"),
         ip.alias("ip"),
         F.concat(F.lit("agent-"), (ck % 3).cast("string")).alias("user_agent"),
         _pick(ck % 3, ["1920x1080", "1366x768", "390x844"]).alias("resolution"),
@@ -132,7 +147,7 @@ def checkout_events(lineitem: DataFrame, orders: DataFrame, shop_host: str = DEF
         F.lit(None).cast("string").alias("referrer_url"),
         F.lit(None).cast("string").alias("product_id"),
         F.lit(None).cast("string").alias("viewing_product_id"),
-        F.lit(None).cast("array<struct<option_label:string,value_label:string>>").alias("option"),
+        F.lit(None).cast(T.ArrayType(OPTION)).alias("option"),
         cart.alias("cart_products"),
     )
 
@@ -211,11 +226,12 @@ def product_records(part: DataFrame) -> DataFrame:
     again = part.filter(F.col("p_partkey") % 10 == 0).select(
         "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", F.lit(1).alias("version"))
     u = base.unionByName(again)
+    u = u.select("*", F.round(F.col("p_retailprice") * 100).cast("long").alias("cents"))
+    u = u.select("*", _div(F.col("cents") * 9, 10).alias("min_cents"),
+                 _div(F.col("cents") * (11 + F.col("version")), 10).alias("max_cents"))
     pk = F.col("p_partkey")
-    cents = F.round(F.col("p_retailprice") * 100).cast("long")
-    min_cents = _div(cents * 9, 10)
-    max_cents = _div(cents * (11 + F.col("version")), 10)
-    pm = price_texts(min_cents)
+    cents, max_cents = F.col("cents"), F.col("max_cents")
+    pm = price_texts(F.col("min_cents"))
     fmt = None
     for i, t in enumerate(PRICE_FORMATS):
         v = _format_price(t, pm)
