@@ -584,4 +584,26 @@ def oracle_sql() -> dict[str, str]:
         f"{clean_string('min_price')} AS min_price, {clean_string('max_price')} AS max_price, "
         f"{clean_string('min_price_format')} AS min_price_format, {clean_string('qty')} AS qty, "
         f"{clean_string('category')} AS category, {clean_string('category_name')} AS category_name FROM product_info)"))
+    sq["jsonl_roundtrip"] = sq["cart_explode"]
+    sq["ingest_idempotent"] = sq["cart_explode"]
+    sq["normalize_record"] = with_(CHECKOUT_BASE, edge(
+        [("collection", "s"), ("order_id", "s"), ("user_id_db", "s"), ("email_address", "s"), ("device_id", "s"),
+         ("n_items", "i"), ("first_price", "s")],
+        f"(SELECT collection, order_id, {clean_string('user_id_db')} AS user_id_db, "
+        f"{clean_string('email_address')} AS email_address, {clean_string('device_id')} AS device_id, "
+        "CASE WHEN ln = 7 THEN 0 WHEN ln % 4 = 0 THEN 2 ELSE 1 END AS n_items, "
+        "CASE WHEN ln = 7 THEN NULL WHEN ln % 4 = 0 THEN zero_price ELSE item_price END AS first_price FROM _ev)"))
+    sq["corrupt_lines"] = with_(PRODUCT_BASE, edge(
+        [("product_id", "s"), ("name", "s"), ("status", "s")],
+        "(SELECT product_id, name, 'ok' AS status FROM product_info WHERE CAST(product_id AS BIGINT) % 11 != 0 "
+        "UNION ALL SELECT NULL, NULL, 'rejected' FROM product_info WHERE CAST(product_id AS BIGINT) % 11 = 0)"))
+    sq["table_load"] = with_(PRODUCT_BASE, edge(
+        [("product_id", "s"), ("name", "s"), ("sku", "s"), ("min_price_format", "s")],
+        "(SELECT product_id, name, sku, min_price_format FROM product_info WHERE CAST(product_id AS BIGINT) % 7 != 0)"))
+    sq["export_datasets"] = with_(CHECKOUT_BASE + IP_LOCATIONS + ",\n" + PRODUCT_BASE.lstrip(), edge(
+        [("dataset", "s"), ("records", "i")],
+        "(SELECT 'ip_locations' AS dataset, COUNT(*) AS records FROM ip_locations "
+        "UNION ALL SELECT 'product_info', COUNT(*) FROM product_info "
+        "UNION ALL SELECT 'product_info_clean', COUNT(*) FROM product_info "
+        "UNION ALL SELECT 'raw_events', COUNT(*) FROM _ev)"))
     return sq

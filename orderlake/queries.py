@@ -376,6 +376,122 @@ def product_export(i: Inputs):
     return p.select("product_id", *[clean_string(c).alias(c) for c in keep[1:]])
 
 
+# ---- files: sources, sinks, ingestion --------------------------------------------
+
+def raw_event_lines(raw: DataFrame) -> DataFrame:
+    """Raw events as JSON-lines text, with the messiness the normaliser must absorb:
+    a one-item cart is written as a bare object on every other second, the rest as
+    lists; null fields are left out of the line."""
+    base = F.to_json(F.struct(*[c for c in raw.columns if c != "cart_products"]))
+    single = (F.size("cart_products") == 1) & (F.col("time_stamp") % 2 == 0)
+    cart = F.when(single, F.to_json(F.get(F.col("cart_products"), 0))).otherwise(F.to_json("cart_products"))
+    line = F.concat(F.expr("substring({0}, 1, length({0}) - 1)".format("__base")), F.lit(',"cart_products":'),
+                    F.col("__cart"), F.lit("}"))
+    return raw.select(base.alias("__base"), cart.alias("__cart")).select(line.alias("value"))
+
+
+def _write_raw_lines(i: Inputs, name: str, files: int | None = None) -> str:
+    from orderlake.session import scratch_path
+    path = scratch_path(i.spark, name)
+    lines = raw_event_lines(i.raw_events())
+    if files:
+        lines = lines.repartition(files)
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+def jsonl_roundtrip(i: Inputs):
+    """Raw events written as JSON lines (object-or-list carts), read back
+    with the explicit schema and normalised, then unnested: equal to cart_explode."""
+    from orderlake.sources.readers import read_raw_events
+    path = _write_raw_lines(i, "raw-jsonl")
+    return S.cart_lines(read_raw_events(i.spark, path))
+
+
+def normalize_record_q(i: Inputs):
+    """C3 (M14's event export): _id dropped, carts and options normalised, text cleaned."""
+    from orderlake.plans.export import normalize_record
+    from orderlake.schemas import RAW_EVENT_TEXT
+    path = _write_raw_lines(i, "raw-normalize")
+    ev = normalize_record(i.spark.read.schema(RAW_EVENT_TEXT).json(path))
+    return ev.select("collection", "order_id", "user_id_db", "email_address", "device_id",
+                     F.size("cart_products").alias("n_items"),
+                     F.get(F.col("cart_products"), 0).getField("price").alias("first_price"))
+
+
+def product_lines(products: DataFrame) -> DataFrame:
+    """Product records as JSON-lines text with planted faults: the record of every
+    eleventh part is cut in half (malformed JSON) and every seventeenth part adds a
+    blank line."""
+    line = F.to_json(F.struct(*products.columns))
+    pk = F.col("product_id").cast("long")
+    cut = F.when(F.col("__pk") % 11 == 0, F.expr("substring(__l, 1, length(__l) div 2)")).otherwise(F.col("__l"))
+    lines = products.select(line.alias("__l"), pk.alias("__pk")).select(cut.alias("value"), "__pk")
+    blanks = lines.filter(F.col("__pk") % 17 == 0).select(F.lit("").alias("value"))
+    return lines.select("value").unionByName(blanks)
+
+
+def corrupt_lines(i: Inputs):
+    """Line-tolerant read; malformed lines are quarantined, blank lines skipped."""
+    from orderlake.schemas import PRODUCT_INFO
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import read_jsonl_tolerant
+    path = scratch_path(i.spark, "products-corrupt")
+    product_lines(i.product_info()).write.mode("overwrite").text(path)
+    good, bad = read_jsonl_tolerant(i.spark, path, PRODUCT_INFO)
+    return (good.select("product_id", "name", F.lit("ok").alias("status"))
+            .unionByName(bad.select(F.lit(None).cast("string").alias("product_id"),
+                                    F.lit(None).cast("string").alias("name"), F.lit("rejected").alias("status"))))
+
+
+def table_load(i: Inputs):
+    """Product records exported as JSON lines (every seventh part
+    without its id), loaded into a table, records without an id dropped."""
+    from orderlake.plans.export import load_products
+    from orderlake.session import scratch_path
+    from orderlake.sources.sinks import write_jsonl
+    src = scratch_path(i.spark, "products-jsonl")
+    products = i.product_info()
+    products = products.withColumn("product_id", F.when(F.col("product_id").cast("long") % 7 != 0,
+                                                        F.col("product_id")))
+    write_jsonl(products, src)
+    loaded = load_products(i.spark, src, scratch_path(i.spark, "products-table"))
+    return loaded.select("product_id", "name", "sku", "min_price_format")
+
+
+def export_datasets_q(i: Inputs):
+    """The three hand-off datasets written; the counts read back from them."""
+    from orderlake.plans.export import export_datasets
+    from orderlake.schemas import RAW_EVENT_TEXT
+    from orderlake.session import scratch_path
+    raw_path = _write_raw_lines(i, "raw-export")
+    root = scratch_path(i.spark, "export")
+    export_datasets(i.ip_locations(), i.product_info(), i.spark.read.schema(RAW_EVENT_TEXT).json(raw_path), root)
+    parts = []
+    for name in ["ip_locations", "product_info", "product_info_clean", "raw_events"]:
+        parts.append(i.spark.read.text(f"{root}/{name}").agg(F.count(F.lit(1)).alias("records"))
+                     .select(F.lit(name).alias("dataset"), "records"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ingest_idempotent(i: Inputs):
+    """Raw-event files land in a folder; the stream ingests them, runs
+    again (nothing new), and once more from a lost checkpoint (the ledger skips every
+    file). The loaded rows, unnested, equal cart_explode: each file exactly once."""
+    from orderlake.schemas import RAW_EVENT_TEXT
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import normalize_events
+    from orderlake.streaming.ingest import ingest_files, read_loaded
+    landing = _write_raw_lines(i, "landing", files=4)
+    work = scratch_path(i.spark, "ingest")
+    kw = dict(target_path=f"{work}/raw_events", ledger_path=f"{work}/load_tracking",
+              report_path=f"{work}/load_report", transform=normalize_events)
+    ingest_files(i.spark, landing, "part-*.txt", RAW_EVENT_TEXT, checkpoint_path=f"{work}/ckpt-a", **kw)
+    ingest_files(i.spark, landing, "part-*.txt", RAW_EVENT_TEXT, checkpoint_path=f"{work}/ckpt-a", **kw)
+    ingest_files(i.spark, landing, "part-*.txt", RAW_EVENT_TEXT, checkpoint_path=f"{work}/ckpt-b", **kw)
+    return S.cart_lines(read_loaded(i.spark, kw["target_path"]))
+
+
 QUERIES: dict[str, Callable] = {
     "cart_explode": cart_explode,
     "parse_price": parse_price_q,
@@ -414,6 +530,12 @@ QUERIES: dict[str, Callable] = {
     "resolve_pages": resolve_pages,
     "failed_products": failed_products,
     "product_export": product_export,
+    "jsonl_roundtrip": jsonl_roundtrip,
+    "normalize_record": normalize_record_q,
+    "corrupt_lines": corrupt_lines,
+    "table_load": table_load,
+    "export_datasets": export_datasets_q,
+    "ingest_idempotent": ingest_idempotent,
 }
 
 
