@@ -51,7 +51,17 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
       before the shuffle, and AQE's skew split on the join, keep an order holding a
       large share of all lines from landing in one task.
     """
-    f = int_fact
+    line_total = F.col("item_price_usd") * F.col("order_qty")
+    f = int_fact.withColumn("line_total_price", line_total)
+
+    def order_totals(df):
+        return df.groupBy(F.col("order_id").alias("__o_id")).agg(F.sum("line_total_price").alias("order_total_amount"))
+
+    # With one place per IP the joins below keep one row per fact line, so the order
+    # total can be aggregated from the fact columns alone, before the dimension joins
+    # (the totals branch then does not repeat them).
+    totals = order_totals(f) if dedup_location_ip else None
+
     if dim_customer_df is None:
         f = f.withColumn("customer_key", F.coalesce(surrogate_key("user_id"), F.lit(-1).cast("bigint")))
     else:
@@ -76,9 +86,8 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
     loc = loc.select(F.col("ip_address").alias("__l_ip"), "location_key")
     f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip")
 
-    line_total = (F.col("item_price_usd") * F.col("order_qty"))
-    f = f.withColumn("line_total_price", line_total)
-    totals = f.groupBy(F.col("order_id").alias("__o_id")).agg(F.sum("line_total_price").alias("order_total_amount"))
+    if totals is None:  # an IP may have several places: total over the fanned-out rows
+        totals = order_totals(f)
     f = f.join(totals, f.order_id.eqNullSafe(totals.__o_id), "left").drop("__o_id")
     return f.select(
         "fact_sales_order_key", "order_id",

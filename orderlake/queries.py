@@ -278,12 +278,11 @@ RELATIONSHIP_TESTS = {"product_key": "dim_product", "date_key": "dim_date", "cus
 
 
 def built_star(i: Inputs) -> dict[str, DataFrame]:
-    """The star, built once: each table is checkpointed into the shared checkpoint
-    folder (reliable, survives executor loss), so the checks read the built tables
-    instead of re-deriving them from the raw layer."""
-    from orderlake.session import shared_dir
-    shared_dir(i.spark)
-    return {k: v.checkpoint(eager=True) for k, v in i.star().items()}
+    """The star built as tables in the shared folder (``plans.build``), so the checks
+    read the built tables instead of re-deriving them from the raw layer."""
+    from orderlake.plans.build import build_warehouse
+    from orderlake.session import scratch_path
+    return build_warehouse(i.raw_events(), i.product_info(), i.ranges(), i.rates(), scratch_path(i.spark, "warehouse"))
 
 
 def dq_unique(i: Inputs):
