@@ -481,7 +481,7 @@ def ingest_idempotent(i: Inputs):
     from orderlake.session import scratch_path
     from orderlake.sources.readers import normalize_events
     from orderlake.streaming.ingest import ingest_files, read_loaded
-    landing = _write_raw_lines(i, "landing", files=4)
+    landing = _write_raw_lines(i, "landing", files=8)
     work = scratch_path(i.spark, "ingest")
     kw = dict(target_path=f"{work}/raw_events", ledger_path=f"{work}/load_tracking",
               report_path=f"{work}/load_report", transform=normalize_events)

@@ -65,12 +65,17 @@ def test_ingest_exactly_once(spark, tmp_dir):
     assert carts == {"1": ["5"], "2": ["6"]}
     assert read_ledger(spark, kw["ledger_path"]).count() == 2
     c = job_counters(read_report(spark, kw["report_path"])).first()
-    assert (c.success, c.skipped, c.rows_written) == (2, 2, 3)
+    assert (c.success, c.skipped, c.failed, c.rows_written) == (2, 2, 0, 3)
     # a new file is picked up once
     with open(os.path.join(landing, "raw_events_3.jsonl"), "w") as f:
         f.write('{"collection": "checkout_success", "order_id": "3", "cart_products": []}\n')
+    with open(os.path.join(landing, "raw_events_4.jsonl"), "w") as f:
+        f.write('{"collection": "checkout_success", "order_id": "4"}\n{"collection": "che\n')
     ingest_files(spark, landing, "raw_events*.jsonl", RAW_EVENT_TEXT, checkpoint_path=os.path.join(tmp_dir, "c1"), **kw)
     assert read_loaded(spark, kw["target_path"]).count() == 4
+    report = read_report(spark, kw["report_path"])
+    assert [r.file_name for r in report.filter("status = 'FAILED'").collect()] == ["raw_events_4.jsonl"]
+    assert read_ledger(spark, kw["ledger_path"]).count() == 3
 
 
 def test_materialize_layers(spark, tmp_dir):
