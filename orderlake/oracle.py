@@ -539,6 +539,11 @@ def oracle_sql() -> dict[str, str]:
     sq["dim_product"] = with_(STG_PRODUCT, edge(DIM_PRODUCT_COLS, "dim_product"))
     sq["ip_range_join"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
         [("ip", "s"), ("country", "s"), ("region", "s"), ("city", "s")], "ip_locations"))
+    sq["ip_lookup_counters"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
+        [("total", "i"), ("failed", "i"), ("located", "i"), ("not_found", "i")],
+        "(SELECT (SELECT COUNT(*) FROM _ips) AS total, (SELECT COUNT(*) FROM _ips) - (SELECT COUNT(*) FROM _ipv) AS failed, "
+        "(SELECT COUNT(DISTINCT ip) FROM ip_locations) AS located, "
+        "(SELECT COUNT(*) FROM _ipv) - (SELECT COUNT(DISTINCT ip) FROM ip_locations) AS not_found)"))
     sq["stg_dim_location"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
         [("ip_address", "s"), ("country_name", "s"), ("region_name", "s"), ("city_name", "s")], "stg_location"))
     sq["dim_location"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(DIM_LOCATION_COLS, "dim_location"))
@@ -584,6 +589,7 @@ def oracle_sql() -> dict[str, str]:
         f"{clean_string('min_price')} AS min_price, {clean_string('max_price')} AS max_price, "
         f"{clean_string('min_price_format')} AS min_price_format, {clean_string('qty')} AS qty, "
         f"{clean_string('category')} AS category, {clean_string('category_name')} AS category_name FROM product_info)"))
+    sq["collect_products"] = sq["resolve_pages"]
     sq["jsonl_roundtrip"] = sq["cart_explode"]
     sq["ingest_idempotent"] = sq["cart_explode"]
     sq["normalize_record"] = with_(CHECKOUT_BASE, edge(

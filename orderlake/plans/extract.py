@@ -108,3 +108,37 @@ def ip_locations(raw_events: DataFrame, ranges: DataFrame, observation: Observat
     valid = ips.filter(F.col("ip_num").isNotNull())
     hit = range_join(valid, "ip_num", ranges.select("ip_from", "ip_to", "country", "region", "city"))
     return hit.select("ip", "country", "region", "city")
+
+
+def collect_products(pairs: DataFrame, pages: DataFrame, records_path: str, failed_path: str,
+                     pattern: str | None = None, shop_host: str = DEFAULT_SHOP_HOST) -> DataFrame:
+    """Product records from fetched pages, written as JSON lines (K2), and the ids
+    of products without a usable page, one per line (K3). A record is the product id,
+    the winning url and the page data: an object payload is spread into the record's
+    catalogue fields (the outer product id is kept); other payloads stay as JSON text."""
+    from orderlake.schemas import PRODUCT_INFO
+    from orderlake.sources.sinks import write_jsonl, write_text_lines
+    resolved = resolve_pages(pairs, pages, pattern, shop_host)
+    info = F.from_json(F.when(F.ltrim("payload").startswith("{"), F.col("payload")), PRODUCT_INFO)
+    fields = [f.name for f in PRODUCT_INFO.fields if f.name != "product_id"]
+    records = resolved.select("product_id", "url", "payload", info.alias("__info")).select(
+        "product_id", "url", "payload", *[F.col(f"__info.{f}").alias(f) for f in fields])
+    write_jsonl(records, records_path)
+    write_text_lines(failed_products(pairs, resolved), "product_id", failed_path)
+    return records
+
+
+def ip_lookup_counters(raw_events: DataFrame, ranges: DataFrame) -> DataFrame:
+    """I6 for M13: distinct IPs, and how many failed to parse, were located, or fell
+    outside every range - one aggregate over the left range join."""
+    ips = distinct_ips(raw_events).withColumn("ip_num", ipv4_to_long("ip"))
+    valid = ips.filter(F.col("ip_num").isNotNull())
+    located = range_join(valid, "ip_num", ranges.select("ip_from", "ip_to")).select("ip").distinct() \
+        .withColumn("__hit", F.lit(True))
+    tagged = ips.join(located, ips.ip.eqNullSafe(located.ip), "left").drop(located.ip)
+    return tagged.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("ip_num").isNull()).alias("failed"),
+        F.count_if(F.col("__hit").isNotNull()).alias("located"),
+        F.count_if(F.col("ip_num").isNotNull() & F.col("__hit").isNull()).alias("not_found"),
+    )

@@ -210,6 +210,11 @@ def ip_range_join(i: Inputs):
     return i.ip_locations()
 
 
+def ip_lookup_counters(i: Inputs):
+    """Total / failed / located / not-found counts of the IP lookup."""
+    return X.ip_lookup_counters(i.raw_events(), i.ranges())
+
+
 def stg_dim_location(i: Inputs):
     """M1."""
     return i.stg_location()
@@ -367,6 +372,21 @@ def failed_products(i: Inputs):
     return X.failed_products(pairs, resolved)
 
 
+def collect_products(i: Inputs):
+    """Url records written as JSON lines and read back with the urls
+    schema, pages resolved, product records and failed ids written; the records are
+    read back from their JSON lines."""
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import read_urls
+    from orderlake.sources.sinks import write_jsonl
+    root = scratch_path(i.spark, "collect")
+    write_jsonl(X.product_urls(i.behaviour()), f"{root}/urls")
+    pairs = read_urls(i.spark, f"{root}/urls").select("product_id", F.explode("urls").alias("url"))
+    X.collect_products(pairs, A.fetched_pages(i.table("pages")), f"{root}/product_info", f"{root}/failed",
+                       TRACK_PATTERN)
+    return i.spark.read.schema("product_id string, url string, payload string").json(f"{root}/product_info")
+
+
 def product_export(i: Inputs):
     """Every kept product field as cleaned text."""
     p = i.product_info()
@@ -506,6 +526,7 @@ QUERIES: dict[str, Callable] = {
     "product_currency": product_currency_q,
     "dim_product": dim_product,
     "ip_range_join": ip_range_join,
+    "ip_lookup_counters": ip_lookup_counters,
     "stg_dim_location": stg_dim_location,
     "dim_location": dim_location,
     "dim_customer": dim_customer,
@@ -529,6 +550,7 @@ QUERIES: dict[str, Callable] = {
     "resolve_pages": resolve_pages,
     "failed_products": failed_products,
     "product_export": product_export,
+    "collect_products": collect_products,
     "jsonl_roundtrip": jsonl_roundtrip,
     "normalize_record": normalize_record_q,
     "corrupt_lines": corrupt_lines,

@@ -56,7 +56,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share "
+                               "(a machine-local folder is not visible to the other nodes)")
+        d = tempfile.mkdtemp(prefix="orderlake-ckpt-")  # local mode only: one machine
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     elif not sc.getCheckpointDir():
