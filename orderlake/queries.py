@@ -97,8 +97,16 @@ class Inputs:
     def int_location(self) -> DataFrame:
         return I.int_dim_location(self.stg_location())
 
+    def stg_fact_built(self) -> DataFrame:
+        """The staging fact written once as a table in the shared folder: it feeds the
+        fact, its order totals and two dimensions, which then read the table instead
+        of each re-deriving it from the raw layer."""
+        from orderlake.session import scratch_path
+        from orderlake.sources.sinks import materialize
+        return materialize(self.stg_fact(), "staging", "stg_fact_sales_order", root=scratch_path(self.spark, "stg"))
+
     def star(self) -> dict[str, DataFrame]:
-        stg = self.stg_fact()
+        stg = self.stg_fact_built()
         int_loc = self.int_location()
         dims = {
             "dim_customer": W.dim_customer(I.int_dim_customer(stg)),
