@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from orderlake.functions.currency import cart_currency_from_symbol, product_currency, product_raw_symbol
 from orderlake.functions.json_shape import normalize_option_json
 from orderlake.functions.keys import surrogate_key
-from orderlake.functions.price import item_price_status, parse_price
+from orderlake.functions.price import with_parsed_price
 from orderlake.functions.text import clean_string, extract_script_payload, nullif_blank, url_domain
 from orderlake.operators import quality as Q
 from orderlake.operators.metrics import sales_measures
@@ -25,7 +25,6 @@ from orderlake.plans import extract as X
 from orderlake.plans import intermediate as I
 from orderlake.plans import staging as S
 from orderlake.plans import warehouse as W
-from orderlake.schemas import OPTION_DDL, PRODUCT_FIELDS
 from orderlake.sources import adapters as A
 from orderlake.sources.seed import exchange_rates
 from orderlake.session import apply_session_conf
@@ -136,8 +135,7 @@ def cart_explode(i: Inputs):
 def parse_price_q(i: Inputs):
     """C1, C5, F2, F13, F14 over every cart line."""
     lines = S.cart_lines(i.raw_events())
-    return lines.select("item_price_raw", parse_price("item_price_raw").alias("item_price"),
-                        item_price_status("item_price_raw").alias("item_price_status"))
+    return with_parsed_price(lines.select("item_price_raw"))
 
 
 def dedup_order_items(i: Inputs):

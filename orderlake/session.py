@@ -36,6 +36,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run: enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (AQE coalesces the small ones and splits
+    skewed ones at run time), at least two tasks per core, and scan splits of the same
+    size so a scan task's output fits in executor memory without spilling."""
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        # static broadcasts only for sides measured far below executor memory
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        **SESSION_CONF,
+    }
+
+
 def apply_session_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings on an existing session (the driver's, for example)."""
     for k, v in SESSION_CONF.items():

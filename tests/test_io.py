@@ -91,3 +91,16 @@ def test_text_sink_and_urls_reader(spark, tmp_dir):
     assert sorted((r.product_id, tuple(r.urls)) for r in back.collect()) == [("7", ("b", "a")), ("8", ())]
     K.write_text_lines(df, "product_id", os.path.join(tmp_dir, "ids"))
     assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "ids")).collect()) == ["7", "8"]
+
+
+def test_catalog_layers(spark, tmp_dir):
+    from orderlake.sources.readers import read_table
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    K.ensure_layers(spark, ["staging_t"])
+    back = K.materialize(df, "staging_t", "t1", as_table=True)
+    assert back.collect()[0].v == "a"
+    assert read_table(spark, "staging_t.t1").count() == 1
+    df.write.parquet(os.path.join(tmp_dir, "p"))
+    assert read_table(spark, "logical", {"logical": os.path.join(tmp_dir, "p")}).count() == 1
+    K.as_view(df, "v_t1")
+    assert spark.table("v_t1").count() == 1

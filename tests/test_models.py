@@ -44,3 +44,16 @@ def test_scan_pruning_and_pushdown(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_dedup_limits_before_the_shuffle(spark):
+    """A hot (order, product) key ships at most one row per map task: the partial
+    top-1 runs below the exchange."""
+    i = Inputs(spark, SF)
+    d = S.dedup_order_items(S.cart_lines(i.raw_events()))
+    d.write.format("noop").mode("overwrite").save()
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    wgl = [n for n, l in enumerate(lines) if "WindowGroupLimit" in l]
+    ex = [n for n, l in enumerate(lines) if "Exchange hashpartitioning(order_id" in l or "ShuffleQueryStage" in l]
+    assert len(wgl) >= 2 and ex and max(wgl) > min(ex)
