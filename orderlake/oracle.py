@@ -537,6 +537,8 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT product_id, min_price_format, {product_symbol('min_price_format')} AS raw_symbol, "
         f"{product_currency('min_price_format')} AS currency_code FROM product_info)"))
     sq["dim_product"] = with_(STG_PRODUCT, edge(DIM_PRODUCT_COLS, "dim_product"))
+    sq["dedup_products"] = with_(STG_PRODUCT, edge(STG_PRODUCT_COLS[:9], "_prod_dedup"))
+    sq["dedup_customers"] = with_(STG_FACT + DIMS, edge(DIM_CUSTOMER_COLS[1:], "_cust"))
     sq["ip_range_join"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
         [("ip", "s"), ("country", "s"), ("region", "s"), ("city", "s")], "ip_locations"))
     sq["ip_lookup_counters"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(

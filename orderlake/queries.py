@@ -19,6 +19,7 @@ from orderlake.functions.keys import surrogate_key
 from orderlake.functions.price import with_parsed_price
 from orderlake.functions.text import clean_string, extract_script_payload, nullif_blank, url_domain
 from orderlake.operators import quality as Q
+from orderlake.operators.dedup import keep_first
 from orderlake.operators.metrics import sales_measures
 from orderlake.oracle import TRACK_PATTERN
 from orderlake.plans import extract as X
@@ -197,6 +198,16 @@ def stg_dim_product(i: Inputs):
     return i.stg_product()
 
 
+def dedup_products(i: Inputs):
+    """One record per product id, chosen by a total order."""
+    return keep_first(S.product_rename(i.product_info()), ["product_id"])
+
+
+def dedup_customers(i: Inputs):
+    """One row per user id over the staging fact's customer columns."""
+    return keep_first(i.stg_fact().select(*I.CUSTOMER_COLUMNS), ["user_id"])
+
+
 def product_currency_q(i: Inputs):
     """C8, F11, F12 on every product record (before dedup)."""
     p = i.product_info()
@@ -530,6 +541,8 @@ QUERIES: dict[str, Callable] = {
     "surrogate_key": surrogate_key_q,
     "stg_dim_product": stg_dim_product,
     "product_currency": product_currency_q,
+    "dedup_products": dedup_products,
+    "dedup_customers": dedup_customers,
     "dim_product": dim_product,
     "ip_range_join": ip_range_join,
     "ip_lookup_counters": ip_lookup_counters,
