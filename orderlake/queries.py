@@ -56,15 +56,23 @@ class Inputs:
         apply_session_conf(spark)
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+        self._memo: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        # one relation per table: identical sub-plans over it can then share their
+        # shuffle output (ReusedExchange) instead of being recomputed
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     def rates(self) -> DataFrame:
         return exchange_rates(self.spark)
 
     def raw_events(self) -> DataFrame:
-        return A.checkout_events(self.table("lineitem"), self.table("orders"))
+        if "raw" not in self._memo:
+            self._memo["raw"] = A.checkout_events(self.table("lineitem"), self.table("orders"))
+        return self._memo["raw"]
 
     def product_info(self) -> DataFrame:
         return A.product_records(self.table("part"))
@@ -97,16 +105,8 @@ class Inputs:
     def int_location(self) -> DataFrame:
         return I.int_dim_location(self.stg_location())
 
-    def stg_fact_built(self) -> DataFrame:
-        """The staging fact written once as a table in the shared folder: it feeds the
-        fact, its order totals and two dimensions, which then read the table instead
-        of each re-deriving it from the raw layer."""
-        from orderlake.session import scratch_path
-        from orderlake.sources.sinks import materialize
-        return materialize(self.stg_fact(), "staging", "stg_fact_sales_order", root=scratch_path(self.spark, "stg"))
-
     def star(self) -> dict[str, DataFrame]:
-        stg = self.stg_fact_built()
+        stg = self.stg_fact()
         int_loc = self.int_location()
         dims = {
             "dim_customer": W.dim_customer(I.int_dim_customer(stg)),
