@@ -86,3 +86,35 @@ def test_product_urls_filter_and_special_event(spark):
     ], "collection string, product_id string, viewing_product_id string, current_url string, referrer_url string")
     got = {r.product_id: r.urls for r in X.product_urls(ev).collect()}
     assert got == {"1": ["c1", "r2"]}
+
+
+def test_hot_key_dedup_and_totals_match_brute_force(spark):
+    """One order holds a third of all lines: dedup and order totals stay exact."""
+    import collections
+    from decimal import Decimal
+    rows = []
+    for n in range(3000):
+        order = "hot" if n % 3 == 0 else f"o{n % 200}"
+        rows.append((order, n % 37, ["0,00", "1.50", "2,25", ""][n % 4], n % 5 + 1, f"u{n % 11}"))
+    df = spark.createDataFrame(rows, "order_id string, product_id int, item_price_raw string, order_qty int, user_id string")
+    from orderlake.functions.price import price_priority, with_parsed_price
+    dedup = keep_first(df, ["order_id", "product_id"], [price_priority("item_price_raw")])
+    priced = with_parsed_price(dedup)
+    line = (F.col("item_price") * F.col("order_qty")).alias("line_total")
+    got = {r.order_id: r.t for r in priced.groupBy("order_id").agg(F.sum(line).alias("t")).collect()}
+    # brute force: per (order, product) the first row by (priority, remaining columns)
+    best = {}
+    for r in rows:
+        t = r[2].strip()
+        prio = 0 if t not in ("0,00", "0.00") and t != "" else 1
+        key = (r[0], r[1])
+        cand = (prio, r[2], r[3], r[4])
+        if key not in best or cand < best[key]:
+            best[key] = cand
+    want = collections.defaultdict(Decimal)
+    for (order, _), (_, raw, qty, _) in best.items():
+        price = {"1.50": Decimal("1.50"), "2,25": Decimal("2.25")}.get(raw)
+        if price is not None:
+            want[order] += price * qty
+    assert {k: v for k, v in got.items() if v is not None} == dict(want)
+    assert dedup.count() == len(best)
