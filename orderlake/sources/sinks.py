@@ -34,6 +34,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def list_dirs(spark: SparkSession, path: str) -> set[str]:
+    """Sub-folders of ``path`` (empty when it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return set()
+    return {st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete on the path's file system (for a job's own scratch output)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def export_if_absent(df: DataFrame, path: str, fmt: str = "json") -> int:
     """K5: export unless the target exists; returns the record count, 0 when skipped."""
     if path_exists(df.sparkSession, path):
