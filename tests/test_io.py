@@ -104,3 +104,16 @@ def test_catalog_layers(spark, tmp_dir):
     assert read_table(spark, "logical", {"logical": os.path.join(tmp_dir, "p")}).count() == 1
     K.as_view(df, "v_t1")
     assert spark.table("v_t1").count() == 1
+
+
+def test_urls_last_line_wins_and_csv_locations(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "urls.jsonl")
+    with open(path, "w") as f:
+        f.write('{"product_id": "1", "urls": ["a"]}\n{"product_id": "2", "urls": ["b"]}\n{"product_id": "1", "urls": ["c", "d"]}\n')
+    got = {r.product_id: r.urls for r in R.read_urls(spark, path).collect()}
+    assert got == {"1": ["c", "d"], "2": ["b"]}
+    csv = os.path.join(tmp_dir, "ip.csv")
+    with open(csv, "w") as f:
+        f.write("ip,country,region,city\n1.2.3.4,Viet Nam,Ha Noi,\n5.6.7.8,,,\n")
+    rows = sorted(tuple(r) for r in R.read_ip_locations(spark, csv, fmt="csv").collect())
+    assert rows == [("1.2.3.4", "Viet Nam", "Ha Noi", None), ("5.6.7.8", None, None, None)]
