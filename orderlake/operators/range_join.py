@@ -32,7 +32,7 @@ def ipv4_to_long(c) -> Column:
 
 
 def range_join(points: DataFrame, point_col: str, ranges: DataFrame, lo: str = "ip_from", hi: str = "ip_to",
-               how: str = "inner", bucket_bits: int = 16, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+               how: str = "inner", bucket_bits: int = 16, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Join each point to the range that contains it. ``how`` is inner or left."""
     b = lambda c: F.shiftright(c, bucket_bits)
     exploded = ranges.withColumn("__bucket", F.explode(F.sequence(b(F.col(lo)), b(F.col(hi)))))

@@ -577,8 +577,8 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN event_id % 4 IN (0, 1) THEN json_extract_string(props, '$.k') END AS first_k FROM events)")
     sq["product_url_pairs"] = with_(BEHAVIOUR, edge([("product_id", "s"), ("url", "s")], "url_pairs"))
     sq["product_urls"] = with_(BEHAVIOUR, edge(
-        [("product_id", "s"), ("n_urls", "i"), ("urls", "s")],
-        "(SELECT product_id, COUNT(*) AS n_urls, array_to_string(list_sort(list(url)), '|') AS urls "
+        [("product_id", "s"), ("part", "i"), ("n_urls", "i"), ("urls", "s")],
+        "(SELECT product_id, 0 AS part, COUNT(*) AS n_urls, array_to_string(list_sort(list(url)), '|') AS urls "
         "FROM url_pairs GROUP BY product_id)"))
     sq["resolve_pages"] = with_(PAGE_RESOLUTION, edge([("product_id", "s"), ("url", "s"), ("payload", "s")], "resolved"))
     sq["failed_products"] = with_(PAGE_RESOLUTION, edge(

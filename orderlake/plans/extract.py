@@ -35,11 +35,22 @@ def product_url_pairs(events: DataFrame) -> DataFrame:
     return pairs.filter(F.col("product_id").isNotNull() & F.col("url").isNotNull()).distinct()
 
 
-def product_urls(events: DataFrame) -> DataFrame:
-    """One record per product with its sorted url set (the JSONL hand-off).
-    The distinct pairs come first, so the per-product list holds distinct urls only."""
-    return (product_url_pairs(events).groupBy("product_id")
-            .agg(F.sort_array(F.collect_list("url")).alias("urls")))
+# Most urls one hand-off record holds; a product with more urls gets several records.
+MAX_URLS_PER_RECORD = 10_000
+
+
+def product_urls(events: DataFrame, max_urls_per_record: int = MAX_URLS_PER_RECORD) -> DataFrame:
+    """The JSONL hand-off, ``(product_id, part, urls)`` with a sorted list of
+    distinct urls. A product normally fits one record (part 0). A product whose url
+    set is larger - urls with tracking parameters can grow with the traffic - is split
+    over ceil(n / max_urls_per_record) records by a hash of the url, so no single
+    group or task ever holds an unbounded list; no url is dropped."""
+    pairs = product_url_pairs(events)
+    counts = pairs.groupBy(F.col("product_id").alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.ceil(F.col("__n") / F.lit(max_urls_per_record)).cast("long")
+    tagged = pairs.join(counts, pairs.product_id == counts.__pid, "inner").select(
+        "product_id", "url", F.pmod(F.xxhash64("url"), parts).alias("part"))
+    return tagged.groupBy("product_id", "part").agg(F.sort_array(F.collect_list("url")).alias("urls"))
 
 
 def fallback_url_template(shop_host: str = DEFAULT_SHOP_HOST) -> str:

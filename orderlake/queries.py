@@ -373,7 +373,7 @@ def product_url_pairs(i: Inputs):
 def product_urls(i: Inputs):
     """One record per product with its url set."""
     u = X.product_urls(i.behaviour())
-    return u.select("product_id", F.size("urls").alias("n_urls"), F.array_join("urls", "|").alias("urls"))
+    return u.select("product_id", "part", F.size("urls").alias("n_urls"), F.array_join("urls", "|").alias("urls"))
 
 
 def resolve_pages(i: Inputs):

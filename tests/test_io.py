@@ -88,7 +88,7 @@ def test_text_sink_and_urls_reader(spark, tmp_dir):
     df = spark.createDataFrame([("7", ["b", "a"]), ("8", [])], "product_id string, urls array<string>")
     K.write_jsonl(df, os.path.join(tmp_dir, "urls"))
     back = R.read_urls(spark, os.path.join(tmp_dir, "urls"))
-    assert sorted((r.product_id, tuple(r.urls)) for r in back.collect()) == [("7", ("b", "a")), ("8", ())]
+    assert sorted((r.product_id, r.part, tuple(r.urls)) for r in back.collect()) == [("7", 0, ("b", "a")), ("8", 0, ())]
     K.write_text_lines(df, "product_id", os.path.join(tmp_dir, "ids"))
     assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "ids")).collect()) == ["7", "8"]
 

@@ -84,8 +84,19 @@ def test_product_urls_filter_and_special_event(spark):
         ("view_product_detail", "2", None, None, "r5"),
         ("view_product_detail", "1", None, "c1", "r1"),
     ], "collection string, product_id string, viewing_product_id string, current_url string, referrer_url string")
-    got = {r.product_id: r.urls for r in X.product_urls(ev).collect()}
-    assert got == {"1": ["c1", "r2"]}
+    got = {(r.product_id, r.part): r.urls for r in X.product_urls(ev).collect()}
+    assert got == {("1", 0): ["c1", "r2"]}
+
+
+def test_product_urls_split_large_sets_without_loss(spark):
+    rows = [("view_product_detail", "hot", None, f"u{n}", None) for n in range(250)] + \
+           [("view_product_detail", "cold", None, "x", None)]
+    ev = spark.createDataFrame(rows, "collection string, product_id string, viewing_product_id string, "
+                                     "current_url string, referrer_url string")
+    recs = X.product_urls(ev, max_urls_per_record=100).collect()
+    hot = [r for r in recs if r.product_id == "hot"]
+    assert len(hot) == 3 and sorted(u for r in hot for u in r.urls) == sorted(f"u{n}" for n in range(250))
+    assert [r.urls for r in recs if r.product_id == "cold"] == [["x"]]
 
 
 def test_hot_key_dedup_and_totals_match_brute_force(spark):
