@@ -69,3 +69,16 @@ def test_built_warehouse_equals_lazy_star(spark, tmp_dir):
     for name in ["fact_sales_order", "dim_customer", "dim_date", "dim_location", "dim_product"]:
         cols = sorted(lazy[name].columns)
         assert _rows(built[name].select(*cols)) == _rows(lazy[name].select(*cols)), name
+
+
+def test_derived_keys_equal_dimension_joins(spark):
+    """Deriving customer and date keys from the values equals the left joins with the
+    dimensions plus COALESCE(-1)."""
+    from orderlake.plans import warehouse as W
+    i = Inputs(spark, SF)
+    stg = i.stg_fact()
+    dims = dict(dim_customer_df=I.int_dim_customer(stg), dim_date_df=I.int_dim_date(stg))
+    prod = W.dim_product(i.int_product())
+    joined = W.fact_sales_order(I.int_fact_sales_order(stg), prod, i.int_location(), **dims)
+    derived = W.fact_sales_order(I.int_fact_sales_order(stg), prod, i.int_location())
+    assert _rows(joined) == _rows(derived)
