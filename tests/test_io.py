@@ -117,3 +117,22 @@ def test_urls_last_line_wins_and_csv_locations(spark, tmp_dir):
         f.write("ip,country,region,city\n1.2.3.4,Viet Nam,Ha Noi,\n5.6.7.8,,,\n")
     rows = sorted(tuple(r) for r in R.read_ip_locations(spark, csv, fmt="csv").collect())
     assert rows == [("1.2.3.4", "Viet Nam", "Ha Noi", None), ("5.6.7.8", None, None, None)]
+
+
+def test_ingest_continuous_trigger(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "raw_events_a.jsonl"), "w") as f:
+        f.write('{"collection": "checkout_success", "order_id": "1"}\n')
+    kw = dict(target_path=os.path.join(tmp_dir, "raw"), ledger_path=os.path.join(tmp_dir, "ledger"),
+              report_path=os.path.join(tmp_dir, "report"), transform=R.normalize_events)
+    q = ingest_files(spark, landing, "raw_events*.jsonl", RAW_EVENT_TEXT, checkpoint_path=os.path.join(tmp_dir, "c"),
+                     processing_time="1 second", **kw)
+    try:
+        q.processAllAvailable()
+        with open(os.path.join(landing, "raw_events_b.jsonl"), "w") as f:
+            f.write('{"collection": "checkout_success", "order_id": "2"}\n')
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.order_id for r in read_loaded(spark, kw["target_path"]).collect()) == ["1", "2"]
