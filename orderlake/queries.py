@@ -279,24 +279,7 @@ metrics_by_country = _metrics("dim_location", "location_key", ["country_name"])
 metrics_by_category = _metrics("dim_product", "product_key", ["category_name"])
 
 
-# The declared warehouse tests (27 checks over the four dimensions and the fact).
-UNIQUE_TESTS = {
-    "dim_product": ["product_key", "product_id"],
-    "dim_customer": ["customer_key", "user_id"],
-    "dim_date": ["date_key", "full_date"],
-    "dim_location": ["location_key"],
-    "fact_sales_order": ["fact_sales_order_key"],
-}
-NOT_NULL_TESTS = {
-    "dim_product": ["product_key", "product_id"],
-    "dim_customer": ["customer_key", "user_id"],
-    "dim_date": ["date_key", "is_weekend"],
-    "dim_location": ["location_key"],
-    "fact_sales_order": ["fact_sales_order_key", "product_key", "date_key", "customer_key", "location_key",
-                         "order_id", "order_qty"],
-}
-RELATIONSHIP_TESTS = {"product_key": "dim_product", "date_key": "dim_date", "customer_key": "dim_customer",
-                      "location_key": "dim_location"}
+from orderlake.jobs import NOT_NULL_TESTS, RELATIONSHIP_TESTS, UNIQUE_TESTS  # noqa: E402
 
 
 def built_star(i: Inputs) -> dict[str, DataFrame]:

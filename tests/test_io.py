@@ -136,3 +136,15 @@ def test_ingest_continuous_trigger(spark, tmp_dir):
     finally:
         q.stop()
     assert sorted(r.order_id for r in read_loaded(spark, kw["target_path"]).collect()) == ["1", "2"]
+
+
+def test_build_job_runs_all_checks(spark, tmp_dir):
+    from orderlake.jobs import run_checks
+    from orderlake.plans.build import build_warehouse
+    from orderlake.queries import Inputs
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    star = build_warehouse(i.raw_events(), i.product_info(), i.ranges(), i.rates(), tmp_dir)
+    res = {(r.check_type, r.check_name): r.failures for r in run_checks(star).collect()}
+    assert len(res) == 27
+    assert res[("not_null", "fact_sales_order.fact_sales_order_key")] > 0   # planted invalid product ids
+    assert res[("relationships", "fact_sales_order.customer_key")] == 0
