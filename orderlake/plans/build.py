@@ -1,7 +1,9 @@
 """Build the whole model graph as written tables (K10), layer by layer.
 
-Each model is written once (Parquet, full rebuild) into ``<root>/<layer>/<name>`` and
-read back for its consumers, as a warehouse build does. This cuts the lineage at every
+Warehouse tables, and every model with more than one consumer (the staging fact,
+the IP-grain locations), are written once (Parquet, full rebuild) into
+``<root>/<layer>/<name>`` and read back for their consumers; single-consumer staging
+models stay views. This cuts the lineage at every
 layer: a lost executor recomputes at most one layer from the previous layer's files,
 and the staging fact, used by three models, is computed once. ``root`` must be a
 folder every executor can reach - by default a fresh folder under the session's
@@ -28,8 +30,9 @@ def build_warehouse(raw_events: DataFrame, product_info: DataFrame, ip_ranges: D
 
     ip_loc = m(X.ip_locations(raw_events, ip_ranges), "raw", "ip_locations")
     stg_fact = m(S.stg_fact_sales_order(raw_events, rates), "staging", "stg_fact_sales_order")
-    stg_product = m(S.stg_dim_product(product_info), "staging", "stg_dim_product")
-    stg_location = S.stg_dim_location(ip_loc)  # a view in the reference: stays lazy
+    # single-consumer staging models stay views (lazy), as in the reference
+    stg_product = S.stg_dim_product(product_info)
+    stg_location = S.stg_dim_location(ip_loc)
 
     int_location = m(I.int_dim_location(stg_location), "intermediate", "int_dim_location")
     int_product = I.int_dim_product(stg_product, rates)
