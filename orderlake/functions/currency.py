@@ -41,13 +41,22 @@ PRODUCT_FORMAT_STRIP = r"[\d,\.\s'/]"
 # ---------------------------------------------------------------------------------
 
 
+def sql_str(v) -> str:
+    """A SQL string literal (or NULL)."""
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs) -> Column:
+    """A map literal, built by the SQL parser in one call."""
+    return F.expr("map(" + ", ".join(f"{sql_str(k)}, {sql_str(v)}" for k, v in pairs) + ")")
+
+
 def _lookup(key: Column, pairs) -> Column:
     """Literal-map lookup: one reference to ``key`` (a CASE would repeat it per arm),
     null for a missing or null key."""
-    kv = []
-    for k, v in pairs:
-        kv += [F.lit(k), F.lit(v).cast("string")]
-    return F.try_element_at(F.create_map(*kv), key)
+    return F.try_element_at(literal_map(pairs), key)
 
 
 def cart_currency_from_symbol(symbol) -> Column:

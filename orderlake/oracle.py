@@ -357,9 +357,7 @@ dim_date AS (
 
 FACT = STG_FACT + ",\n" + STG_PRODUCT.lstrip() + IP_LOCATIONS + DIMS + """,
 _loc_ip AS (
-  SELECT ip_address, location_key FROM (
-    SELECT ip_address, location_key, ROW_NUMBER() OVER (PARTITION BY ip_address ORDER BY location_key ASC NULLS FIRST) AS rn
-    FROM int_location) WHERE rn = 1
+  SELECT ip_address, MIN(location_key) AS location_key FROM int_location GROUP BY ip_address
 ),
 fact AS (
   SELECT f.fact_sales_order_key, f.order_id,

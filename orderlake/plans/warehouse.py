@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
-from orderlake.operators.dedup import keep_first
 from orderlake.operators.joins import broadcast_if_small
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
@@ -45,8 +44,8 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
       to be small, else a shuffle join.
     * The IP-grain location table grows with the traffic: a shuffle join on the IP
       (AQE splits a hot IP's partition, or broadcasts when measured small). With
-      ``dedup_location_ip`` one place per IP is kept first, so an IP with two places
-      cannot duplicate fact rows (the reference would fan out there).
+      ``dedup_location_ip`` one place per IP (the smallest key) is kept first, so an
+      IP with two places cannot duplicate fact rows (the reference would fan out).
     * The order total is an aggregate joined back, not a window: partial aggregation
       before the shuffle, and AQE's skew split on the join, keep an order holding a
       large share of all lines from landing in one task.
@@ -76,13 +75,18 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
         f = f.join(d, f.order_local_time == d.__d_date, "left").drop("__d_date") \
              .withColumn("date_key", F.coalesce("date_key", F.lit(-1).cast("bigint")))
 
-    p = dim_product_df.select(F.col("product_id").alias("__p_id"), F.col("product_key"))
+    # the dimension is unique per product id; as an aggregate that is visible to
+    # Catalyst, which then drops the join when product_key is never read
+    p = dim_product_df.groupBy(F.col("product_id").alias("__p_id")).agg(F.min("product_key").alias("product_key"))
     p = broadcast_if_small(p, product_broadcast_max_rows)
     f = f.join(p, f.product_id == p.__p_id, "left").drop("__p_id")
 
     loc = int_location.select("ip_address", "location_key")
     if dedup_location_ip:
-        loc = keep_first(loc, ["ip_address"])
+        # one place per IP (the smallest key). As an aggregate the side is visibly
+        # unique on the IP: a query that never reads location_key lets Catalyst drop
+        # this join and the whole IP-lookup branch behind it.
+        loc = loc.groupBy("ip_address").agg(F.min("location_key").alias("location_key"))
     loc = loc.select(F.col("ip_address").alias("__l_ip"), "location_key")
     f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip")
 

@@ -22,17 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlake.functions.currency import sql_str
 from orderlake.schemas import CART_ITEM, OPTION, PRODUCT_FIELDS
 from orderlake.sources.seed import DEFAULT_SHOP_HOST
 
 
 def _pick(key: Column, values: list) -> Column:
-    """values[key] for a non-negative integer key (a CASE over literals)."""
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(key == i, lit) if expr is None else expr.when(key == i, lit)
-    return expr
+    """values[key] for a non-negative integer key: an array literal indexed by key."""
+    arr = F.expr("array(" + ", ".join(sql_str(v) for v in values) + ")")
+    return F.try_element_at(arr, (key + 1).cast("int"))
 
 
 def _div(x: Column, n: int) -> Column:
