@@ -1,6 +1,9 @@
 """Job entry points (``python -m orderlake <job>`` or ``spark-submit``):
 
 * ``ingest``  exactly-once load of newly landed raw-event files into the raw table;
+* ``extract`` the collection chain over a raw events table: IP geolocation (ip
+              locations JSON lines, with counters), urls per product (JSON lines),
+              product records from fetched pages plus the ids without a usable page;
 * ``build``   staging -> intermediate -> warehouse tables, then the 27 declared
               data-quality checks (exit status 1 when any check fails).
 """
@@ -14,10 +17,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.operators import quality as Q
+from orderlake.plans import extract as X
 from orderlake.plans.build import build_warehouse
 from orderlake.schemas import RAW_EVENT_TEXT
 from orderlake.session import apply_session_conf
 from orderlake.sources import readers as R
+from orderlake.sources import sinks as K
+from orderlake.sources.seed import DEFAULT_SHOP_HOST, exchange_rates
 from orderlake.streaming.ingest import ingest_files, job_counters, read_report
 
 # The declared warehouse tests (27 checks over the four dimensions and the fact).
@@ -58,11 +64,12 @@ def run_checks(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def build(spark: SparkSession, args) -> int:
+    rates = R.read_seed(spark, args.rates) if args.rates else exchange_rates(spark, shop_host=args.shop_host)
     star = build_warehouse(
         raw_events=spark.read.parquet(args.raw),
         product_info=R.read_product_info(spark, args.products),
         ip_ranges=spark.read.parquet(args.ip_ranges),
-        rates=R.read_seed(spark, args.rates),
+        rates=rates,
         root=args.out,
     )
     failed = 0
@@ -72,6 +79,22 @@ def build(spark: SparkSession, args) -> int:
     return 1 if failed else 0
 
 
+def extract(spark: SparkSession, args) -> int:
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    out = args.out.rstrip("/")
+    events = spark.read.parquet(args.events)
+    counters = Observation("ip_lookup")
+    K.write_jsonl(X.ip_locations(events, spark.read.parquet(args.ip_ranges), counters), f"{out}/ip_locations")
+    print("ip lookup:", counters.get)
+    K.write_jsonl(X.product_urls(events), f"{out}/urls")
+    pairs = R.read_urls(spark, f"{out}/urls").select("product_id", F.explode("urls").alias("url"))
+    pages = spark.read.parquet(args.pages)
+    X.collect_products(pairs, pages, f"{out}/product_info", f"{out}/failed_products",
+                       pattern=args.pattern, shop_host=args.shop_host)
+    return 0
+
+
 def ingest(spark: SparkSession, args) -> int:
     root = args.root.rstrip("/")
     ingest_files(spark, args.landing, args.glob, RAW_EVENT_TEXT, target_path=f"{root}/raw_events",
@@ -89,7 +112,15 @@ def main(argv=None) -> int:
     b.add_argument("--products", required=True, help="product records (JSON lines)")
     b.add_argument("--ip-ranges", required=True, help="IP ranges table (parquet: ip_from, ip_to, country, region, city)")
     b.add_argument("--rates", default=None, help="exchange-rate CSV with a header (default: the bundled seed)")
+    b.add_argument("--shop-host", default=DEFAULT_SHOP_HOST, help="shop host name of the bundled seed's domains")
     b.add_argument("--out", required=True, help="root folder of the built layers (shared storage)")
+    x = sub.add_parser("extract", help="ip locations, urls per product, product records from fetched pages")
+    x.add_argument("--events", required=True, help="raw events table (parquet)")
+    x.add_argument("--pages", required=True, help="fetched pages table (parquet: url, status, html)")
+    x.add_argument("--ip-ranges", required=True, help="IP ranges table (parquet)")
+    x.add_argument("--pattern", default=None, help="payload pattern in the page script (default: the shop's)")
+    x.add_argument("--shop-host", default=DEFAULT_SHOP_HOST, help="host name of the fallback product url")
+    x.add_argument("--out", required=True, help="output folder (shared storage)")
     i = sub.add_parser("ingest", help="load newly landed raw-event files exactly once")
     i.add_argument("--landing", required=True)
     i.add_argument("--glob", default="raw_events*.jsonl")
@@ -97,7 +128,7 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"orderlake-{args.job}").getOrCreate()
     apply_session_conf(spark)
-    return {"build": build, "ingest": ingest}[args.job](spark, args)
+    return {"build": build, "extract": extract, "ingest": ingest}[args.job](spark, args)
 
 
 if __name__ == "__main__":

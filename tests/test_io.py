@@ -148,3 +148,20 @@ def test_build_job_runs_all_checks(spark, tmp_dir):
     assert len(res) == 27
     assert res[("not_null", "fact_sales_order.fact_sales_order_key")] > 0   # planted invalid product ids
     assert res[("relationships", "fact_sales_order.customer_key")] == 0
+
+
+def test_extract_job(spark, tmp_dir):
+    from orderlake.jobs import main
+    from orderlake.queries import Inputs
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    events = i.raw_events().drop("option", "cart_products").unionByName(
+        i.behaviour().drop("option_json"), allowMissingColumns=True)
+    events.write.parquet(os.path.join(tmp_dir, "events"))
+    i.table("pages").select("url", "html").write.parquet(os.path.join(tmp_dir, "pages"))
+    i.ranges().write.parquet(os.path.join(tmp_dir, "ranges"))
+    out = os.path.join(tmp_dir, "out")
+    assert main(["extract", "--events", os.path.join(tmp_dir, "events"), "--pages", os.path.join(tmp_dir, "pages"),
+                 "--ip-ranges", os.path.join(tmp_dir, "ranges"), "--pattern", r"track\((\d+)\)", "--out", out]) == 0
+    assert spark.read.json(os.path.join(out, "product_info")).count() > 0
+    assert spark.read.json(os.path.join(out, "urls")).count() > 0
+    assert spark.read.json(os.path.join(out, "ip_locations")).count() > 0
