@@ -51,10 +51,16 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
       large share of all lines from landing in one task.
     """
     line_total = F.col("item_price_usd") * F.col("order_qty")
-    f = int_fact.withColumn("line_total_price", line_total)
+    # Null-safe order key as two non-null parts (a null order id is a group of its
+    # own, as in SUM() OVER (PARTITION BY order_id)). The totals are grouped by the
+    # very keys of the join back, so their partitioning serves the join directly.
+    f = int_fact.withColumns({"line_total_price": line_total,
+                              "__ok": F.coalesce(F.col("order_id"), F.lit("")),
+                              "__ok_null": F.col("order_id").isNull()})
 
     def order_totals(df):
-        return df.groupBy(F.col("order_id").alias("__o_id")).agg(F.sum("line_total_price").alias("order_total_amount"))
+        return (df.groupBy(F.col("__ok").alias("__t_ok"), F.col("__ok_null").alias("__t_null"))
+                  .agg(F.sum("line_total_price").alias("order_total_amount")))
 
     # With one place per IP the joins below keep one row per fact line, so the order
     # total can be aggregated from the fact columns alone, before the dimension joins
@@ -92,7 +98,7 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
 
     if totals is None:  # an IP may have several places: total over the fanned-out rows
         totals = order_totals(f)
-    f = f.join(totals, f.order_id.eqNullSafe(totals.__o_id), "left").drop("__o_id")
+    f = f.join(totals, (f.__ok == totals.__t_ok) & (f.__ok_null == totals.__t_null), "left")
     return f.select(
         "fact_sales_order_key", "order_id",
         F.coalesce("product_key", F.lit(-1).cast("bigint")).alias("product_key"),
