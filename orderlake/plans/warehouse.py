@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
 from orderlake.operators.joins import broadcast_if_small
+from orderlake.operators.totals import with_group_total
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
                        "unit_price_usd", "min_price_usd", "max_price_usd"]
@@ -50,22 +51,11 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
       before the shuffle, and AQE's skew split on the join, keep an order holding a
       large share of all lines from landing in one task.
     """
-    line_total = F.col("item_price_usd") * F.col("order_qty")
-    # Null-safe order key as two non-null parts (a null order id is a group of its
-    # own, as in SUM() OVER (PARTITION BY order_id)). The totals are grouped by the
-    # very keys of the join back, so their partitioning serves the join directly.
-    f = int_fact.withColumns({"line_total_price": line_total,
-                              "__ok": F.coalesce(F.col("order_id"), F.lit("")),
-                              "__ok_null": F.col("order_id").isNull()})
-
-    def order_totals(df):
-        return (df.groupBy(F.col("__ok").alias("__t_ok"), F.col("__ok_null").alias("__t_null"))
-                  .agg(F.sum("line_total_price").alias("order_total_amount")))
-
+    f = int_fact.withColumn("line_total_price", F.col("item_price_usd") * F.col("order_qty"))
     # With one place per IP the joins below keep one row per fact line, so the order
-    # total can be aggregated from the fact columns alone, before the dimension joins
-    # (the totals branch then does not repeat them).
-    totals = order_totals(f) if dedup_location_ip else None
+    # total (W4) is computed from the fact columns alone, before the dimension joins.
+    if dedup_location_ip:
+        f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
 
     if dim_customer_df is None:
         f = f.withColumn("customer_key", F.coalesce(surrogate_key("user_id"), F.lit(-1).cast("bigint")))
@@ -96,9 +86,8 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
     loc = loc.select(F.col("ip_address").alias("__l_ip"), "location_key")
     f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip")
 
-    if totals is None:  # an IP may have several places: total over the fanned-out rows
-        totals = order_totals(f)
-    f = f.join(totals, (f.__ok == totals.__t_ok) & (f.__ok_null == totals.__t_null), "left")
+    if not dedup_location_ip:  # an IP may have several places: total over the fanned-out rows
+        f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
     return f.select(
         "fact_sales_order_key", "order_id",
         F.coalesce("product_key", F.lit(-1).cast("bigint")).alias("product_key"),

@@ -21,6 +21,7 @@ from orderlake.functions.text import clean_string, extract_script_payload, nulli
 from orderlake.operators import quality as Q
 from orderlake.operators.dedup import keep_first
 from orderlake.operators.metrics import sales_measures
+from orderlake.operators.totals import with_group_total
 from orderlake.oracle import TRACK_PATTERN
 from orderlake.plans import extract as X
 from orderlake.plans import intermediate as I
@@ -263,8 +264,7 @@ def order_total(i: Inputs):
     """Order total on every line (an aggregate joined back on the order id)."""
     s = i.stg_fact().select("order_id", "product_id",
                             (F.col("item_price_usd") * F.col("order_qty")).alias("line_total_price"))
-    tot = s.groupBy(F.col("order_id").alias("__o")).agg(F.sum("line_total_price").alias("order_total_amount"))
-    return s.join(tot, s.order_id.eqNullSafe(tot.__o), "left").drop("__o")
+    return with_group_total(s, "order_id", "line_total_price", "order_total_amount")
 
 
 def _metrics(dim: str, key: str, attrs: list[str]):

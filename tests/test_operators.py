@@ -129,3 +129,12 @@ def test_hot_key_dedup_and_totals_match_brute_force(spark):
             want[order] += price * qty
     assert {k: v for k, v in got.items() if v is not None} == dict(want)
     assert dedup.count() == len(best)
+
+
+def test_group_total_null_safe(spark):
+    from orderlake.operators.totals import with_group_total
+    rows = [("a", 1), ("a", 2), (None, 5), (None, 7), ("", 11), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = sorted(((r.k, r.v, r.t) for r in with_group_total(df, "k", "v", "t").collect()),
+                 key=lambda x: (x[0] is None, str(x[0]), str(x[1])))
+    assert got == [("", 11, 11), ("a", 1, 3), ("a", 2, 3), ("b", None, None), (None, 5, 12), (None, 7, 12)]
