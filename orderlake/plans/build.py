@@ -28,7 +28,7 @@ def build_warehouse(raw_events: DataFrame, product_info: DataFrame, ip_ranges: D
     def m(df, layer, name):
         return materialize(df, layer, name, root=root)
 
-    ip_loc = m(X.ip_locations(raw_events, ip_ranges), "raw", "ip_locations")
+    ip_loc = X.ip_locations(raw_events, ip_ranges)  # one consumer: stays lazy
     stg_fact = m(S.stg_fact_sales_order(raw_events, rates), "staging", "stg_fact_sales_order")
     # single-consumer staging models stay views (lazy), as in the reference
     stg_product = S.stg_dim_product(product_info)
