@@ -76,4 +76,7 @@ FETCHED_PAGE = T.StructType([T.StructField("url", S), T.StructField("status", T.
 LOAD_TRACKING = T.StructType([
     T.StructField("file_name", S, False),
     T.StructField("loaded_at", T.TimestampType(), False),
+    # ours: which load wrote the entry (run id - batch id), so that a batch's own
+    # entries never count as "already loaded" when it re-reads the ledger
+    T.StructField("load_id", S, True),
 ])
