@@ -34,11 +34,16 @@ def nullif_blank(c) -> Column:
     return F.nullif(unicode_trim(c), F.lit(""))
 
 
+# Characters below U+0020 other than CR and LF (those become spaces instead).
+_CONTROL_CHARS = "".join(chr(c) for c in range(32) if c not in (10, 13))
+
+
 def clean_string(c) -> Column:
     """Newline and CR become a space, other characters below U+0020 are dropped, then
-    the result is trimmed. Null stays null."""
-    s = F.regexp_replace(_col(c), r"[\r\n]", " ")
-    s = F.regexp_replace(s, r"[\x00-\x1f]", "")
+    the result is trimmed. Null stays null. Character mapping (``translate``), one
+    scan per step, so whole documents stay cheap."""
+    s = F.translate(_col(c), "\r\n", "  ")
+    s = F.translate(s, _CONTROL_CHARS, "")
     return unicode_trim(s)
 
 
