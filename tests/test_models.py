@@ -82,3 +82,39 @@ def test_derived_keys_equal_dimension_joins(spark):
     joined = W.fact_sales_order(I.int_fact_sales_order(stg), prod, i.int_location(), **dims)
     derived = W.fact_sales_order(I.int_fact_sales_order(stg), prod, i.int_location())
     assert _rows(joined) == _rows(derived)
+
+
+def test_fact_with_a_hot_ip(spark):
+    """A third of the fact lines share one IP: every line is kept, those lines get
+    that IP's place, and line totals still add up to the order totals."""
+    from orderlake.plans import warehouse as W
+    i = Inputs(spark, SF)
+    stg = i.stg_fact()
+    int_loc = i.int_location()
+    hot = int_loc.filter(F.col("location_key") != -1).orderBy("ip_address").first()
+    skewed = stg.withColumn("ip_address", F.when(F.abs(F.hash("order_id", "product_id")) % 3 == 0,
+                                                  F.lit(hot.ip_address)).otherwise(F.col("ip_address")))
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = W.fact_sales_order(I.int_fact_sales_order(skewed), W.dim_product(i.int_product()), int_loc)
+        rows = fact.select("order_id", "location_key", "line_total_price", "order_total_amount",
+                           F.col("fact_sales_order_key")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", old)
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionFactor")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(rows) == skewed.count()
+    n_hot = skewed.filter(F.col("ip_address") == hot.ip_address).count()
+    assert sum(1 for r in rows if r.location_key == hot.location_key) >= n_hot
+    import collections
+    from decimal import Decimal
+    sums = collections.defaultdict(Decimal)
+    totals = {}
+    for r in rows:
+        if r.line_total_price is not None:
+            sums[r.order_id] += r.line_total_price
+        totals[r.order_id] = r.order_total_amount
+    assert all(totals[k] == v for k, v in sums.items())
