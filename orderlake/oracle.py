@@ -298,12 +298,15 @@ dim_product AS (
 )"""
 
 IP_RANGES = f"""
-ip_ranges AS (
-  SELECT CAST(n.n_nationkey AS BIGINT) * {NATION_BLOCK} + c.city_no * {CITY_BLOCK} AS ip_from,
-         CAST(n.n_nationkey AS BIGINT) * {NATION_BLOCK} + c.city_no * {CITY_BLOCK} + {CITY_BLOCK - 1} AS ip_to,
-         n.n_name AS country, r.r_name AS region, n.n_name || '-city-' || CAST(c.city_no AS VARCHAR) AS city
+_nr AS (
+  SELECT n.n_nationkey, n.n_name, r.r_name, UNNEST(range({CITIES_PER_NATION})) AS city_no
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-  CROSS JOIN (SELECT range AS city_no FROM range({CITIES_PER_NATION})) c
+),
+ip_ranges AS (
+  SELECT CAST(n_nationkey AS BIGINT) * {NATION_BLOCK} + city_no * {CITY_BLOCK} AS ip_from,
+         CAST(n_nationkey AS BIGINT) * {NATION_BLOCK} + city_no * {CITY_BLOCK} + {CITY_BLOCK - 1} AS ip_to,
+         n_name AS country, r_name AS region, n_name || '-city-' || CAST(city_no AS VARCHAR) AS city
+  FROM _nr
 )"""
 
 _IPV4 = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
