@@ -197,24 +197,26 @@ PRICE_FORMATS = [
 ]
 
 
-def _format_price(template, p: dict) -> Column:
+def _format_price_sql(template) -> str:
+    """SQL for one price-format template over the staged columns __m (whole units),
+    __g (grouped with commas), __e (grouped with dots) and __f (cents)."""
     if template is None:
-        return F.lit(None).cast("string")
+        return "CAST(NULL AS STRING)"
     parts, buf, i = [], "", 0
     while i < len(template):
         if template[i] == "{":
             j = template.index("}", i)
             if buf:
-                parts.append(F.lit(buf))
+                parts.append(sql_str(buf))
                 buf = ""
-            parts.append({"m": p["whole"], "g": p["grouped"], "e": p["eu_grouped"], "f": p["frac"]}[template[i + 1:j]])
+            parts.append("__" + template[i + 1:j])
             i = j + 1
         else:
             buf += template[i]
             i += 1
     if buf:
-        parts.append(F.lit(buf))
-    return F.concat(*parts)
+        parts.append(sql_str(buf))
+    return "concat(" + ", ".join(parts) + ")"
 
 
 def product_records(part: DataFrame) -> DataFrame:
@@ -230,16 +232,16 @@ def product_records(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     cents, max_cents = F.col("cents"), F.col("max_cents")
     pm = price_texts(F.col("min_cents"))
-    fmt = None
-    for i, t in enumerate(PRICE_FORMATS):
-        v = _format_price(t, pm)
-        fmt = F.when(pk % len(PRICE_FORMATS) == i, v) if fmt is None else fmt.when(pk % len(PRICE_FORMATS) == i, v)
+    u = u.select("*", pm["whole"].alias("__m"), pm["grouped"].alias("__g"), pm["eu_grouped"].alias("__e"),
+                 pm["frac"].alias("__f"))
+    arms = " ".join(f"WHEN {i} THEN {_format_price_sql(t)}" for i, t in enumerate(PRICE_FORMATS))
+    fmt = F.expr(f"CASE pmod(p_partkey, {len(PRICE_FORMATS)}) {arms} END")
     cols = {
         "product_id": pk.cast("string"),
         "name": F.when(F.col("version") == 1, F.concat(F.col("p_name"), F.lit(" (v2)"))).otherwise(F.col("p_name")),
         "sku": F.concat(F.lit("SKU-"), pk.cast("string")),
         "price": price_texts(cents)["plain"],
-        "min_price": pm["plain"],
+        "min_price": F.concat(F.col("__m"), F.lit("."), F.col("__f")),
         "max_price": price_texts(max_cents)["plain"],
         "min_price_format": fmt,
         "qty": F.col("p_size").cast("string"),
