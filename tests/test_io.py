@@ -182,3 +182,14 @@ def test_ingest_crash_between_data_and_ledger(spark, tmp_dir):
     ingest_files(spark, landing, "raw_events*.jsonl", RAW_EVENT_TEXT, checkpoint_path=os.path.join(tmp_dir, "c2"), **kw)
     assert sorted(r.order_id for r in read_loaded(spark, kw["target_path"]).collect()) == ["1", "2"]
     assert read_ledger(spark, kw["ledger_path"]).count() == 1
+
+
+def test_split_url_records_round_trip(spark, tmp_dir):
+    from orderlake.plans import extract as X
+    rows = [("view_product_detail", "hot", None, f"u{n:03d}", None) for n in range(120)]
+    ev = spark.createDataFrame(rows, "collection string, product_id string, viewing_product_id string, "
+                                     "current_url string, referrer_url string")
+    K.write_jsonl(X.product_urls(ev, max_urls_per_record=50), os.path.join(tmp_dir, "urls"))
+    back = R.read_urls(spark, os.path.join(tmp_dir, "urls"))
+    assert back.count() == 3
+    assert sorted(u for r in back.collect() for u in r.urls) == [f"u{n:03d}" for n in range(120)]
