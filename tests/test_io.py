@@ -193,3 +193,16 @@ def test_split_url_records_round_trip(spark, tmp_dir):
     back = R.read_urls(spark, os.path.join(tmp_dir, "urls"))
     assert back.count() == 3
     assert sorted(u for r in back.collect() for u in r.urls) == [f"u{n:03d}" for n in range(120)]
+
+
+def test_build_job_exit_status(spark, tmp_dir):
+    """The build job exits 1 when a declared check fails (the planted invalid product
+    ids give null fact keys)."""
+    from orderlake.jobs import main
+    from orderlake.queries import Inputs
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    i.raw_events().write.parquet(os.path.join(tmp_dir, "raw"))
+    i.product_info().write.json(os.path.join(tmp_dir, "products"))
+    i.ranges().write.parquet(os.path.join(tmp_dir, "ranges"))
+    assert main(["build", "--raw", os.path.join(tmp_dir, "raw"), "--products", os.path.join(tmp_dir, "products"),
+                 "--ip-ranges", os.path.join(tmp_dir, "ranges"), "--out", os.path.join(tmp_dir, "wh")]) == 1
