@@ -138,3 +138,18 @@ def test_group_total_null_safe(spark):
     got = sorted(((r.k, r.v, r.t) for r in with_group_total(df, "k", "v", "t").collect()),
                  key=lambda x: (x[0] is None, str(x[0]), str(x[1])))
     assert got == [("", 11, 11), ("a", 1, 3), ("a", 2, 3), ("b", None, None), (None, 5, 12), (None, 7, 12)]
+
+
+def test_size_checked_broadcast_and_cluster_conf(spark):
+    from orderlake.operators.joins import broadcast_if_small, has_at_most
+    from orderlake.session import cluster_conf
+    small = spark.range(10)
+    assert has_at_most(small, 10) and not has_at_most(small, 9)
+    big = spark.range(10)
+    j_small = spark.range(100).join(broadcast_if_small(small, 10), "id")
+    j_big = spark.range(100).join(broadcast_if_small(big, 5), "id")
+    assert "broadcast" in j_small._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "broadcast" not in j_big._jdf.queryExecution().optimizedPlan().toString().lower()
+    conf = cluster_conf(input_bytes=100 * 2**40, executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 * 2**40) // (256 << 20)
+    assert int(cluster_conf(input_bytes=1 << 20, executors=10)["spark.sql.shuffle.partitions"]) == 80
