@@ -105,7 +105,7 @@ def test_surrogate_key_null_and_separator(spark):
 
 def test_json_shape_golden(spark):
     cases = [(None, 0), ('{"option_label":"1"}', 1), ('[{"option_label":"2"}]', 1), ("7", 0), ("text", 0),
-             ('[{"option_label":"3"}, 7, "x"]', 1)]
+             ('[{"option_label":"3"}, 7, "x"]', 1), ('[{"option_label":"4"}, "{abc"]', 1)]
     df = spark.createDataFrame(cases, "t string, n int")
     opts = normalize_option_json("t", "struct<option_label:string,value_label:string>")
     for row in df.select("n", F.size(opts).alias("got")).collect():
