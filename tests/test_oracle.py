@@ -19,5 +19,5 @@ def test_all_queries_match_oracle(spark):
 
 
 def test_every_query_has_an_oracle():
-    import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    from orderlake import oracle, queries
+    assert set(queries.queries()) == set(oracle.oracle_sql())
