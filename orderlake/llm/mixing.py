@@ -69,7 +69,8 @@ def mix_counts(docs: DataFrame, seed: int = 7, fills: int = 3, **rules) -> DataF
     """Per document row: doc_id, text_hash, size, source_size, target, reps, taken.
 
     ``fills``: after the cut, so many times the largest untaken document that still fits
-    into a source's remaining words is added."""
+    into a source's remaining words is added; then one whose size is nearest to what
+    remains, if that brings the source closer to its target."""
     sizes = written(docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
                                 n_words(F.col("text")).alias("size"))
                     .withColumn("draw", seeded_draw(seed, F.col("doc_id")))
@@ -98,12 +99,13 @@ def mix_counts(docs: DataFrame, seed: int = 7, fills: int = 3, **rules) -> DataF
     gap = written(base.groupBy(F.col("source").alias("_source"))
                   .agg((F.max("extra") - F.sum(F.col("size") * F.col("more"))).alias("gap")), "mixing-gap")
     added = None
-    for _ in range(fills):
+    for k in range(fills + 1):
         free = base.filter("more = 0 and size > 0")
         if added is not None:
             free = free.join(added, "_row", "left_anti")
-        fit = (free.join(gap, same).filter("size <= gap").groupBy("_source", "gap")
-               .agg(F.max(F.struct("size", "draw", "doc_id", "text_hash", "_row")).alias("best")))
+        miss = F.abs(F.col("gap") - F.col("size"))
+        fit = (free.join(gap, same).filter("size <= gap" if k < fills else "size < 2 * gap").groupBy("_source", "gap")
+               .agg(F.min(F.struct(miss, "size", "draw", "doc_id", "text_hash", "_row")).alias("best")))
         step = written(fit.select("_source", "best.size", "best._row"), "mixing-fill")
         rows = step.select("_row")
         added = rows if added is None else added.unionByName(rows)

@@ -9,8 +9,8 @@ Two points keep clean documents:
 - A line's limit is the larger of ``min_docs`` documents and ``max_share`` of the host's
   documents, so it means the same at every corpus size.
 - Copies of one document are one document here (removing copies is the near-dedup's
-  work). The document's identity is the hash of its longest normalised line, so a line
-  is boilerplate only if it recurs among documents that otherwise differ.
+  work). Seen from a line, a document is known by its longest other normalised line, so
+  a line is boilerplate only if it recurs among documents that otherwise differ.
 
 Defined results: null text is an empty text (no words, base_failed); a null host is a
 host of its own; repeated rows are judged alike; an empty table gives an empty result;
@@ -69,18 +69,23 @@ def line_features(docs: DataFrame) -> DataFrame:
         "_p", F.struct(F.lit(-3).alias("at"), F.lit(0).alias("n")),
         lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")),
         lambda a: a["n"].cast("long"))
-    longest = F.array_max(F.transform("lines", lambda x: F.struct(x["n"].alias("n"), x["h"].alias("h"))))["h"]
-    return places.select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    longest = F.sort_array(F.array_distinct(F.transform(
+        "lines", lambda x: F.struct(x["n"].alias("n"), x["h"].alias("h")))), asc=False)
+    return places.withColumn("_top", longest).select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          F.coalesce(repeated, F.lit(0).cast("long")).alias("n_repeat_words"),
-                         F.coalesce(longest, F.lit(0).cast("long")).alias("identity"), "lines")
+                         F.transform("lines", lambda x: F.struct(
+                             x["h"].alias("h"), x["w"].alias("w"),
+                             F.coalesce(F.when(x["h"] == F.get("_top", F.lit(0))["h"], F.get("_top", F.lit(1))["h"])
+                                        .otherwise(F.get("_top", F.lit(0))["h"]), x["h"]).alias("beside"))).alias("lines"))
 
 
-def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0.01) -> DataFrame:
+def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0.05) -> DataFrame:
     """(host, h, n_docs): lines held by more distinct documents of their host than its limit.
 
     Both counts are aggregates with map-side partial sums, so neither a hot line nor a
     hot host reaches one task in full."""
-    held = features.select("host", "identity", F.explode("lines.h").alias("h")).distinct()
+    held = (features.select("host", F.explode("lines").alias("l"))
+            .select("host", F.col("l.h").alias("h"), F.col("l.beside").alias("beside")).distinct())
     per_line = (held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
                 .filter(F.col("n_docs") > min_docs))
     hosts = (features.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
@@ -88,7 +93,7 @@ def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0
             .select("host", "h", "n_docs"))
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.01,
+def quality_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05,
                   max_lost_percent: int = 50) -> DataFrame:
     """Verdict per document: base counts, words removed with frequent lines, ``kept``, and
     the hashes of its frequent lines (``cut_lines``)."""
@@ -98,7 +103,7 @@ def quality_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.01,
             .select("_row", "host", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
             .join(frequent.select("host", "h"), ["host", "h"])
             .groupBy("_row").agg(F.sum("w").alias("n_cut_words"), F.collect_set("h").alias("cut_lines")))
-    out = features.drop("lines", "identity").join(lost, "_row", "left").drop("_row")
+    out = features.drop("lines").join(lost, "_row", "left").drop("_row")
     cut = F.coalesce("n_cut_words", F.lit(0)).cast("long")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (out.withColumn("n_cut_words", cut)

@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 from orderlake.llm.bpe import encode_documents
 from orderlake.llm.chat import format_conversations, read_conversations
 from orderlake.llm.common import documents
+from orderlake.llm.imatch import fingerprints
 from orderlake.llm.mixing import mix_counts
+from orderlake.llm.pii import pii_digest
 from orderlake.llm.quality_rules import quality_rules
 from orderlake.llm.secrets import scan_documents
 from orderlake.llm.sharding import shard_documents
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(documents(spark, sf_dir))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), n_shards=40)
 
@@ -43,6 +49,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(documents(spark, sf_dir))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_rules(documents(spark, sf_dir))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,10 +66,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": op1_pii,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op5_chat": op5_chat,
         "op7_secrets": op7_secrets,
+        "op8_imatch": op8_imatch,
         "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
     }
