@@ -13,6 +13,7 @@ from orderlake.llm.chat import format_conversations, read_conversations
 from orderlake.llm.common import documents
 from orderlake.llm.imatch import fingerprints
 from orderlake.llm.mixing import mix_counts
+from orderlake.llm.near_dup import near_duplicates
 from orderlake.llm.pii import pii_digest
 from orderlake.llm.quality_rules import quality_rules
 from orderlake.llm.secrets import scan_documents
@@ -23,6 +24,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(documents(spark, sf_dir))
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), k=2, percent=80)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), n_shards=40)
 
@@ -67,6 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
+        "op2_near_dup": op2_near_dup,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op5_chat": op5_chat,
