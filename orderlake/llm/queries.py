@@ -18,6 +18,7 @@ from orderlake.llm.pii import pii_digest
 from orderlake.llm.quality_rules import quality_rules
 from orderlake.llm.secrets import scan_documents
 from orderlake.llm.sharding import shard_documents
+from orderlake.llm.suffix_dedup import dedup_substrings
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_conversations(format_conversations(turns.unionByName(more)))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir)).drop("kept")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(documents(spark, sf_dir))
 
@@ -76,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op5_chat": op5_chat,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_secrets": op7_secrets,
         "op8_imatch": op8_imatch,
         "op9_quality_rules": op9_quality_rules,
