@@ -265,7 +265,8 @@ def _list_minimizers(n_buckets: int):
         mine, m = ids[inside], marks[inside]
         by = np.argsort(mine, kind="stable")
         for a, b in zip(*runs_of(mine[by])):
-            rows.append((int(m[by[a]] >> np.uint64(20)) % n_buckets, int(mine[by[a]]), m[by[a:b]].tobytes(), None, None))
+            i = int(mine[by[a]])
+            rows.append((i % n_buckets, i, m[by[a:b]].tobytes(), None, None))
         to = _bucket(marks[first], n_buckets)
         by = np.argsort(to, kind="stable")
         for a, b in zip(*runs_of(to[by])):
@@ -292,39 +293,63 @@ def _list_minimizers(n_buckets: int):
     return run
 
 
-def _reply_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reply_shared(n_buckets: int):
+    """Shared minimizers per document, packed by the bucket of the document."""
+    fields = [("bucket", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary())]
+
+    def send(i: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        to = i % n_buckets
+        by = np.argsort(to, kind="stable")
+        return _batch([(int(to[by[a]]), _pack(i[by[a:b]]), m[by[a:b]].tobytes()) for a, b in zip(*runs_of(to[by]))], fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, ids, known, local_ids, local = [], [], [], [], []
+        for batch in batches:
+            for i, m, d, k in zip(*(batch.column(c).to_pylist() for c in ("id", "marks", "ids", "known"))):
+                if d is None:
+                    local_ids.append(np.full(len(m) // 8, i, dtype=np.int64))
+                    local.append(np.frombuffer(m, dtype=np.uint64))
+                else:
+                    marks.append(m)
+                    ids.append(d)
+                    known.append(k)
+            if sum(map(len, local)) * 16 > CHUNK:
+                yield send(np.concatenate(local_ids), np.concatenate(local))
+                local_ids, local = [], []
+        if local:
+            yield send(np.concatenate(local_ids), np.concatenate(local))
+        if not marks:
+            return
+        m = np.frombuffer(b"".join(marks), dtype=np.uint64)
+        i = np.frombuffer(b"".join(ids), dtype=_I64)
+        k = np.frombuffer(b"".join(known), dtype=np.uint8).astype(bool)
+        del marks, ids, known
+        order = np.argsort(m, kind="stable")
+        first, last = runs_of(m[order])
+        ask = order[np.repeat(last - first > 1, last - first)]
+        ask = ask[~k[ask]]  # the others have their answer
+        if len(ask):
+            yield send(i[ask], m[ask])
+
+    return run
+
+
+def _gather_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document: all its shared minimizers."""
     fields = [("id", pa.int64()), ("marks", pa.binary())]
-    marks, ids, known = [], [], []
+    ids, marks = [], []
     for batch in batches:
-        local = []
-        for i, m, d, k in zip(*(batch.column(c).to_pylist() for c in ("id", "marks", "ids", "known"))):
-            if d is None:
-                local.append((i, m))
-            else:
-                marks.append(m)
-                ids.append(d)
-                known.append(k)
-        if local:
-            yield _batch(local, fields)
-    if not marks:
+        ids += batch.column("ids").to_pylist()
+        marks += batch.column("marks").to_pylist()
+    if not ids:
         return
-    m = np.frombuffer(b"".join(marks), dtype=np.uint64)
-    i = np.frombuffer(b"".join(ids), dtype=_I64)
-    k = np.frombuffer(b"".join(known), dtype=np.uint8).astype(bool)
-    del marks, ids, known
-    order = np.argsort(m, kind="stable")
-    first, last = runs_of(m[order])
-    shared = np.repeat(last - first > 1, last - first)
-    ask = order[shared]
-    ask = ask[~k[ask]]  # the others have their answer
-    by = ask[np.argsort(i[ask], kind="stable")]
-    rows = []
-    for a, b in zip(*runs_of(i[by])):
-        rows.append((int(i[by[a]]), m[by[a:b]].tobytes()))
-        if len(rows) == 50_000:
-            yield _batch(rows, fields)
-            rows = []
-    yield _batch(rows, fields)
+    i, m = np.frombuffer(b"".join(ids), dtype=_I64), np.frombuffer(b"".join(marks), dtype=np.uint64)
+    del ids, marks
+    by = np.argsort(i, kind="stable")
+    i, m = i[by], m[by]
+    first, last = runs_of(i)
+    for k in range(0, len(first), 20_000):
+        yield _batch([(int(i[a]), m[a:b].tobytes()) for a, b in zip(first[k:k + 20_000], last[k:k + 20_000])], fields)
 
 
 def _cut_segments(n_buckets: int):
@@ -365,14 +390,14 @@ def _cut_segments(n_buckets: int):
             for i, h, t, lists, copies in zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(),
                                               batch.column("text"), batch.column("marks").to_pylist(),
                                               batch.column("copies").to_pylist()):
-                if not lists or h in (copies or ()):
+                if h in (copies or ()):
                     continue
                 raw = t.as_py().encode()
                 m = minimizers(np.frombuffer(raw, dtype=np.uint8))
                 if not len(m):
                     continue
                 first, last = runs_of(m)
-                shared = np.unique(np.frombuffer(b"".join(lists), dtype=np.uint64))
+                shared = np.unique(np.frombuffer(lists, dtype=np.uint64))
                 at = np.minimum(np.searchsorted(shared, m[first]), len(shared) - 1)
                 for r in np.flatnonzero(shared[at] == m[first]):
                     a, b = int(first[r]), int(last[r]) + WINDOW - 1
@@ -457,25 +482,26 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     spark = docs.sparkSession
     n = range_partitions(spark)
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), text_of().alias("text"))
+    # the smallest id stands for null
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), text_of().alias("text"))
     texts = written(rows.select("id", F.xxhash64("text").alias("hash"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"))
                     , "sd-texts")
     several = written(texts.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                       .filter("least < most").select("key", "least"), "sd-several")
     copies = texts.join(several, "key").filter("id > least").groupBy("id").agg(F.collect_set("hash").alias("copies"))
 
-    listed = rows.select("id", "text").mapInArrow(
-        _list_minimizers(n), "bucket long, id long, marks binary, ids binary, known binary")
-    shared = listed.repartition(n, "bucket").mapInArrow(_reply_shared, "id long, marks binary")
-    notes = written(shared.groupBy("id").agg(F.collect_list("marks").alias("marks")).join(copies, "id", "full"), "sd-notes")
+    listed = rows.mapInArrow(_list_minimizers(n), "bucket long, id long, marks binary, ids binary, known binary")
+    replies = listed.repartition(n, "bucket").mapInArrow(_reply_shared(n), "bucket long, ids binary, marks binary")
+    shared = replies.repartition(n, "bucket").mapInArrow(_gather_replies, "id long, marks binary")
+    notes = written(shared.join(copies, "id", "full"), "sd-notes")
 
     # the texts are dealt by id once; both joins below read the same exchange
-    dealt = rows.select("id", "doc_id", "text").repartition(n, "id")
+    dealt = rows.repartition(n, "id")
     noted = dealt.join(notes.hint("shuffle_merge"), "id", "left").withColumn("hash", F.xxhash64("text"))
     segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copies").mapInArrow(
         _cut_segments(n), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
     flagged = (segments.repartition(n, "bucket").mapInArrow(_settle_segments, "id long, hash long, first binary, last binary")
                .groupBy("id").agg(F.collect_list(F.struct("hash", "first", "last")).alias("flagged")))
-    return (noted.select("id", "doc_id", "hash", "text", "copies").join(flagged.hint("shuffle_merge"), "id", "left")
-            .select("doc_id", "hash", "text", "copies", "flagged")
+    return (noted.select("id", "hash", "text", "copies").join(flagged.hint("shuffle_merge"), "id", "left")
+            .select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "hash", "text", "copies", "flagged")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
