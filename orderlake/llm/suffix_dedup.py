@@ -41,7 +41,7 @@ from orderlake.llm.common import range_partitions, text_of, written
 
 WINDOW, GRAM = 50, 20
 CHUNK = 16 << 20  # bytes of text a task holds before it sends on
-SHARD = 2 << 20   # bytes of segments sorted at once
+SHARD = 1 << 20   # bytes of segments sorted at once
 NO_ID = -(1 << 63)
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
