@@ -21,11 +21,12 @@ def key_text(*cols) -> Column:
 
 
 def surrogate_key(*cols) -> Column:
-    """Deterministic 60-bit key: the first 15 hex digits of MD5 of the key text, as bigint.
+    """Deterministic 64-bit key: the first 16 hex digits of MD5 of the key text, as a
+    signed bigint.
 
     Null in gives null out. MD5 keeps the key reproducible in any SQL engine (the
-    oracle computes the same value); the 60-bit width keeps it non-negative, so the
-    default member's key -1 can never collide with a real key.
+    oracle computes the same value). A real key equals the default member's -1 with a
+    chance of 2^-64, as any two keys do.
     """
     s = key_text(*cols)
-    return F.when(s.isNotNull(), F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("bigint"))
+    return F.when(s.isNotNull(), F.conv(F.substring(F.md5(s), 1, 16), 16, -10).cast("bigint"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.text import _col, unicode_trim
 
-PRICE_TYPE = "decimal(20,9)"
+# 16 integer digits; times a decimal(12,6) rate it is still exact in 38 digits
+PRICE_TYPE = "decimal(25,9)"
 
 # A number that both Spark and SQL engines cast the same way: ASCII digits only.
 # (Spark alone would also accept Arabic-Indic digits.)

@@ -20,6 +20,7 @@ from orderlake.operators import quality as Q
 from orderlake.plans import extract as X
 from orderlake.plans.build import build_warehouse
 from orderlake.schemas import RAW_EVENT_TEXT
+from orderlake.operators.currency import check_rates
 from orderlake.session import apply_session_conf
 from orderlake.sources import readers as R
 from orderlake.sources import sinks as K
@@ -64,7 +65,7 @@ def run_checks(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def build(spark: SparkSession, args) -> int:
-    rates = R.read_seed(spark, args.rates) if args.rates else exchange_rates(spark, shop_host=args.shop_host)
+    rates = check_rates(R.read_seed(spark, args.rates)) if args.rates else exchange_rates(spark, shop_host=args.shop_host)
     star = build_warehouse(
         raw_events=spark.read.parquet(args.raw),
         product_info=R.read_product_info(spark, args.products),

@@ -1,24 +1,34 @@
 """Currency resolution (C7, J1) and USD conversion.
 
-The seed has about 70 rows and is unique by code and by domain, so both lookups are
-broadcast hash joins: no shuffle, no fan-out, the fact side keeps its partitioning."""
+The seed has about 70 rows and is unique by code and by domain, so Spark plans both
+lookups as broadcast joins from its known size: no shuffle, no fan-out, the fact side
+keeps its partitioning. No hint is given: a larger rates table is joined as its size
+demands, and ``check_rates`` refuses one that is not unique."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.operators.joins import bounded_broadcast
+USD_TYPE = "decimal(33,9)"
 
-USD_TYPE = "decimal(20,9)"
+
+def check_rates(rates: DataFrame) -> DataFrame:
+    """The rates, after a check that no code and no domain occurs twice (a doubled one
+    would multiply fact rows)."""
+    for c in ("currency_code", "domain"):
+        twice = rates.filter(F.col(c).isNotNull()).groupBy(c).count().filter("count > 1")
+        if not twice.isEmpty():
+            raise ValueError(f"exchange rates: {c} is not unique")
+    return rates
 
 
 def resolve_currency(df: DataFrame, rates: DataFrame, symbol_code: str = "currency_code_from_symbol",
                      domain: str = "domain") -> DataFrame:
     """currency_code = symbol code, else the shop domain's currency, else USD;
     currency_source tells which rule applied."""
-    by_domain = bounded_broadcast(rates.select(F.col("domain").alias("__rate_domain"),
-                                               F.col("currency_code").alias("__domain_code")))
+    by_domain = rates.select(F.col("domain").alias("__rate_domain"),
+                                               F.col("currency_code").alias("__domain_code"))
     j = df.join(by_domain, df[domain] == by_domain["__rate_domain"], "left")
     sym = F.col(symbol_code)
     return (j.withColumn("currency_code", F.coalesce(sym, F.col("__domain_code"), F.lit("USD")))
@@ -32,8 +42,8 @@ def resolve_currency(df: DataFrame, rates: DataFrame, symbol_code: str = "curren
 def to_usd(df: DataFrame, rates: DataFrame, amounts: dict[str, str], code: str = "currency_code") -> DataFrame:
     """For each ``{out: amount}``: ROUND(amount * rate_to_usd, 2) in decimal; a code
     without a seed row gives null."""
-    r = bounded_broadcast(rates.select(F.col("currency_code").alias("__rate_code"), F.col("rate_to_usd").alias("__rate")))
+    r = rates.select(F.col("currency_code").alias("__rate_code"), F.col("rate_to_usd").alias("__rate"))
     j = df.join(r, df[code] == r["__rate_code"], "left")
     for out, amount in amounts.items():
-        j = j.withColumn(out, F.round(F.col(amount) * F.col("__rate"), 2).cast(USD_TYPE))
+        j = j.withColumn(out, F.round(F.col(amount) * F.col("__rate"), 2).try_cast(USD_TYPE))
     return j.drop("__rate_code", "__rate")

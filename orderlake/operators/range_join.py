@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.operators.joins import broadcast_if_small
-
 def ipv4_to_long(c) -> Column:
     """Dotted IPv4 text to its 32-bit value; anything else (text, IPv6, an octet that
     is not 1-3 ASCII digits or is above 255, null) gives null.
@@ -32,11 +30,10 @@ def ipv4_to_long(c) -> Column:
 
 
 def range_join(points: DataFrame, point_col: str, ranges: DataFrame, lo: str = "ip_from", hi: str = "ip_to",
-               how: str = "inner", bucket_bits: int = 16, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+               how: str = "inner", bucket_bits: int = 16) -> DataFrame:
     """Join each point to the range that contains it. ``how`` is inner or left."""
     b = lambda c: F.shiftright(c, bucket_bits)
     exploded = ranges.withColumn("__bucket", F.explode(F.sequence(b(F.col(lo)), b(F.col(hi)))))
-    exploded = broadcast_if_small(exploded, broadcast_max_rows)
     p = points.withColumn("__pbucket", b(F.col(point_col)))
     cond = (p["__pbucket"] == exploded["__bucket"]) & p[point_col].between(exploded[lo], exploded[hi])
     return p.join(exploded, cond, how).drop("__pbucket", "__bucket")

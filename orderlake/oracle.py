@@ -16,12 +16,11 @@ from orderlake.functions.text import URL_DOMAIN_PATTERN, WHITESPACE_CLASS
 from orderlake.plans.extract import PRODUCT_EVENTS, SPECIAL_EVENT, fallback_url_template
 from orderlake.sources.adapters import (
     CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, NATION_BLOCK, PRICE_FORMATS,
-    ZERO_PRICE_SPELLINGS, shop_urls,
+    TRACK_PATTERN, ZERO_PRICE_SPELLINGS, shop_urls,
 )
 from orderlake.sources.seed import DEFAULT_SHOP_HOST, seed_values_sql
 
 HOST = DEFAULT_SHOP_HOST
-TRACK_PATTERN = r"track\((\d+)\)"
 
 
 def q(s) -> str:
@@ -44,9 +43,11 @@ def pick(key: str, values: list) -> str:
 
 
 def skey(*parts: str) -> str:
-    """Surrogate key: first 15 hex digits of md5 of the parts joined by U+001F."""
+    """Surrogate key: first 16 hex digits of md5, signed, of the parts joined by U+001F."""
     s = " || chr(31) || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CASE WHEN ({s}) IS NOT NULL THEN ('0x' || substr(md5({s}), 1, 15))::BIGINT END)"
+    return (f"(CASE WHEN ({s}) IS NOT NULL THEN "
+            f"(('0x' || substr(md5({s}), 1, 16))::UBIGINT::HUGEINT + 9223372036854775808) % 18446744073709551616 "
+            f"- 9223372036854775808 END)::BIGINT")
 
 
 def safe_int(x: str) -> str:
@@ -57,7 +58,7 @@ def safe_int(x: str) -> str:
 def safe_decimal(x: str) -> str:
     t = utrim(x)
     return (f"(CASE WHEN regexp_matches({t}, '^[-+]?[0-9.]+([eE][-+]?[0-9]+)?$') "
-            f"THEN TRY_CAST({t} AS DECIMAL(20,9)) END)")
+            f"THEN TRY_CAST({t} AS DECIMAL(25,9)) END)")
 
 
 def parse_price(raw: str) -> str:
@@ -203,7 +204,7 @@ _resolved AS (
   FROM _priced f LEFT JOIN {SEED} er ON f.domain = er.domain
 ),
 stg_fact AS (
-  SELECT f.*, CAST(ROUND(f.item_price * e.rate_to_usd, 2) AS DECIMAL(20,9)) AS item_price_usd
+  SELECT f.*, CAST(ROUND(f.item_price * e.rate_to_usd, 2) AS DECIMAL(33,9)) AS item_price_usd
   FROM _resolved f LEFT JOIN {SEED} e ON f.currency_code = e.currency_code
 ),
 int_fact AS (
@@ -285,9 +286,9 @@ stg_product AS (
 int_product AS (
   SELECT {skey('product_id')} AS product_key, p.product_id, p.product_name, p.category_id, p.category_name,
          p.unit_price, p.min_price, p.max_price, p.currency_code,
-         CAST(ROUND(p.unit_price * e.rate_to_usd, 2) AS DECIMAL(20,9)) AS unit_price_usd,
-         CAST(ROUND(p.min_price * e.rate_to_usd, 2) AS DECIMAL(20,9)) AS min_price_usd,
-         CAST(ROUND(p.max_price * e.rate_to_usd, 2) AS DECIMAL(20,9)) AS max_price_usd
+         CAST(ROUND(p.unit_price * e.rate_to_usd, 2) AS DECIMAL(33,9)) AS unit_price_usd,
+         CAST(ROUND(p.min_price * e.rate_to_usd, 2) AS DECIMAL(33,9)) AS min_price_usd,
+         CAST(ROUND(p.max_price * e.rate_to_usd, 2) AS DECIMAL(33,9)) AS max_price_usd
   FROM stg_product p LEFT JOIN {SEED} e ON p.currency_code = e.currency_code
   UNION ALL
   SELECT -1, -1, 'Unknown', -1, 'Unknown', 0.00, 0.00, 0.00, 'Unknown', 0.00, 0.00, 0.00

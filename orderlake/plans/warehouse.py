@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
-from orderlake.operators.joins import broadcast_if_small
 from orderlake.operators.totals import with_group_total
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
@@ -32,7 +31,7 @@ def dim_product(int_product: DataFrame) -> DataFrame:
 
 def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_location: DataFrame,
                      dim_customer_df: DataFrame | None = None, dim_date_df: DataFrame | None = None,
-                     dedup_location_ip: bool = True, product_broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                     dedup_location_ip: bool = True) -> DataFrame:
     """One row per product per order with the four dimension keys (-1 when
     missing), the line total and the order total.
 
@@ -67,14 +66,13 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
         f = f.withColumn("date_key", F.coalesce(surrogate_key(F.col("order_local_time").cast("string")),
                                                 F.lit(-1).cast("bigint")))
     else:
-        d = F.broadcast(dim_date_df.select(F.col("full_date").alias("__d_date"), F.col("date_key")))  # observed days only
+        d = dim_date_df.select(F.col("full_date").alias("__d_date"), F.col("date_key"))
         f = f.join(d, f.order_local_time == d.__d_date, "left").drop("__d_date") \
              .withColumn("date_key", F.coalesce("date_key", F.lit(-1).cast("bigint")))
 
     # the dimension is unique per product id; as an aggregate that is visible to
     # Catalyst, which then drops the join when product_key is never read
     p = dim_product_df.groupBy(F.col("product_id").alias("__p_id")).agg(F.min("product_key").alias("product_key"))
-    p = broadcast_if_small(p, product_broadcast_max_rows)
     f = f.join(p, f.product_id == p.__p_id, "left").drop("__p_id")
 
     loc = int_location.select("ip_address", "location_key")

@@ -22,12 +22,12 @@ from orderlake.operators import quality as Q
 from orderlake.operators.dedup import keep_first
 from orderlake.operators.metrics import sales_measures
 from orderlake.operators.totals import with_group_total
-from orderlake.oracle import TRACK_PATTERN
 from orderlake.plans import extract as X
 from orderlake.plans import intermediate as I
 from orderlake.plans import staging as S
 from orderlake.plans import warehouse as W
 from orderlake.sources import adapters as A
+from orderlake.sources.adapters import TRACK_PATTERN
 from orderlake.sources.seed import exchange_rates
 from orderlake.session import apply_session_conf
 
@@ -409,13 +409,10 @@ def raw_event_lines(raw: DataFrame) -> DataFrame:
     return raw.select(base.alias("__base"), cart.alias("__cart")).select(line.alias("value"))
 
 
-def _write_raw_lines(i: Inputs, name: str, files: int | None = None) -> str:
+def _write_raw_lines(i: Inputs, name: str) -> str:
     from orderlake.session import scratch_path
     path = scratch_path(i.spark, name)
-    lines = raw_event_lines(i.raw_events())
-    if files:
-        lines = lines.repartition(files)
-    lines.write.mode("overwrite").text(path)
+    raw_event_lines(i.raw_events()).write.mode("overwrite").text(path)
     return path
 
 
@@ -501,7 +498,7 @@ def ingest_idempotent(i: Inputs):
     from orderlake.session import scratch_path
     from orderlake.sources.readers import normalize_events
     from orderlake.streaming.ingest import ingest_files, read_loaded
-    landing = _write_raw_lines(i, "landing", files=8)
+    landing = _write_raw_lines(i, "landing")
     work = scratch_path(i.spark, "ingest")
     kw = dict(target_path=f"{work}/raw_events", ledger_path=f"{work}/load_tracking",
               report_path=f"{work}/load_report", transform=normalize_events)

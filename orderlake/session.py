@@ -18,6 +18,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # the JVM does not compile methods above 8000 bytecodes: leave such a stage to the
+    # row iterators rather than to interpreted generated code
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

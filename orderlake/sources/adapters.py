@@ -262,7 +262,7 @@ CITIES_PER_NATION = 4
 def ip_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     r = region.select("r_regionkey", "r_name")
-    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")  # region: five rows by definition
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     j = j.select("*", F.explode(F.sequence(F.lit(0), F.lit(CITIES_PER_NATION - 1))).alias("city_no"))
     lo = F.col("n_nationkey").cast("long") * NATION_BLOCK + F.col("city_no").cast("long") * CITY_BLOCK
     return j.select(
@@ -274,3 +274,7 @@ def ip_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 def fetched_pages(pages: DataFrame) -> DataFrame:
     return pages.select("url", F.lit(200).alias("status"), "html")
+
+
+# The script call in the driver's pages whose digits stand for a product payload.
+TRACK_PATTERN = r"track\((\d+)\)"
