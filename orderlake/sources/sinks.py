@@ -52,10 +52,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def export_if_absent(df: DataFrame, path: str, fmt: str = "json") -> int:
-    """K5: export unless the target exists; returns the record count, 0 when skipped."""
-    if path_exists(df.sparkSession, path):
+    """K5: export unless a finished export exists; returns the record count, 0 when
+    skipped. Finished means committed: a folder that a failed run left is written anew."""
+    if path_exists(df.sparkSession, path.rstrip("/") + "/_SUCCESS"):
         return 0
-    return write_counted(df, path, fmt=fmt, mode="errorifexists")
+    return write_counted(df, path, fmt=fmt, mode="overwrite")
 
 
 def write_two(df: DataFrame, path_a: str, path_b: str, fmt: str = "json") -> int:

@@ -206,3 +206,30 @@ def test_build_job_exit_status(spark, tmp_dir):
     i.ranges().write.parquet(os.path.join(tmp_dir, "ranges"))
     assert main(["build", "--raw", os.path.join(tmp_dir, "raw"), "--products", os.path.join(tmp_dir, "products"),
                  "--ip-ranges", os.path.join(tmp_dir, "ranges"), "--out", os.path.join(tmp_dir, "wh")]) == 1
+
+
+def test_failed_export_is_repeated(spark, tmp_dir):
+    import os
+
+    from orderlake.sources import sinks as K
+    target = f"{tmp_dir}/left-by-a-failed-run"
+    os.makedirs(target)
+    assert K.export_if_absent(spark.range(3), target) == 3
+    assert K.export_if_absent(spark.range(3), target) == 0
+
+
+def test_same_file_name_in_two_folders_loads_both(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import types as T
+
+    from orderlake.streaming.ingest import ingest_files, read_loaded
+    for day, k in (("a", 1), ("b", 2)):
+        os.makedirs(f"{tmp_dir}/in/{day}")
+        with open(f"{tmp_dir}/in/{day}/raw_events_1.jsonl", "w") as f:
+            f.write('{"k": %d}\n' % k)
+    kw = dict(target_path=f"{tmp_dir}/t", ledger_path=f"{tmp_dir}/l", report_path=f"{tmp_dir}/r")
+    for ckpt in ("c1", "c2"):
+        ingest_files(spark, f"{tmp_dir}/in/*", "raw_events*.jsonl", T.StructType([T.StructField("k", T.LongType())]),
+                     checkpoint_path=f"{tmp_dir}/{ckpt}", **kw)
+    assert sorted(r.k for r in read_loaded(spark, kw["target_path"]).collect()) == [1, 2]
