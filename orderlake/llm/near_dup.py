@@ -14,12 +14,12 @@ Groups of copies are never expanded into all pairs:
 - Equal sets are one node from the start (an aggregate with map-side sums).
 - Round 1 links every member of a bucket to the bucket's hub, the member with the most
   bucket neighbours. Verified links give components.
-- Round 2 takes the buckets that still span several components, and pairs only the
-  members outside the hub's component with the members of other components. A pair is
-  left out only if the exact distances of both to the hub prove, by the triangle
-  inequality of the Jaccard distance, that they cannot reach the threshold.
+- Round 2 takes the buckets that still span several components. Their members, gathered
+  by the hub's component, are dealt to blocks of about ``BLOCK`` sets; the blocks of the
+  members outside the hub's component meet the blocks of all members, and a task compares
+  two blocks exactly, set by set, and returns at most one link per set and component.
 
-So every pair of a bucket is verified, or already connected, or proven dissimilar.
+So every pair of a bucket is verified or already connected, and no row is made per pair.
 
 Defined results: documents without words (null or empty texts too) have no shingles and
 are linked with nothing; a null doc_id counts as the smallest id (its group has a null
@@ -42,6 +42,7 @@ from orderlake.llm.common import written
 REGISTERS, ROWS = 200, 5
 BASE, RATE, TOP = 1.001, 20.0, 65534
 NO_ID = -(1 << 63)
+BLOCK = 128
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -183,6 +184,52 @@ def _verify(pairs: DataFrame, members: DataFrame, k: int, percent: int, margin:
             .mapInArrow(run, "a long, b long, dist double, linked boolean"))
 
 
+def _link_blocks(rest: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between sets of different components among the members (g, sid, comp)
+    of each group g: those outside component g against all members, in blocks."""
+
+    def compare(own: list[dict], all_: list[dict]) -> Iterator[tuple[int, int]]:
+        sets = [shingles(m["text"], k) for m in all_]
+        sizes = np.array([len(s) for s in sets])
+        ids, where = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        comps = np.array([m["comp"] for m in all_])
+        mark = np.zeros(len(ids), dtype=np.int32)
+        for o in own:
+            s = shingles(o["text"], k)
+            at = np.searchsorted(ids, s)
+            at = at[ids[np.minimum(at, len(ids) - 1)] == s]
+            mark[at] = 1
+            both = np.add.reduceat(mark[where], starts)
+            mark[at] = 0
+            linked = (100 * both >= percent * (sizes + len(s) - both)) & (comps != o["comp"])
+            _, one = np.unique(comps[linked], return_index=True)
+            for i in np.flatnonzero(linked)[one]:
+                yield o["sid"], all_[i]["sid"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                out = list(compare(batch.column("own")[i].as_py(), batch.column("all")[i].as_py()))
+                cols = list(zip(*out)) or [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK))
+    count = written(rest.groupBy(F.col("g").alias("_g")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("comp") != F.col("g")).alias("outside"))
+        .filter("outside > 0"), "nd-groups")
+    texts = written(rest.join(count, F.col("g") == F.col("_g")).join(members.select("sid", "text"), "sid")
+                    .select("g", "sid", "comp", "text", "n", "outside"), "nd-texts")
+
+    def packed(df: DataFrame, n: str, name: str) -> DataFrame:
+        return (df.withColumn("blk", F.pmod(F.xxhash64("sid"), blocks(n))).groupBy("g", "blk")
+                .agg(F.collect_list(F.struct("sid", "comp", "text")).alias(name)).select("g", name))
+
+    own = written(packed(texts.filter("comp <> g"), "outside", "own"), "nd-own")
+    every = written(packed(texts, "n", "all"), "nd-all")
+    return own.join(every, "g").select("own", "all").mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sid, comp): for every node of the links (a, b), the smallest node it can reach.
     Neighbour minima with pointer jumping; every round is a written table, so a hub's
@@ -229,23 +276,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, standard_err
     found = components(first.filter("linked"))
     placed = (spread.join(found, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
               .join(found.select(F.col("sid").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
-              .withColumn("hub_comp", F.coalesce("hub_comp", "hub"))
-              .join(first.select(F.col("a").alias("sid"), F.col("b").alias("hub"), "dist"), ["sid", "hub"], "left")
-              .select("key", "sid", "n", "hub", "comp", "hub_comp", "dist"))
-    open_keys = placed.filter("comp <> hub_comp").select("key").distinct()
-    rest = written(placed.filter("sid <> hub").join(open_keys, "key"), "nd-rest")
-    x = rest.filter("comp <> hub_comp").select("key", F.col("sid").alias("a"), F.col("n").alias("na"),
-                                               F.col("comp").alias("ca"), F.col("dist").alias("da"))
-    y = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"),
-                    F.col("dist").alias("db"), (F.col("comp") == F.col("hub_comp")).alias("inside"))
-    reach = (100 - percent) / 100 + 1e-9
-    more = (x.join(y, "key").filter((F.col("ca") != F.col("cb")) & fits & (F.col("inside") | (F.col("a") < F.col("b")))
-                                    & ~F.coalesce(F.abs(F.col("da") - F.col("db")) > reach, F.lit(False)))
-            .select("a", "b", "na", "nb").distinct())
-    seen = first.select("a", "b").unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    second = written(_verify(written(more.join(seen, ["a", "b"], "left_anti"), "nd-more"), members, k, percent, margin),
-                     "nd-second")
-    final = components(first.filter("linked").unionByName(second.filter("linked")))
+              .select("key", "sid", "comp", F.coalesce("hub_comp", "hub").alias("g")))
+    open_keys = placed.filter("comp <> g").select("key").distinct()
+    rest = written(placed.join(open_keys, "key").select("g", "sid", "comp").distinct(), "nd-rest")
+    second = written(_link_blocks(rest, members, k, percent), "nd-second")
+    final = components(first.filter("linked").select("a", "b").unionByName(second))
 
     classes = written(reps.join(final, "sid", "left").select("sid", "rep", F.coalesce("comp", "sid").alias("comp")), "nd-classes")
     smallest = written(classes.groupBy("comp").agg(F.min("rep").alias("least")), "nd-least")
