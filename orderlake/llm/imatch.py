@@ -85,7 +85,8 @@ def with_next_document(docs: DataFrame) -> DataFrame:
     """Columns _pid, _g (0: the document, 1 or 2: a copy of the next range's first one),
     _k (sort key of doc_id), _h, doc_id, _t and _next (text of the next document)."""
     spark = docs.sparkSession
-    n = range_partitions(spark)
+    partitions = range_partitions(spark)
+    n = 4 * partitions  # ranges are hashed to partitions: several each, to even out
     key = F.coalesce(F.col("doc_id"), F.lit(_FIRST).cast("long"))
     at = [k / n for k in range(1, n)]
     bounds = sorted(set((docs.select(key.alias("k")).agg(F.percentile_approx("k", at, 10 * max(n, 100)).alias("q"))
@@ -109,7 +110,7 @@ def with_next_document(docs: DataFrame) -> DataFrame:
     put = base.withColumn("_to", F.explode(F.when(F.get(firsts, F.col("_home")) == F.col("_k"), F.array(own, copy))
                                            .otherwise(F.array(own))))
     dealt = put.select("doc_id", "_t", "_k", F.xxhash64("_t").alias("_h"), F.col("_to.p").alias("_pid"),
-                       F.col("_to.g").alias("_g")).repartition(n, "_pid")
+                       F.col("_to.g").alias("_g")).repartition(partitions, "_pid")
     return dealt.withColumn("_next", F.coalesce(F.lead("_t").over(
         Window.partitionBy("_pid").orderBy("_g", "_k", "_h")), F.lit("")))
 
