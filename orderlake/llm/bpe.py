@@ -31,7 +31,7 @@ PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SPACE = regex.compile(r"\p{White_Space}")
-CACHE = 400_000
+CACHE = 300_000  # answers of each kind kept by a worker
 
 
 def byte_of_char() -> dict[str, int]:
@@ -151,7 +151,10 @@ class ByteBPE:
                 at -= size[token]
 
     def _chunk(self, word: str) -> bytes:
-        return b"".join([self.pieces[p] for p in PIECES.findall(" " + word)])
+        found = PIECES.findall(" " + word)
+        if len(found) == 1:  # kept as a chunk; no second copy among the pieces
+            return self._piece(found[0])
+        return b"".join([self.pieces[p] for p in found])
 
     def _plain(self, text: str) -> bytes:
         words = text.split(" ")

@@ -43,6 +43,8 @@ REGISTERS, ROWS = 200, 5
 BASE, RATE, TOP = 1.001, 20.0, 65534
 NO_ID = -(1 << 63)
 BLOCK = 128
+CACHE = 100_000  # word hashes kept by a worker
+SLICE = 1024  # pairs estimated at once
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -51,7 +53,7 @@ _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtyp
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= CACHE:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -165,7 +167,8 @@ def _verify(pairs: DataFrame, members: DataFrame, k: int, percent: int, margin:
                 sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(n, -1)
                          for c in ("ra", "rb")]
                 size = [batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb")]
-                close = estimate(*sides, *size) >= percent / 100 - margin
+                close = np.concatenate([estimate(*(x[at:at + SLICE] for x in (*sides, *size)))
+                                        for at in range(0, n, SLICE)]) >= percent / 100 - margin
                 ta, tb = batch.column("ta"), batch.column("tb")
                 for i in np.flatnonzero(close):
                     if b[i] != hub:
