@@ -82,14 +82,13 @@ def build(spark: SparkSession, args) -> int:
 
 def extract(spark: SparkSession, args) -> int:
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
     out = args.out.rstrip("/")
     events = spark.read.parquet(args.events)
     counters = Observation("ip_lookup")
     K.write_jsonl(X.ip_locations(events, spark.read.parquet(args.ip_ranges), counters), f"{out}/ip_locations")
     print("ip lookup:", counters.get)
     K.write_jsonl(X.product_urls(events), f"{out}/urls")
-    pairs = R.read_urls(spark, f"{out}/urls").select("product_id", F.explode("urls").alias("url"))
+    pairs = R.read_url_pairs(spark, f"{out}/urls")
     pages = spark.read.parquet(args.pages)
     X.collect_products(pairs, pages, f"{out}/product_info", f"{out}/failed_products",
                        pattern=args.pattern, shop_host=args.shop_host)

@@ -8,7 +8,7 @@ result is empty. Summary forms (``*_summary``) return one row per check,
   (one ``count_if`` per column), however many columns are checked;
 * a uniqueness check is a grouped count with map-side partial aggregation, so a hot
   value is counted per map task before the shuffle;
-* a relationship check is a left anti join against the distinct parent keys.
+* a relationship check is a left anti join against the parent.
 
 Run the checks on built tables (written, or checkpointed into the shared checkpoint
 folder) so that every check reads the table instead of re-deriving it.
@@ -38,8 +38,9 @@ def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame
 
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row."""
-    p = parent.select(F.col(field).alias("__parent_key")).distinct()
+    """Child rows whose non-null key has no parent row. The parent is joined as it is
+    (an anti join needs no distinct keys), so that AQE can split a hot child key."""
+    p = parent.select(F.col(field).alias("__parent_key"))
     c = child.filter(F.col(column).isNotNull())
     return c.join(p, c[column] == p["__parent_key"], "left_anti")
 

@@ -2,10 +2,12 @@
 
 Computed as an aggregate joined back rather than a window: the sum is partially
 aggregated in each map task before the shuffle, so a key holding a large share of the
-rows never lands in one task, and the join back is split by AQE when skewed. The key
-is null-safe (a null key is a group of its own, as in the window): it is carried as
-two non-null parts, and the totals are grouped by exactly those parts, so the final
-aggregate's partitioning serves the join without a second exchange.
+rows never lands in one task. The key is null-safe (a null key is a group of its own, as
+in the window): it is carried as two non-null parts.
+
+AQE splits a skewed join only if both sides come straight from a shuffle. The totals
+are therefore joined on an expression of their key, which gives that side (one row per
+group) a shuffle of its own.
 """
 
 from __future__ import annotations
@@ -14,6 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def own_shuffle(key: str) -> Column:
+    """The same text, but no longer the attribute an aggregate below is partitioned by."""
+    return F.concat(F.col(key), F.lit(""))
+
+
 def with_group_total(df: DataFrame, key: str, value: Column | str, out: str) -> DataFrame:
     """``df`` with ``out`` = the sum of ``value`` over all rows sharing ``key``
     (nulls in ``value`` are skipped; a group of nulls totals null)."""
@@ -21,6 +28,6 @@ def with_group_total(df: DataFrame, key: str, value: Column | str, out: str) ->
     keyed = df.withColumns({"__gk": F.coalesce(F.col(key).cast("string"), F.lit("")),
                             "__gk_null": F.col(key).isNull()})
     totals = (keyed.groupBy(F.col("__gk").alias("__t_gk"), F.col("__gk_null").alias("__t_null"))
-                   .agg(F.sum(v).alias(out)))
+                   .agg(F.sum(v).alias(out)).withColumn("__t_gk", own_shuffle("__t_gk")))
     joined = keyed.join(totals, (keyed.__gk == totals.__t_gk) & (keyed.__gk_null == totals.__t_null), "left")
     return joined.drop("__gk", "__gk_null", "__t_gk", "__t_null")

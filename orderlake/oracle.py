@@ -15,7 +15,7 @@ from orderlake.functions.currency import (
 from orderlake.functions.text import URL_DOMAIN_PATTERN, WHITESPACE_CLASS
 from orderlake.plans.extract import PRODUCT_EVENTS, SPECIAL_EVENT, fallback_url_template
 from orderlake.sources.adapters import (
-    CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, NATION_BLOCK, PRICE_FORMATS,
+    CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, NATION_BLOCK, OK_EVERY, PRICE_FORMATS,
     TRACK_PATTERN, ZERO_PRICE_SPELLINGS, shop_urls,
 )
 from orderlake.sources.seed import DEFAULT_SHOP_HOST, seed_values_sql
@@ -399,7 +399,10 @@ _FALSY = ", ".join(q(x) for x in ["{}", "[]", "null", "false", "0", '""'])
 PAGE_RESOLUTION = BEHAVIOUR + f""",
 _payloads AS (
   SELECT url, payload FROM (
-    SELECT url, NULLIF(regexp_extract(html, '{TRACK_PATTERN}', 1), '') AS payload FROM pages)
+    SELECT url, NULLIF(regexp_extract(html, '{TRACK_PATTERN}', 1), '') AS payload FROM (
+      SELECT url, html FROM pages WHERE page_id % {OK_EVERY} = 0
+      UNION ALL
+      SELECT printf({q(fallback_url_template(HOST))}, CAST(page_id AS VARCHAR)), html FROM pages WHERE page_id % 4 = 0))
   WHERE payload IS NOT NULL AND json_valid(payload) AND trim(payload) NOT IN ({_FALSY})
 ),
 _cand AS (
@@ -476,7 +479,8 @@ def dq_unique_checks():
             ("dim_date.date_key", u("dim_date", "date_key")),
             ("dim_date.full_date", u("dim_date", "full_date")),
             ("dim_location.location_key", u("dim_location", "location_key")),
-            ("fact_sales_order.fact_sales_order_key", u("fact", "fact_sales_order_key"))]
+            ("fact_sales_order.fact_sales_order_key", u("fact", "fact_sales_order_key")),
+            ("product_info.product_id", u("product_info", "product_id"))]
 
 
 def dq_not_null_checks():
@@ -502,7 +506,9 @@ def dq_relationship_checks():
     return [("fact_sales_order.product_key", r("product_key", "dim_product")),
             ("fact_sales_order.date_key", r("date_key", "dim_date")),
             ("fact_sales_order.customer_key", r("customer_key", "dim_customer")),
-            ("fact_sales_order.location_key", r("location_key", "dim_location"))]
+            ("fact_sales_order.location_key", r("location_key", "dim_location")),
+            ("orders.o_custkey", "SELECT 1 FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN "
+                                 "(SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_custkey IS NOT NULL)")]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -563,7 +569,8 @@ def oracle_sql() -> dict[str, str]:
     sq["metrics_by_category"] = _metrics("dim_product", "product_key", [("category_name", "s")])
     sq["dq_unique"] = _dq_summary(dq_unique_checks())
     sq["dq_not_null"] = _dq_summary(dq_not_null_checks())
-    sq["dq_accepted_values"] = _dq_summary([("dim_date.is_weekend", "SELECT 1 FROM dim_date WHERE is_weekend IS NOT NULL AND is_weekend NOT IN (TRUE, FALSE)")])
+    sq["dq_accepted_values"] = _dq_summary([("dim_date.is_weekend", "SELECT 1 FROM dim_date WHERE is_weekend IS NOT NULL AND is_weekend NOT IN (TRUE, FALSE)"),
+                                            ("orders.o_orderstatus", "SELECT 1 FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')")])
     sq["dq_relationships"] = _dq_summary(dq_relationship_checks())
     sq["url_domain"] = edge([("page_id", "i"), ("url", "s"), ("domain", "s")],
                             f"(SELECT page_id, url, {url_domain('url')} AS domain FROM pages)")
@@ -579,9 +586,12 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN event_id % 4 IN (0, 1) THEN json_extract_string(props, '$.k') END AS first_k FROM events)")
     sq["product_url_pairs"] = with_(BEHAVIOUR, edge([("product_id", "s"), ("url", "s")], "url_pairs"))
     sq["product_urls"] = with_(BEHAVIOUR, edge(
-        [("product_id", "s"), ("part", "i"), ("n_urls", "i"), ("urls", "s")],
-        "(SELECT product_id, 0 AS part, COUNT(*) AS n_urls, array_to_string(list_sort(list(url)), '|') AS urls "
+        [("product_id", "s"), ("n_urls", "i"), ("first_url", "s"), ("last_url", "s")],
+        "(SELECT product_id, COUNT(*) AS n_urls, MIN(url) AS first_url, MAX(url) AS last_url "
         "FROM url_pairs GROUP BY product_id)"))
+    sq["product_url_counts"] = with_(BEHAVIOUR, edge(
+        [("n_products", "i"), ("n_urls", "i")],
+        "(SELECT COUNT(DISTINCT product_id) AS n_products, COUNT(*) AS n_urls FROM url_pairs)"))
     sq["resolve_pages"] = with_(PAGE_RESOLUTION, edge([("product_id", "s"), ("url", "s"), ("payload", "s")], "resolved"))
     sq["failed_products"] = with_(PAGE_RESOLUTION, edge(
         [("product_id", "s")],

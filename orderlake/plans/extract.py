@@ -35,22 +35,15 @@ def product_url_pairs(events: DataFrame) -> DataFrame:
     return pairs.filter(F.col("product_id").isNotNull() & F.col("url").isNotNull()).distinct()
 
 
-# Most urls one hand-off record holds; a product with more urls gets several records.
-MAX_URLS_PER_RECORD = 10_000
+def product_urls(events: DataFrame) -> DataFrame:
+    """The JSONL hand-off, one record per distinct (product_id, url). The shape
+    is the same at every size, and no list of a product's urls is gathered anywhere."""
+    return product_url_pairs(events)
 
 
-def product_urls(events: DataFrame, max_urls_per_record: int = MAX_URLS_PER_RECORD) -> DataFrame:
-    """The JSONL hand-off, ``(product_id, part, urls)`` with a sorted list of
-    distinct urls. A product normally fits one record (part 0). A product whose url
-    set is larger - urls with tracking parameters can grow with the traffic - is split
-    over ceil(n / max_urls_per_record) records by a hash of the url, so no single
-    group or task ever holds an unbounded list; no url is dropped."""
-    pairs = product_url_pairs(events)
-    counts = pairs.groupBy(F.col("product_id").alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    parts = F.ceil(F.col("__n") / F.lit(max_urls_per_record)).cast("long")
-    tagged = pairs.join(counts, pairs.product_id == counts.__pid, "inner").select(
-        "product_id", "url", F.pmod(F.xxhash64("url"), parts).alias("part"))
-    return tagged.groupBy("product_id", "part").agg(F.sort_array(F.collect_list("url")).alias("urls"))
+def url_counts(pairs: DataFrame) -> DataFrame:
+    """How many products have a url, and how many urls there are."""
+    return pairs.agg(F.count_distinct("product_id").alias("n_products"), F.count(F.lit(1)).alias("n_urls"))
 
 
 def fallback_url_template(shop_host: str = DEFAULT_SHOP_HOST) -> str:
@@ -141,15 +134,14 @@ def collect_products(pairs: DataFrame, pages: DataFrame, records_path: str, fail
 
 def ip_lookup_counters(raw_events: DataFrame, ranges: DataFrame) -> DataFrame:
     """I6 for M13: distinct IPs, and how many failed to parse, were located, or fell
-    outside every range - one aggregate over the left range join."""
+    outside every range - one left range join, collapsed to one row per IP."""
     ips = distinct_ips(raw_events).withColumn("ip_num", ipv4_to_long("ip"))
-    valid = ips.filter(F.col("ip_num").isNotNull())
-    located = range_join(valid, "ip_num", ranges.select("ip_from", "ip_to")).select("ip").distinct() \
-        .withColumn("__hit", F.lit(True))
-    tagged = ips.join(located, ips.ip.eqNullSafe(located.ip), "left").drop(located.ip)
-    return tagged.agg(
+    hits = range_join(ips, "ip_num", ranges.select("ip_from", "ip_to"), how="left")
+    per_ip = hits.groupBy("ip").agg(F.max(F.col("ip_num").isNotNull()).alias("parsed"),
+                                    F.max(F.col("ip_from").isNotNull()).alias("found"))
+    return per_ip.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("ip_num").isNull()).alias("failed"),
-        F.count_if(F.col("__hit").isNotNull()).alias("located"),
-        F.count_if(F.col("ip_num").isNotNull() & F.col("__hit").isNull()).alias("not_found"),
+        F.count_if(~F.col("parsed")).alias("failed"),
+        F.count_if("found").alias("located"),
+        F.count_if(F.col("parsed") & ~F.col("found")).alias("not_found"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
-from orderlake.operators.totals import with_group_total
+from orderlake.operators.totals import own_shuffle, with_group_total
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
                        "unit_price_usd", "min_price_usd", "max_price_usd"]
@@ -29,21 +29,23 @@ def dim_product(int_product: DataFrame) -> DataFrame:
     return int_product.select(*PRODUCT_DIM_COLUMNS)
 
 
-def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_location: DataFrame,
+def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_location: DataFrame | None,
                      dim_customer_df: DataFrame | None = None, dim_date_df: DataFrame | None = None,
-                     dedup_location_ip: bool = True) -> DataFrame:
+                     dedup_location_ip: bool = True, with_order_total: bool = True) -> DataFrame:
     """One row per product per order with the four dimension keys (-1 when
-    missing), the line total and the order total.
+    missing), the line total and the order total. Without a product dimension, a
+    location table or ``with_order_total`` that column, and the join for it, is left
+    out: a measure that reads only some columns passes only what it needs.
 
     Plan choices:
     * Customer and date dimensions are built from this same fact, so every non-null
       ``user_id`` / date has its row and its key is the hash of that value. When the
       dimensions are not passed, the key is computed from the value, which equals the
       left join + COALESCE(-1) without shuffling the fact twice.
-    * The product dimension is a catalogue: broadcast when its row count is checked
-      to be small, else a shuffle join.
-    * The IP-grain location table grows with the traffic: a shuffle join on the IP
-      (AQE splits a hot IP's partition, or broadcasts when measured small). With
+    * The product and location sides are unique per key and joined on an expression of
+      their key: each side then has a shuffle of its own, which lets AQE split a hot
+      product or IP (or broadcast a side measured small).
+    * The IP-grain location table grows with the traffic. With
       ``dedup_location_ip`` one place per IP (the smallest key) is kept first, so an
       IP with two places cannot duplicate fact rows (the reference would fan out).
     * The order total is an aggregate joined back, not a window: partial aggregation
@@ -53,7 +55,7 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
     f = int_fact.withColumn("line_total_price", F.col("item_price_usd") * F.col("order_qty"))
     # With one place per IP the joins below keep one row per fact line, so the order
     # total (W4) is computed from the fact columns alone, before the dimension joins.
-    if dedup_location_ip:
+    if with_order_total and (dedup_location_ip or int_location is None):
         f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
 
     if dim_customer_df is None:
@@ -70,27 +72,22 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame, int_locatio
         f = f.join(d, f.order_local_time == d.__d_date, "left").drop("__d_date") \
              .withColumn("date_key", F.coalesce("date_key", F.lit(-1).cast("bigint")))
 
-    # the dimension is unique per product id; as an aggregate that is visible to
-    # Catalyst, which then drops the join when product_key is never read
-    p = dim_product_df.groupBy(F.col("product_id").alias("__p_id")).agg(F.min("product_key").alias("product_key"))
-    f = f.join(p, f.product_id == p.__p_id, "left").drop("__p_id")
-
-    loc = int_location.select("ip_address", "location_key")
-    if dedup_location_ip:
-        # one place per IP (the smallest key). As an aggregate the side is visibly
-        # unique on the IP: a query that never reads location_key lets Catalyst drop
-        # this join and the whole IP-lookup branch behind it.
-        loc = loc.groupBy("ip_address").agg(F.min("location_key").alias("location_key"))
-    loc = loc.select(F.col("ip_address").alias("__l_ip"), "location_key")
-    f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip")
-
-    if not dedup_location_ip:  # an IP may have several places: total over the fanned-out rows
-        f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
-    return f.select(
-        "fact_sales_order_key", "order_id",
-        F.coalesce("product_key", F.lit(-1).cast("bigint")).alias("product_key"),
-        "customer_key",
-        F.coalesce("location_key", F.lit(-1).cast("bigint")).alias("location_key"),
-        "date_key", "store_id", "order_local_time", "order_timestamp", "currency_code", "item_price_status",
-        "order_qty", "line_total_price", "order_total_amount",
-    )
+    if dim_product_df is not None:
+        p = (dim_product_df.groupBy("product_id").agg(F.min("product_key").alias("product_key"))
+             .select((F.col("product_id") + F.lit(0)).alias("__p_id"), "product_key"))
+        f = f.join(p, f.product_id == p.__p_id, "left").drop("__p_id") \
+             .withColumn("product_key", F.coalesce("product_key", F.lit(-1).cast("bigint")))
+
+    if int_location is not None:
+        loc = int_location.select("ip_address", "location_key")
+        if dedup_location_ip:  # one place per IP (the smallest key)
+            loc = loc.groupBy("ip_address").agg(F.min("location_key").alias("location_key"))
+        loc = loc.select(own_shuffle("ip_address").alias("__l_ip"), "location_key")
+        f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip") \
+             .withColumn("location_key", F.coalesce("location_key", F.lit(-1).cast("bigint")))
+        if with_order_total and not dedup_location_ip:  # an IP may have several places: total over the fanned-out rows
+            f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
+    columns = ["fact_sales_order_key", "order_id", "product_key", "customer_key", "location_key", "date_key", "store_id",
+               "order_local_time", "order_timestamp", "currency_code", "item_price_status", "order_qty",
+               "line_total_price", "order_total_amount"]
+    return f.select(*[c for c in columns if c in f.columns])

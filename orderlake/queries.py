@@ -27,7 +27,7 @@ from orderlake.plans import intermediate as I
 from orderlake.plans import staging as S
 from orderlake.plans import warehouse as W
 from orderlake.sources import adapters as A
-from orderlake.sources.adapters import TRACK_PATTERN
+from orderlake.sources.adapters import OK_EVERY, TRACK_PATTERN
 from orderlake.sources.seed import exchange_rates
 from orderlake.session import apply_session_conf
 
@@ -118,6 +118,16 @@ class Inputs:
         fact = W.fact_sales_order(I.int_fact_sales_order(stg), dims["dim_product"], int_loc)
         return {"fact_sales_order": fact, **dims}
 
+    def fact_by(self, dim: str) -> tuple[DataFrame, DataFrame]:
+        """The fact with the key of one dimension, and that dimension; nothing else is built."""
+        stg = self.stg_fact()
+        int_loc = self.int_location() if dim == "dim_location" else None
+        product = W.dim_product(self.int_product()) if dim == "dim_product" else None
+        fact = W.fact_sales_order(I.int_fact_sales_order(stg), product, int_loc, with_order_total=False)
+        if dim == "dim_location":
+            return fact, W.dim_location(int_loc)
+        return fact, product if dim == "dim_product" else W.dim_date(I.int_dim_date(stg))
+
 
 def _q(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,8 +279,8 @@ def order_total(i: Inputs):
 
 def _metrics(dim: str, key: str, attrs: list[str]):
     def run(i: Inputs):
-        star = i.star()
-        return sales_measures(star["fact_sales_order"], star[dim], key, attrs)
+        fact, members = i.fact_by(dim)
+        return sales_measures(fact, members, key, attrs)
     return run
 
 
@@ -291,9 +301,11 @@ def built_star(i: Inputs) -> dict[str, DataFrame]:
 
 
 def dq_unique(i: Inputs):
-    """Q1 on every declared unique column."""
-    s = built_star(i)
-    return reduce(DataFrame.unionByName, [Q.unique_summary(s[t], t, cols) for t, cols in UNIQUE_TESTS.items()])
+    """Q1 on every declared unique column, and on the raw product records, where every
+    tenth product occurs twice."""
+    s = built_star(i) | {"product_info": i.product_info()}
+    tests = UNIQUE_TESTS | {"product_info": ["product_id"]}
+    return reduce(DataFrame.unionByName, [Q.unique_summary(s[t], t, cols) for t, cols in tests.items()])
 
 
 def dq_not_null(i: Inputs):
@@ -303,15 +315,21 @@ def dq_not_null(i: Inputs):
 
 
 def dq_accepted_values(i: Inputs):
-    """Q3: is_weekend in (true, false)."""
-    return Q.accepted_values_summary(i.star()["dim_date"], "dim_date", {"is_weekend": [True, False]})
+    """Q3: is_weekend in (true, false); and the order status, of which one value
+    is outside the list."""
+    dates = W.dim_date(I.int_dim_date(i.stg_fact()))
+    return (Q.accepted_values_summary(dates, "dim_date", {"is_weekend": [True, False]})
+            .unionByName(Q.accepted_values_summary(i.table("orders"), "orders", {"o_orderstatus": ["F", "O"]})))
 
 
 def dq_relationships(i: Inputs):
-    """Q4: every fact key has its dimension row."""
+    """Q4: every fact key has its dimension row; and the orders of customers in debt
+    are orphans among the customers that are not."""
     s = built_star(i)
+    solvent = i.table("customer").filter("c_acctbal >= 0")
     return Q.relationships_summary(s["fact_sales_order"], "fact_sales_order",
-                                   {c: (s[t], c) for c, t in RELATIONSHIP_TESTS.items()})
+                                   {c: (s[t], c) for c, t in RELATIONSHIP_TESTS.items()}).unionByName(
+        Q.relationships_summary(i.table("orders"), "orders", {"o_custkey": (solvent, "c_custkey")}))
 
 
 # ---- text, json, pages ---------------------------------------------------------------
@@ -354,21 +372,36 @@ def product_url_pairs(i: Inputs):
 
 
 def product_urls(i: Inputs):
-    """One record per product with its url set."""
-    u = X.product_urls(i.behaviour())
-    return u.select("product_id", "part", F.size("urls").alias("n_urls"), F.array_join("urls", "|").alias("urls"))
+    """The hand-off written as JSON lines and read back; per product the number
+    of its urls, the first and the last."""
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import read_url_pairs
+    from orderlake.sources.sinks import write_jsonl
+    path = scratch_path(i.spark, "urls")
+    write_jsonl(X.product_urls(i.behaviour()), path)
+    return read_url_pairs(i.spark, path).groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("n_urls"), F.min("url").alias("first_url"), F.max("url").alias("last_url"))
+
+
+def product_url_counts(i: Inputs):
+    """Products with a url, and urls."""
+    return X.url_counts(X.product_url_pairs(i.behaviour()))
+
+
+def _fetched(i: Inputs) -> DataFrame:
+    return A.fetched_pages(i.table("pages"), OK_EVERY)
 
 
 def resolve_pages(i: Inputs):
     """First usable fetched page per product."""
     pairs = X.product_url_pairs(i.behaviour())
-    return X.resolve_pages(pairs, A.fetched_pages(i.table("pages")), TRACK_PATTERN)
+    return X.resolve_pages(pairs, _fetched(i), TRACK_PATTERN)
 
 
 def failed_products(i: Inputs):
     """Products without a usable page."""
     pairs = X.product_url_pairs(i.behaviour())
-    resolved = X.resolve_pages(pairs, A.fetched_pages(i.table("pages")), TRACK_PATTERN)
+    resolved = X.resolve_pages(pairs, _fetched(i), TRACK_PATTERN)
     return X.failed_products(pairs, resolved)
 
 
@@ -377,13 +410,12 @@ def collect_products(i: Inputs):
     schema, pages resolved, product records and failed ids written; the records are
     read back from their JSON lines."""
     from orderlake.session import scratch_path
-    from orderlake.sources.readers import read_urls
+    from orderlake.sources.readers import read_url_pairs
     from orderlake.sources.sinks import write_jsonl
     root = scratch_path(i.spark, "collect")
     write_jsonl(X.product_urls(i.behaviour()), f"{root}/urls")
-    pairs = read_urls(i.spark, f"{root}/urls").select("product_id", F.explode("urls").alias("url"))
-    X.collect_products(pairs, A.fetched_pages(i.table("pages")), f"{root}/product_info", f"{root}/failed",
-                       TRACK_PATTERN)
+    pairs = read_url_pairs(i.spark, f"{root}/urls")
+    X.collect_products(pairs, _fetched(i), f"{root}/product_info", f"{root}/failed", TRACK_PATTERN)
     return i.spark.read.schema("product_id string, url string, payload string").json(f"{root}/product_info")
 
 
@@ -546,6 +578,7 @@ QUERIES: dict[str, Callable] = {
     "option_normalize": option_normalize,
     "product_url_pairs": product_url_pairs,
     "product_urls": product_urls,
+    "product_url_counts": product_url_counts,
     "resolve_pages": resolve_pages,
     "failed_products": failed_products,
     "product_export": product_export,

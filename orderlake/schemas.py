@@ -68,8 +68,8 @@ IP_RANGE = T.StructType([
     T.StructField("country", S), T.StructField("region", S), T.StructField("city", S),
 ])
 
-URLS = T.StructType([T.StructField("product_id", S), T.StructField("part", T.LongType()),
-                     T.StructField("urls", T.ArrayType(S))])
+URLS = T.StructType([T.StructField("product_id", S), T.StructField("urls", T.ArrayType(S))])
+URL_PAIR = T.StructType([T.StructField("product_id", S), T.StructField("url", S)])
 
 FETCHED_PAGE = T.StructType([T.StructField("url", S), T.StructField("status", T.IntegerType()), T.StructField("html", S)])
 

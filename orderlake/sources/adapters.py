@@ -272,8 +272,18 @@ def ip_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def fetched_pages(pages: DataFrame) -> DataFrame:
-    return pages.select("url", F.lit(200).alias("status"), "html")
+# Of the driver's pages, so many-th ones count as fetched.
+OK_EVERY = 40
+
+
+def fetched_pages(pages: DataFrame, ok_every: int = 1) -> DataFrame:
+    """The fetched pages: every ``ok_every``-th one with status 200, the others 404. Every
+    fourth page was also fetched under the fallback url of the product of its number."""
+    own = pages.select("url", F.when(F.col("page_id") % ok_every == 0, 200).otherwise(404).alias("status"), "html")
+    fallback = pages.filter(F.col("page_id") % 4 == 0).select(
+        F.format_string(f"https://www.{DEFAULT_SHOP_HOST}.com/catalog/product/view/id/%s",
+                        F.col("page_id").cast("string")).alias("url"), F.lit(200).alias("status"), "html")
+    return own.unionByName(fallback)
 
 
 # The script call in the driver's pages whose digits stand for a product payload.

@@ -88,7 +88,7 @@ def test_text_sink_and_urls_reader(spark, tmp_dir):
     df = spark.createDataFrame([("7", ["b", "a"]), ("8", [])], "product_id string, urls array<string>")
     K.write_jsonl(df, os.path.join(tmp_dir, "urls"))
     back = R.read_urls(spark, os.path.join(tmp_dir, "urls"))
-    assert sorted((r.product_id, r.part, tuple(r.urls)) for r in back.collect()) == [("7", 0, ("b", "a")), ("8", 0, ())]
+    assert sorted((r.product_id, tuple(r.urls)) for r in back.collect()) == [("7", ("b", "a")), ("8", ())]
     K.write_text_lines(df, "product_id", os.path.join(tmp_dir, "ids"))
     assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "ids")).collect()) == ["7", "8"]
 
@@ -184,15 +184,14 @@ def test_ingest_crash_between_data_and_ledger(spark, tmp_dir):
     assert read_ledger(spark, kw["ledger_path"]).count() == 1
 
 
-def test_split_url_records_round_trip(spark, tmp_dir):
+def test_url_hand_off_round_trip(spark, tmp_dir):
     from orderlake.plans import extract as X
     rows = [("view_product_detail", "hot", None, f"u{n:03d}", None) for n in range(120)]
     ev = spark.createDataFrame(rows, "collection string, product_id string, viewing_product_id string, "
                                      "current_url string, referrer_url string")
-    K.write_jsonl(X.product_urls(ev, max_urls_per_record=50), os.path.join(tmp_dir, "urls"))
-    back = R.read_urls(spark, os.path.join(tmp_dir, "urls"))
-    assert back.count() == 3
-    assert sorted(u for r in back.collect() for u in r.urls) == [f"u{n:03d}" for n in range(120)]
+    K.write_jsonl(X.product_urls(ev), os.path.join(tmp_dir, "urls"))
+    back = R.read_url_pairs(spark, os.path.join(tmp_dir, "urls"))
+    assert sorted(map(tuple, back.collect())) == [("hot", f"u{n:03d}") for n in range(120)]
 
 
 def test_build_job_exit_status(spark, tmp_dir):

@@ -84,19 +84,34 @@ def test_product_urls_filter_and_special_event(spark):
         ("view_product_detail", "2", None, None, "r5"),
         ("view_product_detail", "1", None, "c1", "r1"),
     ], "collection string, product_id string, viewing_product_id string, current_url string, referrer_url string")
-    got = {(r.product_id, r.part): r.urls for r in X.product_urls(ev).collect()}
-    assert got == {("1", 0): ["c1", "r2"]}
-
-
-def test_product_urls_split_large_sets_without_loss(spark):
-    rows = [("view_product_detail", "hot", None, f"u{n}", None) for n in range(250)] + \
-           [("view_product_detail", "cold", None, "x", None)]
-    ev = spark.createDataFrame(rows, "collection string, product_id string, viewing_product_id string, "
-                                     "current_url string, referrer_url string")
-    recs = X.product_urls(ev, max_urls_per_record=100).collect()
-    hot = [r for r in recs if r.product_id == "hot"]
-    assert len(hot) == 3 and sorted(u for r in hot for u in r.urls) == sorted(f"u{n}" for n in range(250))
-    assert [r.urls for r in recs if r.product_id == "cold"] == [["x"]]
+    assert sorted(map(tuple, X.product_urls(ev).collect())) == [("1", "c1"), ("1", "r2")]
+    assert tuple(X.url_counts(X.product_urls(ev)).first()) == (1, 2)
+
+
+def test_hot_keys_are_split(spark):
+    """A third of the rows on one nullable key: the final plans split that key."""
+    from orderlake.operators.totals import with_group_total
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 7 = 0, null, concat('k', id % 900))) AS k", "id AS v", "sha2(string(id), 256) AS x")
+    parent = spark.range(0, 900, 1, 8).selectExpr("concat('k', id) AS p")
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        total = with_group_total(rows, "k", "v", "t")
+        orphans = Q.check_relationships(rows, "k", parent, "p")
+        n = {}
+        for name, df in (("total", total), ("orphans", orphans)):
+            n[name] = len(df.collect())
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert n == {"total": 60_000, "orphans": 20_000}
 
 
 def test_hot_key_dedup_and_totals_match_brute_force(spark):
