@@ -8,9 +8,8 @@ Two points keep clean documents:
 
 - A line's limit is the larger of ``min_docs`` documents and ``max_share`` of the host's
   documents, so it means the same at every corpus size.
-- Copies of one document are one document here (removing copies is the near-dedup's
-  work). Seen from a line, a document is known by its longest other normalised line, so
-  a line is boilerplate only if it recurs among documents that otherwise differ.
+- Exact copies of one document are one document here (removing copies is the
+  near-dedup's work): a line's documents are counted by the hash of their whole text.
 
 Defined results: null text is an empty text (no words, base_failed); a null host is a
 host of its own; repeated rows are judged alike; an empty table gives an empty result;
@@ -52,8 +51,7 @@ def line_features(docs: DataFrame) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform("_lines", lambda x: F.struct(
             F.xxhash64(normalised_line(x)).alias("h"),
-            F.size(words(x)).alias("w"),
-            F.length(x).alias("n"))).alias("lines"),
+            F.size(words(x)).alias("w"))).alias("lines"),
         F.when(F.size("_h") >= 3,
                F.transform(F.sequence(F.lit(0), F.size("_h") - 3),
                            lambda i: F.xxhash64(F.get("_h", i), F.get("_h", i + 1), F.get("_h", i + 2))))
@@ -69,14 +67,8 @@ def line_features(docs: DataFrame) -> DataFrame:
         "_p", F.struct(F.lit(-3).alias("at"), F.lit(0).alias("n")),
         lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")),
         lambda a: a["n"].cast("long"))
-    longest = F.sort_array(F.array_distinct(F.transform(
-        "lines", lambda x: F.struct(x["n"].alias("n"), x["h"].alias("h")))), asc=False)
-    return places.withColumn("_top", longest).select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                         F.coalesce(repeated, F.lit(0).cast("long")).alias("n_repeat_words"),
-                         F.transform("lines", lambda x: F.struct(
-                             x["h"].alias("h"), x["w"].alias("w"),
-                             F.coalesce(F.when(x["h"] == F.get("_top", F.lit(0))["h"], F.get("_top", F.lit(1))["h"])
-                                        .otherwise(F.get("_top", F.lit(0))["h"]), x["h"]).alias("beside"))).alias("lines"))
+    return places.select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         F.coalesce(repeated, F.lit(0).cast("long")).alias("n_repeat_words"), "lines")
 
 
 def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0.05) -> DataFrame:
@@ -84,8 +76,7 @@ def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0
 
     Both counts are aggregates with map-side partial sums, so neither a hot line nor a
     hot host reaches one task in full."""
-    held = (features.select("host", F.explode("lines").alias("l"))
-            .select("host", F.col("l.h").alias("h"), F.col("l.beside").alias("beside")).distinct())
+    held = features.select("host", "text_hash", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
     per_line = (held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
                 .filter(F.col("n_docs") > min_docs))
     hosts = (features.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))

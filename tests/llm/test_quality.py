@@ -77,5 +77,15 @@ def test_copies_do_not_make_lines_frequent(spark):
     assert quality_rules(df).filter("not kept").count() == 0
 
 
+def test_lines_shared_beside_a_longer_shared_line(spark):
+    own = lambda k: "\n".join(" ".join(f"w{'abcdefghij'[(k // 10 ** d) % 10]}{j}{i}" for d in range(3) for j in "xyz")
+                              for i in "klmnop")
+    notice = "the notice of this host " * 12
+    menu = [f"menu line {c}" for c in "abcde"]
+    rows = [(k, "\n".join([notice, *menu, own(k)]), "s") for k in range(100)]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["n_cut_words"] for r in out} == {len(notice.split()) + 3 * len(menu)}
+
+
 def test_empty(no_docs):
     assert quality_rules(no_docs).count() == 0 and filter_documents(no_docs).count() == 0
