@@ -9,7 +9,8 @@ Two points keep clean documents:
 - A line's limit is the larger of ``min_docs`` documents and ``max_share`` of the host's
   documents, so it means the same at every corpus size.
 - Exact copies of one document are one document here (removing copies is the
-  near-dedup's work): a line's documents are counted by the hash of their whole text.
+  near-dedup's work): the documents of a line and of a host are counted by the hash of
+  their whole text.
 
 Defined results: null text is an empty text (no words, base_failed); a null host is a
 host of its own; repeated rows are judged alike; an empty table gives an empty result;
@@ -79,7 +80,8 @@ def frequent_lines(features: DataFrame, min_docs: int = 20, max_share: float = 0
     held = features.select("host", "text_hash", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
     per_line = (held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
                 .filter(F.col("n_docs") > min_docs))
-    hosts = (features.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
+    hosts = (features.select("host", "text_hash").distinct()
+             .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
     return (per_line.join(hosts, "host").filter(F.col("n_docs") > F.col("host_docs") * F.lit(max_share))
             .select("host", "h", "n_docs"))
 

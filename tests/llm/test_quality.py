@@ -87,5 +87,13 @@ def test_lines_shared_beside_a_longer_shared_line(spark):
     assert {r["n_cut_words"] for r in out} == {len(notice.split()) + 3 * len(menu)}
 
 
+def test_copies_do_not_raise_the_limit(spark):
+    own = lambda k: " ".join(f"w{'abcdefghij'[(k // 10 ** d) % 10]}{i}" for d in range(3) for i in "klmnopqrstuvwxyzabcd")
+    rows = [(k, own(k) + ("\nthe footer" if k % 10 == 0 else ""), "s") for k in range(400)]
+    rows += [(k, own(999), "s") for k in range(1000, 1600)]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["doc_id"] for r in out if r["n_cut_words"]} == set(range(0, 400, 10))
+
+
 def test_empty(no_docs):
     assert quality_rules(no_docs).count() == 0 and filter_documents(no_docs).count() == 0
