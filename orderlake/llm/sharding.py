@@ -4,14 +4,14 @@ one text kept together.
 Items are groups of equal texts. The partial partition of an item has its size in one
 subset and zeros elsewhere; two partial partitions combine by joining the largest subset
 of one with the smallest of the other. Always the two with the largest spread combine.
-Each Spark partition differences its own items (in blocks of bounded size, then the
-blocks' results), which leaves one partial partition - ``n_shards`` sums - per Spark
-partition; the driver differences those (their count is the shuffle setting) and only
-the resulting label permutations go back.
+Groups over 1/GRAIN of a mean shard are items of their own; the smaller ones are packed by
+a hash of the text into GRAIN bundles per shard, so at most some thousand sums reach the
+driver, which differences them all together. No rows are shuffled to their shard's label:
+the labels of bundles and large groups are broadcast.
 
-A group that would fill more than a quarter of a shard cannot stay whole under the law
-of near equal bytes: it is dealt into pieces by a hash of doc_id (at most 4 * n_shards
-such groups can exist, so their list is bounded).
+A group over one mean shard cannot stay whole under the law of near equal bytes: it is
+dealt row by row into pieces of about a quarter shard. Where whole groups up to a mean
+shard still leave a spread over SPREAD of a shard, that limit is halved until they do not.
 
 Defined results: null text is empty (size 16 with the row overhead); rows with equal
 doc_id and text follow their group; slots order by doc_id (nulls first), ties broken
@@ -21,16 +21,17 @@ arbitrarily among identical rows; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import range_partitions, text_of, written
 
-BLOCK = 4096
+BLOCK = 1 << 15
+GRAIN = 100  # bundles per shard, fewer from 40 shards on
+SPREAD = 0.01
 
 
 def difference(parts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -95,63 +96,59 @@ def _difference_items(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray
     return labels, sums
 
 
-def shard_groups(items: DataFrame, n_shards: int) -> DataFrame:
-    """items (key columns..., _size) -> items with ``shard``. One row per item."""
-    spark = items.sparkSession
-    keys = [c for c in items.columns if c != "_size"]
-    parts = range_partitions(spark)
-    dealt = items.repartition(parts, *keys)
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        table = [b for b in batches if b.num_rows]
-        if not table:
-            return
-        t = pa.Table.from_batches(table).combine_chunks()
-        labels, sums = _difference_items(t["_size"].to_numpy(), n_shards)
-        pid = TaskContext.get().partitionId()
-        out = t.append_column("_pid", pa.array(np.full(len(labels), pid), pa.int64()))
-        out = out.append_column("_label", pa.array(labels, pa.int64()))
-        out = out.append_column("_sum", pa.array(sums[labels], pa.int64()))
-        yield from out.to_batches(max_chunksize=65536)
-
-    schema = items.schema
-    for c in ("_pid", "_label", "_sum"):
-        schema = schema.add(c, "long")
-    done = written(dealt.mapInArrow(local, schema), "shard-items")
-    sums: dict[int, np.ndarray] = {}
-    for r in done.groupBy("_pid", "_label").agg(F.max("_sum").alias("s")).collect():  # <= partitions * shards numbers
-        sums.setdefault(r["_pid"], np.zeros(n_shards, dtype=np.int64))[r["_label"]] = r["s"]
-    if not sums:
-        return items.withColumn("shard", F.lit(0)).limit(0)
-    pids = sorted(sums)
-    _, where = difference([sums[p] for p in pids])
-    rows = [(p, i, int(w[i])) for p, w in zip(pids, where) for i in range(n_shards)]
-    final = spark.createDataFrame(rows, "_pid long, _label long, shard int")
-    return done.join(F.broadcast(final), ["_pid", "_label"]).select(*keys, "_size", "shard")
+def _whole_limit(large: list[int], bundles: list[int], n_shards: int, mean: float, floor: float) -> float:
+    """Size up to which groups stay whole: one mean shard, or less where that leaves a wide spread."""
+    limit = mean
+    while True:
+        sizes = list(bundles)
+        for size in large:
+            n = _pieces(size, limit)
+            sizes += [size // n] * n
+        _, sums = _difference_items(np.array(sizes, dtype=np.int64), n_shards)
+        if limit / 2 < floor or sums.max() - sums.min() <= SPREAD * mean:
+            return limit
+        limit /= 2
+
+
+def _pieces(size: int, limit: float) -> int:
+    return 1 if size <= limit else math.ceil(4 * size / limit)
+
+
+def shard_items(rows: DataFrame, n_shards: int) -> DataFrame:
+    """rows (_key, _row, size, ...) -> rows with ``shard``, those of one _key together as
+    far as near equal bytes allow."""
+    spark = rows.sparkSession
+    grain = max(10, min(GRAIN, 40 * GRAIN // n_shards))
+    mean = int(rows.agg(F.sum("size")).first()[0] or 0) / n_shards
+    if not mean:
+        return rows.withColumn("shard", F.lit(0)).limit(0)
+    bundle = F.pmod(F.xxhash64("_key"), F.lit(grain * n_shards))
+    groups = written(rows.groupBy("_key").agg(F.sum("size").alias("_size")).withColumn("_bundle", bundle), "shard-groups")
+    large = [(bytes(r["_key"]), r["_size"])
+             for r in groups.filter(F.col("_size") > mean / grain).collect()]  # at most grain * n_shards rows
+    bundles = [r["s"] for r in groups.filter(F.col("_size") <= mean / grain).groupBy("_bundle")
+               .agg(F.sum("_size").alias("s")).collect()]
+    limit = _whole_limit([size for _, size in large], bundles, n_shards, mean, mean / grain)
+    pieces = spark.createDataFrame([(key, _pieces(size, limit)) for key, size in large], "_key binary, _n int")
+    piece = F.when(F.col("_n").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("doc_id", "_row"), F.col("_n")).cast("int"))
+    item = F.struct(F.when(F.col("_n").isNull(), bundle.cast("string")).otherwise(F.hex("_key")).alias("of"),
+                    piece.alias("piece"))
+    items = rows.join(F.broadcast(pieces), "_key", "left").withColumn("_item", item).drop("_n")
+    sums = sorted((r["_item"]["of"], r["_item"]["piece"], r["s"])
+                  for r in items.groupBy("_item").agg(F.sum("size").alias("s")).collect())
+    labels, _ = _difference_items(np.array([s for _, _, s in sums], dtype=np.int64), n_shards)
+    final = spark.createDataFrame([((of, n), int(x)) for (of, n, _), x in zip(sums, labels)],
+                                  "_item struct<of:string,piece:int>, shard int")
+    return items.join(F.broadcast(final), "_item").drop("_item")
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40, overhead: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard per document row."""
     spark = docs.sparkSession
-    rows = written(docs.select("doc_id", (F.octet_length(text_of()) + F.lit(overhead)).cast("long").alias("size"),
+    rows = written(docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), (F.octet_length(text_of()) + F.lit(overhead)).cast("long").alias("size"),
                                F.crc32(text_of().cast("binary")).alias("text_crc32"),
                                F.unhex(F.md5(text_of().cast("binary"))).alias("_key")), "shard-rows")
-    groups = rows.groupBy("_key").agg(F.sum("size").alias("_size"))
-    total = int(rows.agg(F.sum("size")).first()[0] or 0)
-    limit = max(1, total // (4 * n_shards))
-    large = {bytes(r["_key"]).hex(): -(-r["_size"] // limit)
-             for r in groups.filter(F.col("_size") > limit).collect()}  # at most 4 * n_shards rows
-    piece = F.lit(0)
-    if large:
-        pieces = F.create_map(*[F.lit(x) for key, n in large.items() for x in (key, int(n))])
-        of = pieces[F.lower(F.hex("_key"))]
-        piece = F.when(of.isNotNull(), F.pmod(F.xxhash64("doc_id"), of).cast("int")).otherwise(F.lit(0))
-    pieced = rows.withColumn("_piece", piece)
-    items = pieced.groupBy("_key", "_piece").agg(F.sum("size").alias("_size"))
-    shards = written(shard_groups(items, n_shards).select(
-        F.col("_key").alias("_k"), F.col("_piece").alias("_p"), "shard"), "shard-map")
-    placed = written(pieced.join(shards, (F.col("_key") == F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    placed = written(shard_items(rows, n_shards)
                      .select("doc_id", "size", "text_crc32", "shard",
                              F.pmod(F.xxhash64("doc_id"), F.lit(range_partitions(spark))).cast("int").alias("_cell")),
                      "shard-placed")

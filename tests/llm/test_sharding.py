@@ -2,8 +2,9 @@ import binascii
 import random
 
 import numpy as np
+import pytest
 
-from orderlake.llm.sharding import _difference_items, difference, shard_documents
+from orderlake.llm.sharding import _difference_items, difference, shard_documents, shard_items
 
 
 def test_differencing_labels_give_the_sums():
@@ -56,6 +57,33 @@ def test_balance_and_groups(spark):
     assert len(hot) > 1 and all(len(s) == 1 for s in where.values())
 
 
+@pytest.mark.parametrize("partitions", [32, 200])
+def test_balance_on_skewed_groups(spark, partitions):
+    """A hot third and groups of 0.1 to 0.9 shard among small items, 40 shards. The sizes
+    are those of rows that stand for texts."""
+    rng = np.random.default_rng(7)
+    sizes = rng.lognormal(7, 1.2, 8000).astype(np.int64) + 16
+    mean = sizes.sum() / 40 / (2 / 3 - 0.125)  # 0.1 + ... + 0.9 + 0.5 = 5 shards
+    groups = [x / 10 for x in range(1, 10)] + [0.5]
+    rows = [(k, f"t{k}", int(s)) for k, s in enumerate(sizes)]
+    rows += [(10000 + 100 * g + k, f"g{g}", int(x * mean / 50)) for g, x in enumerate(groups) for k in range(50)]
+    rows += [(None, "hot", int(mean * 40 / 3 / 3000)) for _ in range(3000)]
+    df = spark.createDataFrame([(d, n, t.encode(), s) for n, (d, t, s) in enumerate(rows)],
+                               "doc_id long, _row long, _key binary, size long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        out = shard_items(df, 40).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sums, where = np.zeros(40), {}
+    for r in out:
+        sums[r["shard"]] += r["size"]
+        where.setdefault(bytes(r["_key"]), set()).add(r["shard"])
+    assert len(out) == len(rows) and sums.max() - sums.min() <= 0.02 * sums.mean()
+    assert len(where.pop(b"hot")) > 1 and all(len(s) == 1 for s in where.values())
+
+
 def test_whole_table(sf_docs):
     rows = [(r["doc_id"], r["text"]) for r in sf_docs.collect()]
     check(shard_documents(sf_docs).collect(), rows, 40)
