@@ -1,17 +1,19 @@
 """Document fingerprints by I-Match (native column expressions only).
 
 The lexicon holds the terms in a band of inverse document frequency: a term is in it if
-between ``low`` and ``high`` of all documents hold it. A document's terms in the lexicon
-are sorted and hashed under several randomised subsets of the lexicon; the list of those
+between ``low`` and ``high`` of all distinct texts hold it, so copies of a text do not
+push its terms out of the band. A document's terms in the lexicon are sorted and hashed under several randomised subsets of the lexicon; the list of those
 hashes is its fingerprint. Subsets keep a term with chance 1/2, 1/4 ... 1/256 (four seeds
 each), so that some subsets hold only a few of a document's terms, whatever its length,
 and survive an edit. The likeness of two fingerprints is the share of their non-empty
-subset hashes that agree. A document without terms of the lexicon is hashed by all of
-its terms instead.
+subset hashes that agree. A document with fewer than ``ENOUGH`` terms of the lexicon is
+filled up to that many with its own terms of the smallest hashes, so that a vocabulary
+outside the band survives an edit too. A document with no term in any subset is hashed
+by all of its terms instead.
 
 The lexicon is broadcast: its size has a bound that does not grow with the corpus. The
-documents hold D distinct terms on average, so at most D / low terms can be held by a
-share ``low`` of the documents.
+texts hold D distinct terms on average, so at most D / low terms can be held by a share
+``low`` of them.
 
 Each document meets the text of the next one (ascending doc_id) in one range-like
 shuffle: every range also gets a copy of the first document of the following range. All
@@ -24,6 +26,8 @@ columns do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,7 @@ from orderlake.llm.common import range_partitions, text_of, written
 
 SEEDS = 4
 LEVELS = 8
+ENOUGH = 16
 TERM_BREAK = r"[\x20\x09-\x0D.,;:!?\"'()]+"
 _FIRST = -(1 << 63)
 
@@ -41,9 +46,19 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float = 0.0005, high: float = 0.05) -> DataFrame:
-    """(h, df): terms held by at least two documents and by low .. high of all."""
-    n = docs.count()
-    held = docs.select(F.explode(terms(text_of())).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    """(h, df): terms held by at least two rows and by low .. high of all."""
+    return _band(docs.select(terms(text_of()).alias("terms")), low, high)
+
+
+def text_lexicon(docs: DataFrame, low: float = 0.0005, high: float = 0.05) -> DataFrame:
+    """The lexicon of the distinct texts: each text counts once, whatever its copies."""
+    texts = docs.select(F.xxhash64(text_of()).alias("t"), terms(text_of()).alias("terms")).dropDuplicates(["t"])
+    return _band(written(texts.select("terms"), "imatch-texts"), low, high)
+
+
+def _band(held_by: DataFrame, low: float, high: float) -> DataFrame:
+    n = held_by.count()
+    held = held_by.select(F.explode("terms").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     return held.filter((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n)))
 
 
@@ -54,7 +69,7 @@ def _in_subset(terms_left: Column, seed: int, level: int) -> Column:
 
 def with_subset_hashes(df: DataFrame, sets: dict[str, tuple[str, Column]]) -> DataFrame:
     """Adds a fingerprint column for each entry of ``sets``: name -> (column of sorted
-    distinct terms, hash of all terms that stands in when there are none). Each level
+    distinct terms, hash of all terms that stands in when all subsets are empty). Each level
     halves the terms the level before it kept, one projection per level."""
     for level in range(1, LEVELS + 1):
         df = df.select("*", *[
@@ -65,7 +80,9 @@ def with_subset_hashes(df: DataFrame, sets: dict[str, tuple[str, Column]]) -> Da
         parts = [F.col(f"_{name}_{seed}_{level}") for seed in range(SEEDS) for level in range(1, LEVELS + 1)]
         hashed = [F.when(F.size(p) == 0, F.lit("-")).otherwise(_hex32(F.xxhash64(p))) for p in parts]
         alone = F.array_repeat(F.when(whole.isNull(), F.lit("-")).otherwise(_hex32(whole)), SEEDS * LEVELS)
-        out.append(F.when(F.size(c) == 0, alone).otherwise(F.array(*hashed)).alias(name))
+        # the deeper levels keep a part of level 1
+        none = reduce(lambda x, y: x & y, [F.size(f"_{name}_{seed}_1") == 0 for seed in range(SEEDS)])
+        out.append(F.when(none, alone).otherwise(F.array(*hashed)).alias(name))
     return df.select(*[x for x in df.columns if not x.startswith(tuple(f"_{n}_" for n in sets))], *out)
 
 
@@ -117,7 +134,7 @@ def with_next_document(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    words = written(lexicon(docs, low, high).select("h").unionByName(
+    words = written(text_lexicon(docs, low, high).select("h").unionByName(
         docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("h"))).distinct(), "imatch-lexicon")
     n = F.length("_t")
     quarter = F.floor(n / 4).cast("int")
@@ -129,12 +146,13 @@ def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05) -> Da
         terms(F.col("_t")).alias("_a"), terms(F.col("_e")).alias("_b"))
     tag = lambda c, bits: F.transform(c, lambda h: F.struct(
         h.alias("h"), F.lit(bits).alias("in"), F.lit(None).cast(
-            "struct<doc_id:bigint,n_chars:bigint,sha:string,a:bigint,b:bigint>").alias("info")))
+            "struct<doc_id:bigint,n_chars:bigint,sha:string,a:bigint,b:bigint,fa:array<bigint>,fb:array<bigint>>").alias("info")))
     whole = lambda c: F.when(F.size(c) > 0, F.xxhash64(F.sort_array(c)))
+    fill = lambda c: F.slice(F.sort_array(c), 1, ENOUGH)
     # hash 0 stands for the document itself; it is in the lexicon, so no document is lost
     self_row = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("in"), F.struct(
         F.col("_info.doc_id"), F.col("_info.n_chars"), F.col("_info.sha"), whole("_a").alias("a"),
-        whole("_b").alias("b")).alias("info"))
+        whole("_b").alias("b"), fill("_a").alias("fa"), fill("_b").alias("fb")).alias("info"))
     rows = sets.select("_pid", "_g", "_k", "_h", "_row", F.explode(F.concat(
         F.array(self_row), tag(F.array_intersect("_a", "_b"), 3), tag(F.array_except("_a", "_b"), 1),
         tag(F.array_except("_b", "_a"), 2))).alias("t"))
@@ -145,7 +163,9 @@ def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05) -> Da
                 F.max("info").alias("i"),
                 F.collect_list(F.when(F.col("in").bitwiseAND(1) > 0, F.col("h"))).alias("a"),
                 F.collect_list(F.when(F.col("in").bitwiseAND(2) > 0, F.col("h"))).alias("b")))
-    ordered = kept.select("_pid", "_g", "_k", "_h", "_row", "i", F.sort_array("a").alias("a"), F.sort_array("b").alias("b"))
+    filled = lambda c, own: F.sort_array(F.when(F.size(c) >= ENOUGH, F.col(c)).otherwise(F.concat(
+        c, F.slice(F.array_except(own, c), F.lit(1), F.greatest(F.lit(ENOUGH) - F.size(c), F.lit(0))))))
+    ordered = kept.select("_pid", "_g", "_k", "_h", "_row", "i", filled("a", "i.fa").alias("a"), filled("b", "i.fb").alias("b"))
     prints = with_subset_hashes(ordered, {"fp": ("a", F.col("i.a")), "efp": ("b", F.col("i.b"))}).drop("a", "b")
     following = prints.withColumn("nfp", F.lead("fp").over(Window.partitionBy("_pid").orderBy("_g", "_k", "_h", "_row")))
     return following.filter("_g = 0").select(

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 import re
 
 from orderlake.llm.imatch import fingerprints, lexicon, terms
@@ -64,3 +65,18 @@ def test_lexicon_against_brute_force(sf_docs):
     want = sorted(v for v in df.values() if low <= v <= high)
     assert sorted(r["df"] for r in lexicon(sf_docs, 0.02, 0.2).collect()) == want
     assert sf_docs.select(terms(sf_docs["text"]).alias("t")).count() == len(docs)
+
+
+def test_copies_and_small_vocabularies_keep_near_edited(spark):
+    rng = random.Random(3)
+    text = lambda word, n: " ".join(word + str(rng.randrange(n)) for _ in range(80))
+    hot = text("h", 10**6)
+    rows = [(k, text("m", 4000)) for k in range(600)]
+    rows += [(1000 + k, hot) for k in range(300)]
+    rows += [(2000 + k, text("s", 10**6)) for k in range(60)]  # no term is held by two texts
+    got = fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    mean = lambda a, c: sum(r[c] for r in got if a <= r["doc_id"] < a + 1000) / sum(a <= r["doc_id"] < a + 1000 for r in got)
+    last = next(r for r in got if r["doc_id"] == 1299)
+    assert last["near_edited"] > 0.1  # the others of the group end in their own text's start
+    assert mean(0, "near_edited") > 0.1 and mean(2000, "near_edited") > 0.1
+    assert mean(2000, "near_next") < 0.05
