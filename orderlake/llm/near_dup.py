@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import written
+from orderlake.llm.common import text_of, written
 
 REGISTERS, ROWS = 200, 5
 BASE, RATE, TOP = 1.001, 20.0, 65534
@@ -114,7 +114,7 @@ def estimate(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
 
 
 def sketch_documents(docs: DataFrame, k: int = 2) -> DataFrame:
-    """id, n_shingles, sid (hash of the set, null when empty), keys (one per band)."""
+    """id, text_hash, n_shingles, sid (hash of the set, null when empty), keys (one per band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,11 +125,12 @@ def sketch_documents(docs: DataFrame, k: int = 2) -> DataFrame:
                 sids.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
                 keys.append(band_keys(registers(s)) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["id", "n_shingles", "sid", "keys"])
+                [batch.column("id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["id", "text_hash", "n_shingles", "sid", "keys"])
 
-    return (docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), "text")
-            .mapInArrow(run, "id long, n_shingles long, sid long, keys array<long>"))
+    return (docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"),
+                        F.xxhash64(text_of()).alias("text_hash"), "text")
+            .mapInArrow(run, "id long, text_hash long, n_shingles long, sid long, keys array<long>"))
 
 
 def _members(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -255,6 +256,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, standard_errors: float = 5.0) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document row."""
+    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return _grouped(docs, k, percent, standard_errors).select(
+        real("id").alias("doc_id"), "n_shingles", real("least").alias("component_id"),
+        (F.col("id") == F.col("least")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, k: int = 5, percent: int = 80, standard_errors: float = 5.0) -> DataFrame:
+    """id, text_hash, n_shingles, comp (null without words) and the component's least id,
+    for every document row."""
     margin = standard_errors * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     sketches = written(sketch_documents(docs, k), "nd-sketches")
     sets = (sketches.filter("sid is not null").groupBy("sid")
@@ -287,16 +297,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, standard_err
 
     classes = written(reps.join(final, "sid", "left").select("sid", "rep", F.coalesce("comp", "sid").alias("comp")), "nd-classes")
     smallest = written(classes.groupBy("comp").agg(F.min("rep").alias("least")), "nd-least")
-    of_set = written(classes.join(smallest, "comp").select("sid", "least"), "nd-class-of-set")
-    real = lambda c: F.when(c != NO_ID, c)
-    return (sketches.select("id", "n_shingles", "sid").join(of_set, "sid", "left")
-            .withColumn("least", F.coalesce("least", "id"))
-            .select(real(F.col("id")).alias("doc_id"), "n_shingles", real(F.col("least")).alias("component_id"),
-                    (F.col("id") == F.col("least")).alias("kept")))
+    of_set = written(classes.join(smallest, "comp").select("sid", "comp", "least"), "nd-class-of-set")
+    return (sketches.select("id", "text_hash", "n_shingles", "sid").join(of_set, "sid", "left")
+            .select("id", "text_hash", "n_shingles", "comp", F.coalesce("least", "id").alias("least")))
 
 
 def drop_near_duplicates(docs: DataFrame, **rules) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id (one row of it)."""
-    kept = near_duplicates(docs, **rules).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return out.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group: of those with the smallest doc_id, the text with the
+    smallest hash (one row of it). Different texts that share an id, or have none, are
+    documents of their own; without words, rows of equal id and text are one."""
+    least = _grouped(docs, **rules).filter(F.col("id") == F.col("least"))
+    linked = least.filter("comp is not null").groupBy("comp").agg(F.min(F.struct("id", "text_hash")).alias("r")).select("r.*")
+    alone = least.filter("comp is null").select("id", "text_hash").distinct()
+    kept = linked.unionByName(alone).select(F.col("id").alias("_id"), F.col("text_hash").alias("_th"))
+    keyed = docs.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID).cast("long"))).withColumn("_hash", F.xxhash64(text_of()))
+    out = keyed.join(kept, (F.col("_key") == F.col("_id")) & (F.col("_hash") == F.col("_th")))
+    return out.dropDuplicates(["_key", "_hash"]).select(*docs.columns)

@@ -84,6 +84,15 @@ def test_whole_table(sf_docs):
     assert out.columns == sf_docs.columns
 
 
+def test_texts_without_or_with_equal_ids_stay(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    rows = [(None, text()) for _ in range(12)] + [(7, text()) for _ in range(5)] + [(k, text()) for k in range(10, 20)]
+    copies = [rows[0], rows[0], rows[13], (None, rows[1][1].upper()), (30, rows[2][1])]
+    out = drop_near_duplicates(spark.createDataFrame(rows + copies, "doc_id long, text string"), k=2).collect()
+    assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in out) == sorted((d or 0, t) for d, t in rows)
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
