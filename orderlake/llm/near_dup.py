@@ -140,7 +140,7 @@ def _members(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             sids, texts, regs = [], [], []
             for sid, text in zip(batch.column("sid").to_pylist(), batch.column("text").to_pylist()):
-                s = shingles(text, k)  # rows may share a doc_id: take the one with this set
+                s = shingles(text, k)  # texts may share a hash: take the one with this set
                 if len(s) and xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) == sid:
                     sids.append(sid)
                     texts.append(text)
@@ -149,8 +149,10 @@ def _members(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 [pa.array(sids, pa.int64()), pa.array(texts, pa.string()), pa.array(regs, pa.binary())],
                 ["sid", "text", "regs"])
 
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), "text")
-    found = texts.join(wanted.select(F.col("rep").alias("id"), "sid"), "id").select("sid", "text").mapInArrow(
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"),
+                        F.xxhash64(text_of()).alias("text_hash"), "text")
+    found = texts.join(wanted.select(F.col("rep").alias("id"), F.col("rep_hash").alias("text_hash"), "sid"),
+                       ["id", "text_hash"]).select("sid", "text").mapInArrow(
         run, "sid long, text string, regs binary")
     return found.dropDuplicates(["sid"])
 
@@ -270,7 +272,8 @@ def _grouped(docs: DataFrame, k: int = 5, percent: int = 80, standard_errors: fl
     sets = (sketches.filter("sid is not null").groupBy("sid")
             .agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.first("keys").alias("keys")))
     dealt = written(sets.select("sid", "n", F.explode("keys").alias("key")), "nd-bands")
-    reps = written(sketches.filter("sid is not null").groupBy("sid").agg(F.min("id").alias("rep")), "nd-sets")
+    reps = written(sketches.filter("sid is not null").groupBy("sid").agg(F.min(F.struct("id", "text_hash")).alias("r"))
+                   .select("sid", F.col("r.id").alias("rep"), F.col("r.text_hash").alias("rep_hash")), "nd-sets")
     crowded = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = written(dealt.join(written(crowded, "nd-crowded"), "key"), "nd-buckets")
     degree = written(buckets.groupBy("sid").agg(F.sum("size").alias("degree"), F.max("n").alias("n")), "nd-degree")

@@ -2,7 +2,11 @@ import random
 
 import numpy as np
 
-from orderlake.llm.near_dup import drop_near_duplicates, estimate, merge, near_duplicates, registers, shingles
+from pyspark.sql import functions as F
+
+from orderlake.llm.near_dup import (
+    _members, drop_near_duplicates, estimate, merge, near_duplicates, registers, shingles, sketch_documents,
+)
 
 
 def sets_of(text, k):
@@ -93,6 +97,17 @@ def test_texts_without_or_with_equal_ids_stay(spark):
     assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in out) == sorted((d or 0, t) for d, t in rows)
 
 
+def test_members_meet_their_own_row_only(spark):
+    rows = [(None, f"a{k} b{k} c{k}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = sketch_documents(docs, 2).select("sid", F.col("id").alias("rep"), F.col("text_hash").alias("rep_hash"))
+    found = _members(docs, wanted, 2)
+    assert found.count() == 30
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    join = next(x for x in plan.splitlines() if "Join Inner" in x)
+    assert "text_hash" in join and " AND " in join  # not by id alone, which is one key here
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
