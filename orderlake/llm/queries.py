@@ -16,6 +16,7 @@ from orderlake.llm.mixing import mix_counts
 from orderlake.llm.near_dup import near_duplicates
 from orderlake.llm.pii import pii_digest
 from orderlake.llm.quality_rules import quality_rules
+from orderlake.llm.repair import repair_conversations
 from orderlake.llm.secrets import scan_documents
 from orderlake.llm.sharding import shard_documents
 from orderlake.llm.suffix_dedup import dedup_substrings
@@ -74,6 +75,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The faults the contract plants, by crc32 of conv_id:turn (nulls are one space);
+    copies counts a row, 0 for a dropped one and 2 for a repeated one."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    return turns.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(space("role")).alias("role"),
+                        text.alias("text"), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"))
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -86,4 +101,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_imatch": op8_imatch,
         "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
+        "op11_repair": op11_repair,
     }
