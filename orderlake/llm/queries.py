@@ -20,6 +20,7 @@ from orderlake.llm.repair import repair_conversations
 from orderlake.llm.secrets import scan_documents
 from orderlake.llm.sharding import shard_documents
 from orderlake.llm.suffix_dedup import dedup_substrings
+from orderlake.llm.variants import spelling_variants
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,10 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -102,4 +107,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
         "op11_repair": op11_repair,
+        "op12_variants": op12_variants,
     }
