@@ -20,6 +20,7 @@ from orderlake.llm.repair import repair_conversations
 from orderlake.llm.secrets import scan_documents
 from orderlake.llm.sharding import shard_documents
 from orderlake.llm.suffix_dedup import dedup_substrings
+from orderlake.llm.toxicity import score_toxicity
 from orderlake.llm.variants import spelling_variants
 
 
@@ -94,6 +95,11 @@ def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
+    return score_toxicity(documents(spark, sf_dir), labels)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -108,4 +114,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mixing": op10_mixing,
         "op11_repair": op11_repair,
         "op12_variants": op12_variants,
+        "op13_toxicity": op13_toxicity,
     }
