@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.money import AMOUNT_TYPE
 from orderlake.functions.text import _col, unicode_trim
 
-# 16 integer digits; times a decimal(12,6) rate it is still exact in 38 digits
-PRICE_TYPE = "decimal(25,9)"
+# 29 integer and 9 fraction digits; a number past it is null, as for the safe cast of the model
+PRICE_TYPE = AMOUNT_TYPE
 
 # A number that both Spark and SQL engines cast the same way: ASCII digits only.
 # (Spark alone would also accept Arabic-Indic digits.)
@@ -85,3 +86,11 @@ def price_priority(raw) -> Column:
     """0 for a usable price (non-zero, non-blank), else 1; null sorts with the 1s."""
     t = unicode_trim(_col(raw))
     return F.when(~t.isin("0,00", "0.00") & (t != ""), F.lit(0)).otherwise(F.lit(1))
+
+
+def unread_price(raw, price) -> Column:
+    """A price text that is neither blank nor a zero price and still gave no price: not a
+    number, or wider than ``PRICE_TYPE``."""
+    t = unicode_trim(_col(raw))
+    value = F.when(t.rlike(r"^[-+]?0*[.,]?0*$"), F.lit(None)).otherwise(t)
+    return value.isNotNull() & _col(price).isNull()

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-USD_TYPE = "decimal(33,9)"
+from orderlake.functions.money import convert
+
 
 
 def check_rates(rates: DataFrame) -> DataFrame:
@@ -40,10 +41,10 @@ def resolve_currency(df: DataFrame, rates: DataFrame, symbol_code: str = "curren
 
 
 def to_usd(df: DataFrame, rates: DataFrame, amounts: dict[str, str], code: str = "currency_code") -> DataFrame:
-    """For each ``{out: amount}``: ROUND(amount * rate_to_usd, 2) in decimal; a code
-    without a seed row gives null."""
+    """For each ``{out: amount}``: ROUND(amount * rate_to_usd, 2), exact at any width; a
+    code without a seed row gives null."""
     r = rates.select(F.col("currency_code").alias("__rate_code"), F.col("rate_to_usd").alias("__rate"))
     j = df.join(r, df[code] == r["__rate_code"], "left")
     for out, amount in amounts.items():
-        j = j.withColumn(out, F.round(F.col(amount) * F.col("__rate"), 2).try_cast(USD_TYPE))
+        j = j.withColumn(out, convert(F.col(amount), F.col("__rate")))
     return j.drop("__rate_code", "__rate")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.money import total
+
 
 def sales_measures(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """``fact JOIN dim USING key GROUP BY attrs``. The distinct counts are planned as
@@ -14,7 +16,7 @@ def sales_measures(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str])
     d = dim.select(key, *attrs)
     j = fact.join(d, key, "left")
     return j.groupBy(*attrs).agg(
-        F.sum("line_total_price").alias("revenue"),
+        total(F.col("line_total_price")).alias("revenue"),
         F.countDistinct("order_id").alias("orders"),
         F.sum("order_qty").alias("items_sold"),
         F.countDistinct("customer_key").alias("unique_customers"),

@@ -28,6 +28,6 @@ def with_group_total(df: DataFrame, key: str, value: Column | str, out: str) ->
     keyed = df.withColumns({"__gk": F.coalesce(F.col(key).cast("string"), F.lit("")),
                             "__gk_null": F.col(key).isNull()})
     totals = (keyed.groupBy(F.col("__gk").alias("__t_gk"), F.col("__gk_null").alias("__t_null"))
-                   .agg(F.sum(v).alias(out)).withColumn("__t_gk", own_shuffle("__t_gk")))
+                   .agg(F.try_sum(v).alias(out)).withColumn("__t_gk", own_shuffle("__t_gk")))
     joined = keyed.join(totals, (keyed.__gk == totals.__t_gk) & (keyed.__gk_null == totals.__t_null), "left")
     return joined.drop("__gk", "__gk_null", "__t_gk", "__t_null")

@@ -15,8 +15,9 @@ from orderlake.functions.currency import (
 from orderlake.functions.text import URL_DOMAIN_PATTERN, WHITESPACE_CLASS
 from orderlake.plans.extract import PRODUCT_EVENTS, SPECIAL_EVENT, fallback_url_template
 from orderlake.sources.adapters import (
-    CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, NATION_BLOCK, OK_EVERY, PRICE_FORMATS,
-    TRACK_PATTERN, ZERO_PRICE_SPELLINGS, shop_urls,
+    CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, FAIL_EVERY, GONE_AT, GONE_EVERY,
+    GONE_SUFFIX, HUGE_QUANTITY, NATION_BLOCK, OBJECT_EVERY, OBJECT_PAYLOAD, PAYLOAD_PATTERN, PRICE_FORMATS, TRACK_PATTERN,
+    WIDE_CODES, ZERO_PRICE_SPELLINGS, shop_urls,
 )
 from orderlake.sources.seed import DEFAULT_SHOP_HOST, seed_values_sql
 
@@ -55,19 +56,19 @@ def safe_int(x: str) -> str:
     return f"(CASE WHEN regexp_matches({t}, '^[-+]?[0-9]+$') THEN TRY_CAST({t} AS BIGINT) END)"
 
 
-def safe_decimal(x: str) -> str:
+def safe_decimal(x: str, width: int = 25) -> str:
     t = utrim(x)
     return (f"(CASE WHEN regexp_matches({t}, '^[-+]?[0-9.]+([eE][-+]?[0-9]+)?$') "
-            f"THEN TRY_CAST({t} AS DECIMAL(25,9)) END)")
+            f"THEN TRY_CAST({t} AS DECIMAL({width},9)) END)")
 
 
-def parse_price(raw: str) -> str:
+def parse_price(raw: str, width: int = 25) -> str:
     t = utrim(raw)
     norm = (f"(CASE WHEN strpos({t}, '٫') > 0 THEN replace({t}, '٫', '.') "
             f"WHEN regexp_matches({t}, '\\d''\\d') THEN replace({t}, '''', '') "
             f"WHEN regexp_matches({t}, '\\d,\\d{{2}}$') THEN replace(replace({t}, '.', ''), ',', '.') "
             f"ELSE replace({t}, ',', '') END)")
-    return f"NULLIF({safe_decimal(norm)}, 0)"
+    return f"NULLIF({safe_decimal(norm, width)}, 0)"
 
 
 def price_status(raw: str) -> str:
@@ -397,18 +398,27 @@ url_pairs AS (
 
 _FALSY = ", ".join(q(x) for x in ["{}", "[]", "null", "false", "0", '""'])
 PAGE_RESOLUTION = BEHAVIOUR + f""",
+_wanted AS (
+  SELECT product_id, CASE WHEN CAST(product_id AS BIGINT) % {GONE_EVERY} = {GONE_AT} THEN url || '{GONE_SUFFIX}' ELSE url END AS url
+  FROM url_pairs
+),
+_page AS (
+  SELECT page_id, url, CASE WHEN page_id % {OBJECT_EVERY} = 0 THEN regexp_replace(html, '{TRACK_PATTERN}',
+    'track({OBJECT_PAYLOAD.replace('<n>', chr(92) + '1')})', 'g') ELSE html END AS html
+  FROM pages
+),
 _payloads AS (
   SELECT url, payload FROM (
-    SELECT url, NULLIF(regexp_extract(html, '{TRACK_PATTERN}', 1), '') AS payload FROM (
-      SELECT url, html FROM pages WHERE page_id % {OK_EVERY} = 0
+    SELECT url, NULLIF(regexp_extract(html, '{PAYLOAD_PATTERN}', 1), '') AS payload FROM (
+      SELECT url, html FROM _page WHERE page_id % {FAIL_EVERY} != 0
       UNION ALL
-      SELECT printf({q(fallback_url_template(HOST))}, CAST(page_id AS VARCHAR)), html FROM pages WHERE page_id % 4 = 0))
+      SELECT printf({q(fallback_url_template(HOST))}, CAST(page_id AS VARCHAR)), html FROM _page WHERE page_id % 4 = 0))
   WHERE payload IS NOT NULL AND json_valid(payload) AND trim(payload) NOT IN ({_FALSY})
 ),
 _cand AS (
-  SELECT product_id, url, 0 AS priority FROM url_pairs
+  SELECT product_id, url, 0 AS priority FROM _wanted
   UNION ALL
-  SELECT DISTINCT product_id, printf({q(fallback_url_template(HOST))}, product_id) AS url, 1 AS priority FROM url_pairs
+  SELECT DISTINCT product_id, printf({q(fallback_url_template(HOST))}, product_id) AS url, 1 AS priority FROM _wanted
 ),
 resolved AS (
   SELECT product_id, url, payload FROM (
@@ -418,6 +428,52 @@ resolved AS (
 )"""
 
 
+def cents_text(c: str) -> str:
+    """Whole cents as the text of a decimal with two places."""
+    return (f"(CASE WHEN {c} < 0 THEN '-' ELSE '' END || CAST(abs({c}) // 100 AS VARCHAR) || '.' || "
+            f"lpad(CAST(abs({c}) % 100 AS VARCHAR), 2, '0'))")
+
+
+# Whole 10^-9 units and cents as HUGEINT; the product with a rate is taken in two halves.
+_nine = "lpad(CAST(({}) % 1000000000 AS VARCHAR), 9, '0')"
+_a, _b, _c = (_nine.format(x) for x in ("l_orderkey", "l_partkey", "CAST(ROUND(l_extendedprice * 100) AS BIGINT)"))
+WIDE = f"""
+_digits AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(trunc(l_quantity) AS INTEGER) AS qty,
+         CASE l_linenumber % 5 WHEN 0 THEN {_c} WHEN 1 THEN {_a} || {_c} WHEN 2 THEN {_b} || {_a} || {_c}
+              WHEN 3 THEN CAST(l_suppkey % 99 + 1 AS VARCHAR) || {_b} || {_a} || {_c}
+              ELSE '100' || {_b} || {_a} || {_c} END AS whole,
+         {_nine.format('l_partkey * 7919 + l_orderkey')} AS nine
+  FROM lineitem
+),
+_raw AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_partkey % 101 = 0 THEN 'n/a' WHEN l_partkey % 107 = 0 THEN ' 0,00 '
+              ELSE CASE WHEN l_suppkey % 11 = 0 THEN '-' ELSE '' END || whole ||
+                   CASE l_orderkey % 3 WHEN 0 THEN '.' || nine WHEN 1 THEN ',' || lpad(CAST(l_suppkey % 100 AS VARCHAR), 2, '0')
+                                       ELSE '٫' || nine END END AS price_raw,
+         {pick('l_suppkey % 6', WIDE_CODES)} AS currency_code,
+         CASE WHEN l_partkey % 103 = 0 THEN {HUGE_QUANTITY} ELSE qty END AS quantity
+  FROM _digits
+),
+_units AS (
+  SELECT r.*, {parse_price('price_raw', 38)} AS price, e.rate_to_usd AS rate,
+         CAST(e.rate_to_usd * 1000000 AS HUGEINT) AS micro
+  FROM _raw r LEFT JOIN {SEED} e ON r.currency_code = e.currency_code
+),
+_whole AS (SELECT *, CAST(replace(CAST(price AS VARCHAR), '.', '') AS HUGEINT) AS u FROM _units),
+_cents AS (
+  SELECT *, CASE WHEN u < 0 THEN -1 ELSE 1 END * (
+           (abs(u) // 10000000000000000000) * micro * 1000000
+           + ((abs(u) % 10000000000000000000) * micro + 5000000000000) // 10000000000000) AS usd
+  FROM _whole
+),
+_lines AS (
+  SELECT *, CASE WHEN abs(usd) <= 99999999999999999999999999999999999999 // quantity THEN usd * quantity END AS line_total
+  FROM _cents
+)"""
+
+
 def with_(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip().lstrip(",").strip() + "\n" + body
 
@@ -572,6 +628,18 @@ def oracle_sql() -> dict[str, str]:
     sq["dq_accepted_values"] = _dq_summary([("dim_date.is_weekend", "SELECT 1 FROM dim_date WHERE is_weekend IS NOT NULL AND is_weekend NOT IN (TRUE, FALSE)"),
                                             ("orders.o_orderstatus", "SELECT 1 FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')")])
     sq["dq_relationships"] = _dq_summary(dq_relationship_checks())
+    money_text = ", ".join(f"{cents_text(c)} AS {c}" for c in ("usd", "line_total", "order_total"))
+    sq["wide_money"] = with_(WIDE, edge(
+        [("l_orderkey", "i"), ("l_linenumber", "i"), ("price_raw", "s"), ("currency_code", "s"), ("quantity", "i"),
+         ("price", "s"), ("usd", "s"), ("line_total", "s"), ("order_total", "s")],
+        f"(SELECT * EXCLUDE (usd, line_total, order_total), {money_text} FROM "
+        "(SELECT *, SUM(line_total) OVER (PARTITION BY l_orderkey) AS order_total FROM _lines))"))
+    sq["money_losses"] = with_(WIDE, edge(
+        [("currency_code", "s")] + [(c, "i") for c in ("n_lines", "n_unread", "n_no_rate", "n_lost_usd", "n_lost_totals")],
+        "(SELECT currency_code, COUNT(*) AS n_lines, COUNT(*) FILTER (price_raw <> ' 0,00 ' AND price IS NULL) AS n_unread, "
+        "COUNT(*) FILTER (price IS NOT NULL AND rate IS NULL) AS n_no_rate, "
+        "COUNT(*) FILTER (price IS NOT NULL AND rate IS NOT NULL AND usd IS NULL) AS n_lost_usd, "
+        "COUNT(*) FILTER (usd IS NOT NULL AND line_total IS NULL) AS n_lost_totals FROM _lines GROUP BY currency_code)"))
     sq["url_domain"] = edge([("page_id", "i"), ("url", "s"), ("domain", "s")],
                             f"(SELECT page_id, url, {url_domain('url')} AS domain FROM pages)")
     sq["clean_string"] = edge([("doc_id", "i"), ("text_clean", "s")],
@@ -593,9 +661,10 @@ def oracle_sql() -> dict[str, str]:
         [("n_products", "i"), ("n_urls", "i")],
         "(SELECT COUNT(DISTINCT product_id) AS n_products, COUNT(*) AS n_urls FROM url_pairs)"))
     sq["resolve_pages"] = with_(PAGE_RESOLUTION, edge([("product_id", "s"), ("url", "s"), ("payload", "s")], "resolved"))
+    unresolved = "product_id NOT IN (SELECT product_id FROM resolved)"
     sq["failed_products"] = with_(PAGE_RESOLUTION, edge(
         [("product_id", "s")],
-        "(SELECT DISTINCT product_id FROM url_pairs WHERE product_id NOT IN (SELECT product_id FROM resolved))"))
+        f"(SELECT DISTINCT product_id FROM _wanted WHERE {unresolved})"))
     sq["product_export"] = with_(PRODUCT_BASE, edge(
         [("product_id", "s"), ("name", "s"), ("sku", "s"), ("price", "s"), ("min_price", "s"), ("max_price", "s"),
          ("min_price_format", "s"), ("qty", "s"), ("category", "s"), ("category_name", "s")],
@@ -603,7 +672,11 @@ def oracle_sql() -> dict[str, str]:
         f"{clean_string('min_price')} AS min_price, {clean_string('max_price')} AS max_price, "
         f"{clean_string('min_price_format')} AS min_price_format, {clean_string('qty')} AS qty, "
         f"{clean_string('category')} AS category, {clean_string('category_name')} AS category_name FROM product_info)"))
-    sq["collect_products"] = sq["resolve_pages"]
+    spread = ", ".join(f"CASE WHEN payload LIKE '{{%' THEN json_extract_string(payload, '$.{f}') END AS {f}" for f in ("sku", "qty", "name"))
+    sq["collect_products"] = with_(PAGE_RESOLUTION, edge(
+        [(c, "s") for c in ("product_id", "url", "payload", "sku", "qty", "name", "status")],
+        f"(SELECT product_id, url, payload, {spread}, 'found' AS status FROM resolved UNION ALL "
+        f"SELECT DISTINCT product_id, NULL, NULL, NULL, NULL, NULL, 'failed' FROM _wanted WHERE {unresolved})"))
     sq["jsonl_roundtrip"] = sq["cart_explode"]
     sq["ingest_idempotent"] = sq["cart_explode"]
     sq["normalize_record"] = with_(CHECKOUT_BASE, edge(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
+from orderlake.functions.money import times
 from orderlake.operators.totals import own_shuffle, with_group_total
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
@@ -52,7 +53,7 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_
       before the shuffle, and AQE's skew split on the join, keep an order holding a
       large share of all lines from landing in one task.
     """
-    f = int_fact.withColumn("line_total_price", F.col("item_price_usd") * F.col("order_qty"))
+    f = int_fact.withColumn("line_total_price", times(F.col("item_price_usd"), F.col("order_qty")))
     # With one place per IP the joins below keep one row per fact line, so the order
     # total (W4) is computed from the fact columns alone, before the dimension joins.
     if with_order_total and (dedup_location_ip or int_location is None):

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from orderlake.functions.currency import cart_currency_from_symbol, product_currency, product_raw_symbol
 from orderlake.functions.json_shape import normalize_option_json
 from orderlake.functions.keys import surrogate_key
-from orderlake.functions.price import with_parsed_price
+from orderlake.functions.money import is_lost, times
+from orderlake.functions.price import unread_price, with_parsed_price
 from orderlake.functions.text import clean_string, extract_script_payload, nullif_blank, url_domain
 from orderlake.operators import quality as Q
+from orderlake.operators.currency import to_usd
 from orderlake.operators.dedup import keep_first
 from orderlake.operators.metrics import sales_measures
 from orderlake.operators.totals import with_group_total
@@ -27,7 +29,7 @@ from orderlake.plans import intermediate as I
 from orderlake.plans import staging as S
 from orderlake.plans import warehouse as W
 from orderlake.sources import adapters as A
-from orderlake.sources.adapters import OK_EVERY, TRACK_PATTERN
+from orderlake.sources.adapters import PAYLOAD_PATTERN, TRACK_PATTERN
 from orderlake.sources.seed import exchange_rates
 from orderlake.session import apply_session_conf
 
@@ -173,6 +175,34 @@ def usd_conversion(i: Inputs):
     return i.stg_fact().select("order_id", "product_id", "item_price", "currency_code", "item_price_usd")
 
 
+def _wide_lines(i: Inputs) -> DataFrame:
+    lines = with_parsed_price(A.wide_prices(i.table("lineitem")), "price_raw", "price", None)
+    lines = to_usd(lines, i.rates(), {"usd": "price"})
+    return lines.withColumn("line_total", times(F.col("usd"), F.col("quantity")))
+
+
+def wide_money(i: Inputs):
+    """Prices of up to 29 integer digits parsed, converted, multiplied and
+    added up per order without losing a digit; amounts as exact text."""
+    lines = with_group_total(_wide_lines(i), "l_orderkey", "line_total", "order_total")
+    text = [F.col(c).cast("string").alias(c) for c in ("price", "usd", "line_total", "order_total")]
+    return lines.select("l_orderkey", "l_linenumber", "price_raw", "currency_code", "quantity", *text)
+
+
+def money_losses(i: Inputs):
+    """What money columns lose, by currency: price texts that gave no price, prices
+    that gave no dollars, dollars that gave no line total."""
+    usd, line = F.col("usd"), F.col("line_total")
+    rated = i.rates().select(F.col("currency_code").alias("rated"), F.col("rate_to_usd").alias("rate"))
+    lines = _wide_lines(i).join(rated, F.col("currency_code") == F.col("rated"), "left")
+    return lines.groupBy("currency_code").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if(unread_price("price_raw", "price")).alias("n_unread"),
+        F.count_if(is_lost(F.col("rate"), F.col("price"))).alias("n_no_rate"),
+        F.count_if(is_lost(usd, F.col("price"), F.col("rate"))).alias("n_lost_usd"),
+        F.count_if(is_lost(line, usd, F.col("quantity"))).alias("n_lost_totals"))
+
+
 def guest_identity(i: Inputs):
     """C10, C11, F5, F7, F9."""
     ev = i.raw_events().filter(F.col("collection") == S.CHECKOUT)
@@ -273,7 +303,7 @@ def fact_sales_order(i: Inputs):
 def order_total(i: Inputs):
     """Order total on every line (an aggregate joined back on the order id)."""
     s = i.stg_fact().select("order_id", "product_id",
-                            (F.col("item_price_usd") * F.col("order_qty")).alias("line_total_price"))
+                            times(F.col("item_price_usd"), F.col("order_qty")).alias("line_total_price"))
     return with_group_total(s, "order_id", "line_total_price", "order_total_amount")
 
 
@@ -389,34 +419,41 @@ def product_url_counts(i: Inputs):
 
 
 def _fetched(i: Inputs) -> DataFrame:
-    return A.fetched_pages(i.table("pages"), OK_EVERY)
+    return A.fetched_pages(i.table("pages"))
+
+
+def _wanted(i: Inputs) -> DataFrame:
+    """Pairs to collect; those of a few products are gone."""
+    return A.gone_urls(X.product_url_pairs(i.behaviour()))
 
 
 def resolve_pages(i: Inputs):
     """First usable fetched page per product."""
-    pairs = X.product_url_pairs(i.behaviour())
-    return X.resolve_pages(pairs, _fetched(i), TRACK_PATTERN)
+    return X.resolve_pages(_wanted(i), _fetched(i), PAYLOAD_PATTERN)
 
 
 def failed_products(i: Inputs):
     """Products without a usable page."""
-    pairs = X.product_url_pairs(i.behaviour())
-    resolved = X.resolve_pages(pairs, _fetched(i), TRACK_PATTERN)
-    return X.failed_products(pairs, resolved)
+    pairs = _wanted(i)
+    return X.failed_products(pairs, X.resolve_pages(pairs, _fetched(i), PAYLOAD_PATTERN))
 
 
 def collect_products(i: Inputs):
-    """Url records written as JSON lines and read back with the urls
-    schema, pages resolved, product records and failed ids written; the records are
-    read back from their JSON lines."""
+    """Url records written as JSON lines and read back with the urls
+    schema, pages resolved, product records (object payloads spread into their fields)
+    and failed ids written; both are read back from their files."""
     from orderlake.session import scratch_path
     from orderlake.sources.readers import read_url_pairs
     from orderlake.sources.sinks import write_jsonl
     root = scratch_path(i.spark, "collect")
-    write_jsonl(X.product_urls(i.behaviour()), f"{root}/urls")
+    write_jsonl(A.gone_urls(X.product_urls(i.behaviour())), f"{root}/urls")
     pairs = read_url_pairs(i.spark, f"{root}/urls")
-    X.collect_products(pairs, _fetched(i), f"{root}/product_info", f"{root}/failed", TRACK_PATTERN)
-    return i.spark.read.schema("product_id string, url string, payload string").json(f"{root}/product_info")
+    X.collect_products(pairs, _fetched(i), f"{root}/product_info", f"{root}/failed", PAYLOAD_PATTERN)
+    fields = ["url", "payload", "sku", "qty", "name"]
+    records = i.spark.read.schema(", ".join(f"{c} string" for c in ["product_id", *fields])).json(f"{root}/product_info")
+    failed = i.spark.read.text(f"{root}/failed").select(
+        F.col("value").alias("product_id"), *[F.lit(None).cast("string").alias(c) for c in fields])
+    return records.withColumn("status", F.lit("found")).unionByName(failed.withColumn("status", F.lit("failed")))
 
 
 def product_export(i: Inputs):
@@ -547,6 +584,8 @@ QUERIES: dict[str, Callable] = {
     "currency_from_symbol": currency_from_symbol,
     "currency_resolved": currency_resolved,
     "usd_conversion": usd_conversion,
+    "wide_money": wide_money,
+    "money_losses": money_losses,
     "guest_identity": guest_identity,
     "stg_fact_sales_order": stg_fact_sales_order,
     "int_fact_sales_order": int_fact_sales_order,

@@ -150,6 +150,38 @@ def checkout_events(lineitem: DataFrame, orders: DataFrame, shop_host: str = DEF
     )
 
 
+# Fixed values of the adapter (ours): currencies of the wide prices, the last without a rate.
+WIDE_CODES = ["EUR", "JPY", "KWD", "VND", "USD", "XXX"]
+HUGE_QUANTITY = 2_000_000_000
+
+
+def wide_prices(lineitem: DataFrame) -> DataFrame:
+    """Price texts of 9 to 30 integer digits, one per line item: the line's cents, after
+    the order key (18 digits), the part key (27) and a head of its own (28 or 29); every
+    fifth line number has 30 digits, one more than a price holds. Three spellings, signs,
+    some texts that are no number, and some huge quantities."""
+    digits = lambda c: F.lpad((c % 1000000000).cast("string"), 9, "0")
+    l = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                        F.col("l_quantity").cast("int").alias("quantity"),
+                        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+    a, b, c = digits(F.col("l_orderkey")), digits(F.col("l_partkey")), digits(F.col("cents"))
+    head = (F.col("l_suppkey") % 99 + 1).cast("string")
+    m = F.col("l_linenumber") % 5
+    whole = (F.when(m == 0, c).when(m == 1, F.concat(a, c)).when(m == 2, F.concat(b, a, c))
+             .when(m == 3, F.concat(head, b, a, c)).otherwise(F.concat(F.lit("100"), b, a, c)))
+    nine = digits(F.col("l_partkey") * 7919 + F.col("l_orderkey"))
+    k = F.col("l_orderkey") % 3
+    spelled = (F.when(k == 0, F.concat(whole, F.lit("."), nine))
+               .when(k == 1, F.concat(whole, F.lit(","), F.lpad((F.col("l_suppkey") % 100).cast("string"), 2, "0")))
+               .otherwise(F.concat(whole, F.lit("٫"), nine)))
+    signed = F.when(F.col("l_suppkey") % 11 == 0, F.concat(F.lit("-"), spelled)).otherwise(spelled)
+    return l.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_partkey") % 101 == 0, "n/a").when(F.col("l_partkey") % 107 == 0, " 0,00 ").otherwise(signed).alias("price_raw"),
+        _pick(F.col("l_suppkey") % 6, WIDE_CODES).alias("currency_code"),
+        F.when(F.col("l_partkey") % 103 == 0, HUGE_QUANTITY).otherwise(F.col("quantity")).alias("quantity"))
+
+
 # Fixed values of the adapter (ours): driver event types -> shop event names.
 EVENT_TYPE_TO_COLLECTION = [
     ("view", "view_product_detail"),
@@ -272,19 +304,37 @@ def ip_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-# Of the driver's pages, so many-th ones count as fetched.
-OK_EVERY = 40
-
-
-def fetched_pages(pages: DataFrame, ok_every: int = 1) -> DataFrame:
-    """The fetched pages: every ``ok_every``-th one with status 200, the others 404. Every
-    fourth page was also fetched under the fallback url of the product of its number."""
-    own = pages.select("url", F.when(F.col("page_id") % ok_every == 0, 200).otherwise(404).alias("status"), "html")
-    fallback = pages.filter(F.col("page_id") % 4 == 0).select(
-        F.format_string(f"https://www.{DEFAULT_SHOP_HOST}.com/catalog/product/view/id/%s",
+# Planted faults (ours): every seventh page is not found, and every 25th product from the
+# third on is only known by urls that are gone.
+FAIL_EVERY = 7
+GONE_EVERY, GONE_AT, GONE_SUFFIX = 25, 3, "#gone"
+# Every third page holds its data as an object, one of whose fields is no product field.
+OBJECT_EVERY = 3
+OBJECT_PAYLOAD = '{"sku":"S-<n>","qty":"<n>","name":"Page <n>","shelf":<n>}'
+
+
+def gone_urls(pairs: DataFrame) -> DataFrame:
+    """(product_id, url) pairs, those of the gone products with urls that are gone."""
+    gone = F.col("product_id").cast("long") % GONE_EVERY == GONE_AT
+    return pairs.select("product_id", F.when(gone, F.concat("url", F.lit(GONE_SUFFIX))).otherwise(F.col("url")).alias("url"))
+
+
+def fetched_pages(pages: DataFrame, shop_host: str = DEFAULT_SHOP_HOST) -> DataFrame:
+    """The fetched pages: status 200, but for every ``FAIL_EVERY``-th page (404) and the
+    gone urls (410). Every fourth page was also fetched under the fallback url of the
+    product of its number."""
+    html = F.when(F.col("page_id") % OBJECT_EVERY == 0, F.regexp_replace(
+        "html", r"track\((\d+)\)", f"track({OBJECT_PAYLOAD.replace('<n>', '$1')})")).otherwise(F.col("html"))
+    p = pages.select("page_id", "url", html.alias("html"))
+    own = p.select("url", F.when(F.col("page_id") % FAIL_EVERY == 0, 404).otherwise(200).alias("status"), "html")
+    gone = p.select(F.concat("url", F.lit(GONE_SUFFIX)).alias("url"), F.lit(410).alias("status"), "html")
+    fallback = p.filter(F.col("page_id") % 4 == 0).select(
+        F.format_string(f"https://www.{shop_host}.com/catalog/product/view/id/%s",
                         F.col("page_id").cast("string")).alias("url"), F.lit(200).alias("status"), "html")
-    return own.unionByName(fallback)
+    return own.unionByName(gone).unionByName(fallback)
 
 
 # The script call in the driver's pages whose digits stand for a product payload.
 TRACK_PATTERN = r"track\((\d+)\)"
+# The same call with either payload: the digits or an object.
+PAYLOAD_PATTERN = r"track\((\{[^)]*\}|\d+)\)"

@@ -175,9 +175,10 @@ def test_planning_runs_no_job_and_cluster_conf(spark):
 def test_large_prices_are_exact_and_overflow_is_null(spark):
     from orderlake.functions.price import parse_price
     from orderlake.operators.currency import check_rates, to_usd
-    df = spark.createDataFrame([("99999999999.00",), ("100000000000.00",), ("1234567890123.45",), ("1" * 17,)], "p string")
+    df = spark.createDataFrame([("99999999999.00",), ("100000000000.00",), ("1234567890123.45",), ("1" * 17,), ("1" * 29,), ("1" * 30,)], "p string")
     got = [r[0] for r in df.select(parse_price("p")).collect()]
-    assert [None if g is None else f"{g:.2f}" for g in got] == ["99999999999.00", "100000000000.00", "1234567890123.45", None]
+    assert [None if g is None else f"{g:.2f}" for g in got] == ["99999999999.00", "100000000000.00", "1234567890123.45", "1" * 17 + ".00",
+                                                                    "1" * 29 + ".00", None]
     rates = spark.createDataFrame([("KWD", 3.25)], "currency_code string, r double").selectExpr(
         "currency_code", "'kw' AS domain", "cast(r AS decimal(12,6)) AS rate_to_usd")
     usd = to_usd(spark.createDataFrame([("KWD", "9000000000000000")], "currency_code string, p string").selectExpr(
