@@ -640,6 +640,20 @@ def oracle_sql() -> dict[str, str]:
         "COUNT(*) FILTER (price IS NOT NULL AND rate IS NULL) AS n_no_rate, "
         "COUNT(*) FILTER (price IS NOT NULL AND rate IS NOT NULL AND usd IS NULL) AS n_lost_usd, "
         "COUNT(*) FILTER (usd IS NOT NULL AND line_total IS NULL) AS n_lost_totals FROM _lines GROUP BY currency_code)"))
+    lines = ("_skew AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE CAST(l_orderkey AS VARCHAR) END AS order_id, "
+             "l_orderkey AS line_order, l_linenumber AS line_number, CASE WHEN l_linenumber % 3 = 1 THEN 1 "
+             "WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_partkey END AS part_id, "
+             "CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)")
+    hot = " UNION ALL ".join(
+        f"SELECT '{c}' AS key_name, CAST({c} AS VARCHAR) AS key_value, COUNT(*) AS n_rows, "
+        f"(SELECT COUNT(*) FROM _skew) AS n_total FROM _skew GROUP BY {c}" for c in ("order_id", "part_id"))
+    sq["hot_keys"] = with_(lines, edge([("key_name", "s"), ("key_value", "s"), ("n_rows", "i"), ("n_total", "i")],
+                                       f"({hot}) WHERE n_rows >= 0.05 * n_total"))
+    sq["salted_join"] = with_(lines, edge(
+        [("order_id", "s"), ("line_order", "i"), ("line_number", "i"), ("part_id", "i"), ("cents", "i"), ("p_name", "s"),
+         ("order_cents", "i")],
+        "(SELECT s.*, p_name, SUM(cents) OVER (PARTITION BY order_id) AS order_cents FROM _skew s "
+        "LEFT JOIN part ON part_id = p_partkey)"))
     sq["url_domain"] = edge([("page_id", "i"), ("url", "s"), ("domain", "s")],
                             f"(SELECT page_id, url, {url_domain('url')} AS domain FROM pages)")
     sq["clean_string"] = edge([("doc_id", "i"), ("text_clean", "s")],

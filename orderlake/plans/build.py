@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from orderlake.operators.skew import find_hot_keys
 from orderlake.plans import extract as X
 from orderlake.plans import intermediate as I
 from orderlake.plans import staging as S
@@ -44,6 +45,7 @@ def build_warehouse(raw_events: DataFrame, product_info: DataFrame, ip_ranges: D
     }
     # customer and date keys are derived from the values (both dimensions are built
     # from this same staging table), which saves a shuffle of the fact on user_id
-    fact = m(W.fact_sales_order(I.int_fact_sales_order(stg_fact), dims["dim_product"], int_location),
-             "warehouse", "fact_sales_order")
+    int_fact = I.int_fact_sales_order(stg_fact)
+    hot = find_hot_keys(stg_fact, W.HOT_COLUMNS)  # two narrow passes over the written table
+    fact = m(W.fact_sales_order(int_fact, dims["dim_product"], int_location, hot=hot), "warehouse", "fact_sales_order")
     return {"fact_sales_order": fact, **dims}

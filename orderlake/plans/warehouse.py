@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.keys import surrogate_key
 from orderlake.functions.money import times
+from orderlake.operators.skew import HotKeys, salted_left_join
 from orderlake.operators.totals import own_shuffle, with_group_total
 
 PRODUCT_DIM_COLUMNS = ["product_key", "product_id", "product_name", "category_id", "category_name",
@@ -30,9 +31,22 @@ def dim_product(int_product: DataFrame) -> DataFrame:
     return int_product.select(*PRODUCT_DIM_COLUMNS)
 
 
+# Columns of the fact whose hot keys can be split, and those its rows are dealt by.
+HOT_COLUMNS = ["order_id", "product_id", "ip_address"]
+SPREAD = ["fact_sales_order_key", "order_id", "product_id", "user_id", "order_timestamp", "ip_address"]
+
+
+def _keyed_join(f: DataFrame, side: DataFrame, key: str, side_key: str, hot: HotKeys | None) -> DataFrame:
+    """LEFT JOIN on the text of ``key``; ``side`` holds a key once."""
+    if hot is not None:
+        return salted_left_join(f, side, F.col(key), F.col(side_key), hot, SPREAD).drop(side_key)
+    return f.join(side, f[key].cast("string") == side[side_key], "left").drop(side_key)
+
+
 def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_location: DataFrame | None,
                      dim_customer_df: DataFrame | None = None, dim_date_df: DataFrame | None = None,
-                     dedup_location_ip: bool = True, with_order_total: bool = True) -> DataFrame:
+                     dedup_location_ip: bool = True, with_order_total: bool = True,
+                     hot: dict[str, HotKeys] | None = None) -> DataFrame:
     """One row per product per order with the four dimension keys (-1 when
     missing), the line total and the order total. Without a product dimension, a
     location table or ``with_order_total`` that column, and the join for it, is left
@@ -43,9 +57,10 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_
       ``user_id`` / date has its row and its key is the hash of that value. When the
       dimensions are not passed, the key is computed from the value, which equals the
       left join + COALESCE(-1) without shuffling the fact twice.
-    * The product and location sides are unique per key and joined on an expression of
-      their key: each side then has a shuffle of its own, which lets AQE split a hot
-      product or IP (or broadcast a side measured small).
+    * The product and location sides are unique per key and joined on the key's text:
+      each side then has a shuffle of its own, which lets AQE split a hot product or IP
+      (or broadcast a side measured small). With ``hot`` (measured on the written fact,
+      for ``HOT_COLUMNS``) hot keys are salted instead, and so are the order totals.
     * The IP-grain location table grows with the traffic. With
       ``dedup_location_ip`` one place per IP (the smallest key) is kept first, so an
       IP with two places cannot duplicate fact rows (the reference would fan out).
@@ -53,11 +68,12 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_
       before the shuffle, and AQE's skew split on the join, keep an order holding a
       large share of all lines from landing in one task.
     """
+    of = hot or {}
     f = int_fact.withColumn("line_total_price", times(F.col("item_price_usd"), F.col("order_qty")))
     # With one place per IP the joins below keep one row per fact line, so the order
     # total (W4) is computed from the fact columns alone, before the dimension joins.
     if with_order_total and (dedup_location_ip or int_location is None):
-        f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
+        f = with_group_total(f, "order_id", "line_total_price", "order_total_amount", of.get("order_id"), SPREAD)
 
     if dim_customer_df is None:
         f = f.withColumn("customer_key", F.coalesce(surrogate_key("user_id"), F.lit(-1).cast("bigint")))
@@ -75,17 +91,17 @@ def fact_sales_order(int_fact: DataFrame, dim_product_df: DataFrame | None, int_
 
     if dim_product_df is not None:
         p = (dim_product_df.groupBy("product_id").agg(F.min("product_key").alias("product_key"))
-             .select((F.col("product_id") + F.lit(0)).alias("__p_id"), "product_key"))
-        f = f.join(p, f.product_id == p.__p_id, "left").drop("__p_id") \
-             .withColumn("product_key", F.coalesce("product_key", F.lit(-1).cast("bigint")))
+             .select(own_shuffle(F.col("product_id").cast("string")).alias("__p_id"), "product_key"))
+        f = _keyed_join(f, p, "product_id", "__p_id", of.get("product_id")) \
+            .withColumn("product_key", F.coalesce("product_key", F.lit(-1).cast("bigint")))
 
     if int_location is not None:
         loc = int_location.select("ip_address", "location_key")
         if dedup_location_ip:  # one place per IP (the smallest key)
             loc = loc.groupBy("ip_address").agg(F.min("location_key").alias("location_key"))
         loc = loc.select(own_shuffle("ip_address").alias("__l_ip"), "location_key")
-        f = f.join(loc, f.ip_address == loc.__l_ip, "left").drop("__l_ip") \
-             .withColumn("location_key", F.coalesce("location_key", F.lit(-1).cast("bigint")))
+        f = _keyed_join(f, loc, "ip_address", "__l_ip", of.get("ip_address") if dedup_location_ip else None) \
+            .withColumn("location_key", F.coalesce("location_key", F.lit(-1).cast("bigint")))
         if with_order_total and not dedup_location_ip:  # an IP may have several places: total over the fanned-out rows
             f = with_group_total(f, "order_id", "line_total_price", "order_total_amount")
     columns = ["fact_sales_order_key", "order_id", "product_key", "customer_key", "location_key", "date_key", "store_id",

@@ -23,6 +23,7 @@ from orderlake.operators import quality as Q
 from orderlake.operators.currency import to_usd
 from orderlake.operators.dedup import keep_first
 from orderlake.operators.metrics import sales_measures
+from orderlake.operators.skew import find_hot_keys, hot_key_table, salted_left_join
 from orderlake.operators.totals import with_group_total
 from orderlake.plans import extract as X
 from orderlake.plans import intermediate as I
@@ -307,6 +308,24 @@ def order_total(i: Inputs):
     return with_group_total(s, "order_id", "line_total_price", "order_total_amount")
 
 
+HOT_SHARE = 0.05
+
+
+def hot_keys(i: Inputs):
+    """The keys that hold a twentieth of the lines or more, with exact counts."""
+    return hot_key_table(A.skewed_lines(i.table("lineitem")), ["order_id", "part_id"], HOT_SHARE)
+
+
+def salted_join(i: Inputs):
+    """Every line's part name and order total, the hot order and part salted."""
+    lines = A.skewed_lines(i.table("lineitem"))
+    hot = find_hot_keys(lines, ["order_id", "part_id"], HOT_SHARE)
+    spread = ["line_order", "line_number", "cents"]
+    parts = i.table("part").select("p_partkey", "p_name")
+    named = salted_left_join(lines, parts, F.col("part_id"), F.col("p_partkey"), hot["part_id"], spread).drop("p_partkey")
+    return with_group_total(named, "order_id", "cents", "order_cents", hot["order_id"], spread)
+
+
 def _metrics(dim: str, key: str, attrs: list[str]):
     def run(i: Inputs):
         fact, members = i.fact_by(dim)
@@ -603,6 +622,8 @@ QUERIES: dict[str, Callable] = {
     "dim_date": dim_date,
     "fact_sales_order": fact_sales_order,
     "order_total": order_total,
+    "hot_keys": hot_keys,
+    "salted_join": salted_join,
     "metrics_by_month": metrics_by_month,
     "metrics_by_country": metrics_by_country,
     "metrics_by_category": metrics_by_category,

@@ -182,6 +182,17 @@ def wide_prices(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_partkey") % 103 == 0, HUGE_QUANTITY).otherwise(F.col("quantity")).alias("quantity"))
 
 
+def skewed_lines(lineitem: DataFrame) -> DataFrame:
+    """Line items with hot keys: a third of the orders become one, a third of the lines
+    buy part 1, and a fifth of the others no known part."""
+    order, n = F.col("l_orderkey"), F.col("l_linenumber")
+    return lineitem.select(
+        F.when(order % 3 == 0, "hot").otherwise(order.cast("string")).alias("order_id"), order.alias("line_order"),
+        n.alias("line_number"),
+        F.when(n % 3 == 1, 1).when(F.col("l_suppkey") % 5 == 0, None).otherwise(F.col("l_partkey")).cast("long").alias("part_id"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+
+
 # Fixed values of the adapter (ours): driver event types -> shop event names.
 EVENT_TYPE_TO_COLLECTION = [
     ("view", "view_product_detail"),
