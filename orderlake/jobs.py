@@ -1,6 +1,8 @@
 """Job entry points (``python -m orderlake <job>`` or ``spark-submit``):
 
 * ``ingest``  exactly-once load of newly landed raw-event files into the raw table;
+* ``feeds``   the same for raw events, product records and IP locations on one stream,
+              into published tables that several ingests may load at once;
 * ``extract`` the collection chain over a raw events table: IP geolocation (ip
               locations JSON lines, with counters), urls per product (JSON lines),
               product records from fetched pages plus the ids without a usable page;
@@ -19,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlake.operators import quality as Q
 from orderlake.plans import extract as X
 from orderlake.plans.build import build_warehouse
-from orderlake.schemas import RAW_EVENT_TEXT
+from orderlake.schemas import PRODUCT_INFO, RAW_EVENT, RAW_EVENT_TEXT
 from orderlake.operators.currency import check_rates
 from orderlake.session import apply_session_conf
 from orderlake.sources import readers as R
 from orderlake.sources import sinks as K
 from orderlake.sources.seed import DEFAULT_SHOP_HOST, exchange_rates
+from orderlake.streaming.feeds import feed_counters, ingest_feeds, read_feed, read_outcomes
 from orderlake.streaming.ingest import ingest_files, job_counters, read_report
 
 # The declared warehouse tests (27 checks over the four dimensions and the fact).
@@ -66,9 +69,14 @@ def run_checks(star: dict[str, DataFrame]) -> DataFrame:
 
 def build(spark: SparkSession, args) -> int:
     rates = check_rates(R.read_seed(spark, args.rates)) if args.rates else exchange_rates(spark, shop_host=args.shop_host)
+    if args.feeds:
+        raw, products = (read_feed(spark, args.feeds, name, record).drop("_file_name")
+                         for name, record in (("raw_events", RAW_EVENT), ("product_info", PRODUCT_INFO)))
+    else:
+        raw, products = spark.read.parquet(args.raw), R.read_product_info(spark, args.products)
     star = build_warehouse(
-        raw_events=spark.read.parquet(args.raw),
-        product_info=R.read_product_info(spark, args.products),
+        raw_events=raw,
+        product_info=products,
         ip_ranges=spark.read.parquet(args.ip_ranges),
         rates=rates,
         root=args.out,
@@ -104,12 +112,21 @@ def ingest(spark: SparkSession, args) -> int:
     return 0
 
 
+def feeds(spark: SparkSession, args) -> int:
+    root = args.root.rstrip("/")
+    ingest_feeds(spark, args.landing, root, f"{root}/_checkpoint")
+    for r in feed_counters(read_outcomes(spark, root)).orderBy("feed", "status").collect():  # one row a feed and outcome
+        print(r.asDict())
+    return 0
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="orderlake")
     sub = p.add_subparsers(dest="job", required=True)
     b = sub.add_parser("build", help="build staging, intermediate and warehouse tables, then run the checks")
-    b.add_argument("--raw", required=True, help="raw events table (parquet, as written by ingest)")
-    b.add_argument("--products", required=True, help="product records (JSON lines)")
+    b.add_argument("--feeds", default=None, help="root of the published feeds (instead of --raw and --products)")
+    b.add_argument("--raw", default=None, help="raw events table (parquet, as written by ingest)")
+    b.add_argument("--products", default=None, help="product records (JSON lines)")
     b.add_argument("--ip-ranges", required=True, help="IP ranges table (parquet: ip_from, ip_to, country, region, city)")
     b.add_argument("--rates", default=None, help="exchange-rate CSV with a header (default: the bundled seed)")
     b.add_argument("--shop-host", default=DEFAULT_SHOP_HOST, help="shop host name of the bundled seed's domains")
@@ -125,10 +142,15 @@ def main(argv=None) -> int:
     i.add_argument("--landing", required=True)
     i.add_argument("--glob", default="raw_events*.jsonl")
     i.add_argument("--root", required=True, help="folder of the raw table, ledger, report and checkpoint")
+    f = sub.add_parser("feeds", help="load newly landed files of all three feeds exactly once")
+    f.add_argument("--landing", required=True)
+    f.add_argument("--root", required=True, help="folder of the published feeds and the checkpoint")
     args = p.parse_args(argv)
+    if args.job == "build" and not args.feeds and not (args.raw and args.products):
+        p.error("build needs --feeds, or --raw and --products")
     spark = SparkSession.builder.appName(f"orderlake-{args.job}").getOrCreate()
     apply_session_conf(spark)
-    return {"build": build, "extract": extract, "ingest": ingest}[args.job](spark, args)
+    return {"build": build, "extract": extract, "ingest": ingest, "feeds": feeds}[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -713,4 +713,20 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'product_info', COUNT(*) FROM product_info "
         "UNION ALL SELECT 'product_info_clean', COUNT(*) FROM product_info "
         "UNION ALL SELECT 'raw_events', COUNT(*) FROM _ev)"))
+    loaded = {"raw_events": "_ev", "product_info": "product_info", "ip_locations": "ip_locations"}
+    outcomes = " UNION ALL ".join(
+        f"SELECT '{f}' AS feed, 'SUCCESS' AS status, COUNT(*) AS rows, 0 AS bad_lines FROM {t} "
+        f"UNION ALL SELECT '{f}', 'DUPLICATE_SKIPPED', 0, 0" for f, t in loaded.items())
+    feeds = CHECKOUT_BASE + IP_LOCATIONS + ",\n" + PRODUCT_BASE.lstrip()
+    sq["ingest_feeds"] = with_(feeds, edge(
+        [("feed", "s"), ("status", "s"), ("rows", "i"), ("bad_lines", "i")],
+        f"({outcomes} UNION ALL SELECT 'product_info', 'FAILED', 0, COUNT(*) FROM product_info "
+        "WHERE CAST(product_id AS BIGINT) % 11 = 0)"))
+    sq["feed_rows"] = with_(feeds, edge(
+        [("feed", "s"), ("key", "s"), ("value", "s")],
+        "(SELECT 'raw_events' AS feed, order_id AS key, concat_ws('|', ip, local_time, "
+        "CASE WHEN ln = 7 THEN '0' WHEN ln % 4 = 0 THEN '2' ELSE '1' END, "
+        "CASE WHEN ln = 7 THEN NULL WHEN ln % 4 = 0 THEN zero_price ELSE item_price END) AS value FROM _ev "
+        "UNION ALL SELECT 'product_info', product_id, concat_ws('|', name, sku, price, min_price_format) FROM product_info "
+        "UNION ALL SELECT 'ip_locations', ip, concat_ws('|', country, region, city) FROM ip_locations)"))
     return sq

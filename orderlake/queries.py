@@ -596,6 +596,51 @@ def ingest_idempotent(i: Inputs):
     return S.cart_lines(read_loaded(i.spark, kw["target_path"]))
 
 
+def _landed_feeds(i: Inputs) -> str:
+    """A landing folder with the three feeds, and product files of malformed lines."""
+    from orderlake.session import scratch_path
+    landing = scratch_path(i.spark, "feeds-landing")
+    products = i.product_info()
+    raw_event_lines(i.raw_events()).write.text(f"{landing}/raw_events")
+    products.write.json(f"{landing}/product_info")
+    i.ip_locations().write.json(f"{landing}/ip_locations")
+    cut = F.to_json(F.struct(*products.columns))
+    (products.filter(F.col("product_id").cast("long") % 11 == 0)
+     .select(F.substring(cut, F.lit(1), (F.length(cut) / 2).cast("int")).alias("value"))
+     .write.text(f"{landing}/product_info_cut"))
+    return landing
+
+
+def ingest_feeds_q(i: Inputs):
+    """Three feeds on one stream, two ingests at once and a third from a lost
+    checkpoint; per feed and outcome the rows loaded and the lines rejected."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from orderlake.session import scratch_path
+    from orderlake.streaming.feeds import feed_counters, ingest_feeds, read_outcomes
+    landing, root, work = _landed_feeds(i), scratch_path(i.spark, "feeds"), scratch_path(i.spark, "feeds-checkpoint")
+    with ThreadPoolExecutor(2) as pool:
+        for run in [pool.submit(ingest_feeds, i.spark, landing, root, f"{work}/{k}") for k in ("a", "b")]:
+            run.result()
+    ingest_feeds(i.spark, landing, root, f"{work}/c")
+    return feed_counters(read_outcomes(i.spark, root)).drop("files")
+
+
+def feed_rows(i: Inputs):
+    """The records of the three feeds as loaded, one row each."""
+    from orderlake.schemas import IP_LOCATION, PRODUCT_INFO, RAW_EVENT
+    from orderlake.session import scratch_path
+    from orderlake.streaming.feeds import ingest_feeds, read_feed
+    root = scratch_path(i.spark, "feeds")
+    ingest_feeds(i.spark, _landed_feeds(i), root, scratch_path(i.spark, "feeds-checkpoint"))
+    feed = lambda name, record, key, *values: read_feed(i.spark, root, name, record).select(
+        F.lit(name).alias("feed"), F.col(key).alias("key"), F.concat_ws("|", *values).alias("value"))
+    first = F.get(F.col("cart_products"), 0)
+    return (feed("raw_events", RAW_EVENT, "order_id", "ip", "local_time", F.size("cart_products").cast("string"), first.getField("price"))
+            .unionByName(feed("product_info", PRODUCT_INFO, "product_id", "name", "sku", "price", "min_price_format"))
+            .unionByName(feed("ip_locations", IP_LOCATION, "ip", "country", "region", "city")))
+
+
 QUERIES: dict[str, Callable] = {
     "cart_explode": cart_explode,
     "parse_price": parse_price_q,
@@ -649,6 +694,8 @@ QUERIES: dict[str, Callable] = {
     "table_load": table_load,
     "export_datasets": export_datasets_q,
     "ingest_idempotent": ingest_idempotent,
+    "ingest_feeds": ingest_feeds_q,
+    "feed_rows": feed_rows,
 }
 
 
