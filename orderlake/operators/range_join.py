@@ -3,9 +3,9 @@
 Spark has no range-join operator: ``ip BETWEEN lo AND hi`` alone plans a nested loop.
 Each range is exploded over the fixed-width buckets it touches; the join is then an
 equi-join on the bucket plus the BETWEEN as a residual filter. With non-overlapping
-ranges the exploded side has at most (#ranges + #buckets) rows. It is broadcast only
-when its row count is checked to be small; otherwise the join is a shuffle join on
-the bucket, where AQE splits a bucket that holds too many points.
+ranges the exploded side has at most (#ranges + #buckets) rows. No hint is
+given: AQE broadcasts that side where it measures it small, else the join is a shuffle
+join on the bucket, where AQE splits a bucket that holds too many points.
 """
 
 from __future__ import annotations

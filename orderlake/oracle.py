@@ -14,6 +14,7 @@ from orderlake.functions.currency import (
 )
 from orderlake.functions.text import URL_DOMAIN_PATTERN, WHITESPACE_CLASS
 from orderlake.plans.extract import PRODUCT_EVENTS, SPECIAL_EVENT, fallback_url_template
+from orderlake.schemas import PRODUCT_FIELDS
 from orderlake.sources.adapters import (
     CART_SYMBOLS, CITIES_PER_NATION, CITY_BLOCK, EVENT_TYPE_TO_COLLECTION, FAIL_EVERY, GONE_AT, GONE_EVERY,
     GONE_SUFFIX, HUGE_QUANTITY, NATION_BLOCK, OBJECT_EVERY, OBJECT_PAYLOAD, PAYLOAD_PATTERN, PRICE_FORMATS, TRACK_PATTERN,
@@ -679,13 +680,40 @@ def oracle_sql() -> dict[str, str]:
     sq["failed_products"] = with_(PAGE_RESOLUTION, edge(
         [("product_id", "s")],
         f"(SELECT DISTINCT product_id FROM _wanted WHERE {unresolved})"))
-    sq["product_export"] = with_(PRODUCT_BASE, edge(
-        [("product_id", "s"), ("name", "s"), ("sku", "s"), ("price", "s"), ("min_price", "s"), ("max_price", "s"),
-         ("min_price_format", "s"), ("qty", "s"), ("category", "s"), ("category_name", "s")],
-        f"(SELECT product_id, {clean_string('name')} AS name, {clean_string('sku')} AS sku, {clean_string('price')} AS price, "
-        f"{clean_string('min_price')} AS min_price, {clean_string('max_price')} AS max_price, "
-        f"{clean_string('min_price_format')} AS min_price_format, {clean_string('qty')} AS qty, "
-        f"{clean_string('category')} AS category, {clean_string('category_name')} AS category_name FROM product_info)"))
+    filled = ["product_id", "name", "sku", "type_id", "price", "min_price", "max_price", "min_price_format", "qty",
+              "category", "category_name"]
+    product_text = ", ".join((clean_string(f) if f in filled else "CAST(NULL AS VARCHAR)") + f" AS {f}" for f in PRODUCT_FIELDS)
+    sq["product_export"] = with_(PRODUCT_BASE, edge([(f, "s") for f in PRODUCT_FIELDS],
+                                                    f"(SELECT {product_text} FROM product_info)"))
+    event_text = ["collection", "local_time", "ip", "user_agent", "resolution", "user_id_db", "device_id", "email_address",
+                  "store_id", "order_id", "current_url"]
+    no_text = ["referrer_url", "product_id", "viewing_product_id"]
+    sq["event_export"] = with_(CHECKOUT_BASE, edge(
+        [(c, "s") for c in event_text + no_text + ["first_product", "first_currency"]]
+        + [(c, "i") for c in ("time_stamp", "option", "n_items", "first_amount", "n_item_options")],
+        "(SELECT " + ", ".join(f"{clean_string(c)} AS {c}" for c in event_text) + ", "
+        + ", ".join(f"NULL AS {c}" for c in no_text) + ", time_stamp, 0 AS option, "
+        "CASE WHEN ln = 7 THEN 0 WHEN ln % 4 = 0 THEN 2 ELSE 1 END AS n_items, "
+        "CASE WHEN ln <> 7 THEN item_product_id END AS first_product, CASE WHEN ln <> 7 THEN item_currency END AS first_currency, "
+        "CASE WHEN ln <> 7 THEN item_amount END AS first_amount, "
+        "CASE WHEN ln <> 7 THEN CASE WHEN ln % 2 = 0 AND ln % 4 <> 0 THEN 1 ELSE 0 END END AS n_item_options FROM _ev)"))
+    cell = lambda x: f"COALESCE('=' || CAST({x} AS VARCHAR), '-')"
+    digest = lambda name, cells, src: (
+        f"SELECT '{name}' AS dataset, COUNT(*) AS n_rows, CAST(SUM(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, "
+        f"bit_xor(h) AS hash_xor FROM (SELECT ('0x' || substr(md5(concat_ws(chr(31), {', '.join(cells)})), 1, 15))::BIGINT AS h FROM {src})")
+    products = [cell(clean_string(f)) if f in filled else "'-'" for f in PRODUCT_FIELDS]
+    events = [cell(c) if c == "time_stamp" else cell(clean_string(c)) for c in
+              ["collection", "time_stamp", *event_text[1:]]] + ["'=' || CASE WHEN ln = 7 THEN 0 WHEN ln % 4 = 0 THEN 2 ELSE 1 END"]
+    sq["export_content"] = with_(CHECKOUT_BASE + IP_LOCATIONS + ",\n" + PRODUCT_BASE.lstrip(), edge(
+        [("dataset", "s"), ("n_rows", "i"), ("hash_sum", "s"), ("hash_xor", "i")], "(" + " UNION ALL ".join([
+            digest("ip_locations", [cell(c) for c in ("ip", "country", "region", "city")], "ip_locations"),
+            digest("product_info", products, "product_info"), digest("product_info_clean", products, "product_info"),
+            digest("raw_events", events, "_ev")]) + ")"))
+    sq["ip_location_load"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
+        [("ip", "s"), ("country", "s"), ("region", "s"), ("city", "s"), ("source", "s")],
+        "(SELECT *, UNNEST(['json', 'csv']) AS source FROM ip_locations)"))
+    sq["option_string_entries"] = edge([("event_id", "i"), ("n_options", "i"), ("first_k", "s")],
+                                       "(SELECT event_id, 1 AS n_options, json_extract_string(props, '$.k') AS first_k FROM events)")
     spread = ", ".join(f"CASE WHEN payload LIKE '{{%' THEN json_extract_string(payload, '$.{f}') END AS {f}" for f in ("sku", "qty", "name"))
     sq["collect_products"] = with_(PAGE_RESOLUTION, edge(
         [(c, "s") for c in ("product_id", "url", "payload", "sku", "qty", "name", "status")],

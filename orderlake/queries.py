@@ -415,6 +415,15 @@ def option_normalize(i: Inputs):
                     F.get(opts, 0).getField("k").alias("first_k"))
 
 
+def option_string_entries(i: Inputs):
+    """A list whose first entry is a string that holds the text of an object; only the
+    object entries count."""
+    text = F.concat(F.lit('["'), F.replace("props", F.lit('"'), F.lit('\\"')), F.lit('", '), F.col("props"), F.lit(", null]"))
+    opts = normalize_option_json(text, "struct<k:string>")
+    return i.table("events").select("event_id", F.size(opts).cast("bigint").alias("n_options"),
+                                    F.get(opts, 0).getField("k").alias("first_k"))
+
+
 def product_url_pairs(i: Inputs):
     """Distinct (product, url) pairs from product events."""
     return X.product_url_pairs(i.behaviour())
@@ -477,10 +486,8 @@ def collect_products(i: Inputs):
 
 def product_export(i: Inputs):
     """Every kept product field as cleaned text."""
-    p = i.product_info()
-    keep = ["product_id", "name", "sku", "price", "min_price", "max_price", "min_price_format", "qty", "category",
-            "category_name"]
-    return p.select("product_id", *[clean_string(c).alias(c) for c in keep[1:]])
+    from orderlake.plans.export import normalize_product
+    return normalize_product(i.product_info())
 
 
 # ---- files: sources, sinks, ingestion --------------------------------------------
@@ -523,6 +530,18 @@ def normalize_record_q(i: Inputs):
                      F.get(F.col("cart_products"), 0).getField("price").alias("first_price"))
 
 
+def event_export(i: Inputs):
+    """All 17 exported event fields, lists as their size and first entry."""
+    from orderlake.plans.export import normalize_record
+    from orderlake.schemas import RAW_EVENT_TEXT
+    ev = normalize_record(i.spark.read.schema(RAW_EVENT_TEXT).json(_write_raw_lines(i, "raw-event-export")))
+    first = F.get(F.col("cart_products"), 0)
+    return ev.withColumns({"n_items": F.size("cart_products"), "first_product": first.getField("product_id"),
+                           "first_amount": first.getField("amount"), "first_currency": first.getField("currency"),
+                           "n_item_options": F.size(first.getField("option")),
+                           "option": F.size("option")}).drop("cart_products")
+
+
 def product_lines(products: DataFrame) -> DataFrame:
     """Product records as JSON-lines text with planted faults: the record of every
     eleventh part is cut in half (malformed JSON) and every seventeenth part adds a
@@ -578,6 +597,49 @@ def export_datasets_q(i: Inputs):
     return reduce(DataFrame.unionByName, parts)
 
 
+def export_content(i: Inputs):
+    """M14, K4-K6, Q: the exported files read back and digested, both product copies and
+    the raw export, which a second export of other events leaves as it was."""
+    from orderlake.plans.export import export_datasets
+    from orderlake.schemas import IP_LOCATION, PRODUCT_INFO, RAW_EVENT, RAW_EVENT_TEXT
+    from orderlake.session import scratch_path
+    from orderlake.sources.sinks import digest_columns
+    raw = i.spark.read.schema(RAW_EVENT_TEXT).json(_write_raw_lines(i, "raw-content"))
+    root = scratch_path(i.spark, "export")
+    export_datasets(i.ip_locations(), i.product_info(), raw, root)
+    export_datasets(i.ip_locations(), i.product_info(), raw.filter("order_id is null"), root)
+    parts = []
+    for name, schema in {"ip_locations": IP_LOCATION, "product_info": PRODUCT_INFO, "product_info_clean": PRODUCT_INFO,
+                         "raw_events": RAW_EVENT}.items():
+        back = i.spark.read.schema(schema).json(f"{root}/{name}")
+        if name == "raw_events":
+            back = back.select("collection", "time_stamp", "local_time", "ip", "user_agent", "resolution", "user_id_db",
+                               "device_id", "email_address", "store_id", "order_id", "current_url",
+                               F.size("cart_products").alias("n_items"))
+        parts.append(back.agg(*digest_columns(back)).select(
+            F.lit(name).alias("dataset"), "n_rows", F.col("hash_sum").cast("string").alias("hash_sum"), "hash_xor"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ip_location_load(i: Inputs):
+    """Located IPs loaded from JSON lines (with malformed ones among them)
+    and from CSV, each read back by its source name."""
+    from orderlake.plans.export import load_ip_locations
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import read_table
+    src, out = scratch_path(i.spark, "ip-files"), scratch_path(i.spark, "ip-tables")
+    located = i.ip_locations()
+    line = F.to_json(F.struct(*located.columns))
+    cut = located.filter(F.col("ip").endswith("7")).select(F.substring(line, 1, 9).alias("value"))
+    located.select(line.alias("value")).unionByName(cut).write.text(f"{src}/json")
+    located.write.option("header", True).csv(f"{src}/csv")
+    parts = []
+    for fmt in ("json", "csv"):
+        load_ip_locations(i.spark, f"{src}/{fmt}", f"{out}/{fmt}", fmt)
+        parts.append(read_table(i.spark, "ip_locations", {"ip_locations": f"{out}/{fmt}"}).withColumn("source", F.lit(fmt)))
+    return parts[0].unionByName(parts[1])
+
+
 def ingest_idempotent(i: Inputs):
     """Raw-event files land in a folder; the stream ingests them, runs
     again (nothing new), and once more from a lost checkpoint (the ledger skips every
@@ -690,6 +752,10 @@ QUERIES: dict[str, Callable] = {
     "collect_products": collect_products,
     "jsonl_roundtrip": jsonl_roundtrip,
     "normalize_record": normalize_record_q,
+    "event_export": event_export,
+    "export_content": export_content,
+    "ip_location_load": ip_location_load,
+    "option_string_entries": option_string_entries,
     "corrupt_lines": corrupt_lines,
     "table_load": table_load,
     "export_datasets": export_datasets_q,

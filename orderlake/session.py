@@ -62,10 +62,8 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
 def apply_session_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings on an existing session (the driver's, for example)."""
     for k, v in SESSION_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # a static setting on a running session: leave it
-            pass
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -28,6 +29,25 @@ def write_counted(df: DataFrame, path: str, fmt: str = "json", mode: str = "over
     return int(obs.get["n"])
 
 
+def digest_columns(df: DataFrame) -> list:
+    """Aggregates that prove the content of a table whatever its order: rows, and the sum
+    and xor of a 60-bit hash of every row's texts (null, empty and absent lists differ)."""
+    cells = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        text = F.to_json(c) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else c.cast("string")
+        cells.append(F.coalesce(F.concat(F.lit("="), text), F.lit("-")))
+    h = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast("long")
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor(h).alias("hash_xor")]
+
+
+def write_digested(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> tuple:
+    """Write and return (rows, hash sum, hash xor) of what the write job itself saw."""
+    obs = Observation()
+    df.observe(obs, *digest_columns(df)).write.mode(mode).format(fmt).save(path)
+    return tuple(obs.get[k] for k in ("n_rows", "hash_sum", "hash_xor"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -61,10 +81,13 @@ def export_if_absent(df: DataFrame, path: str, fmt: str = "json") -> int:
 
 def write_two(df: DataFrame, path_a: str, path_b: str, fmt: str = "json") -> int:
     """K6: the same records to two sinks with one computation: the second copy is read
-    back from the first sink (no cache to lose with an executor). Returns the count."""
-    n = write_counted(df, path_a, fmt=fmt)
-    df.sparkSession.read.format(fmt).schema(df.schema).load(path_a).write.mode("overwrite").format(fmt).save(path_b)
-    return n
+    back from the first sink (no cache to lose with an executor). Both writes digest their
+    rows; a copy that differs is an error. Returns the count."""
+    first = write_digested(df, path_a, fmt=fmt)
+    copy = write_digested(df.sparkSession.read.format(fmt).schema(df.schema).load(path_a), path_b, fmt=fmt)
+    if copy != first:
+        raise RuntimeError(f"{path_b} differs from {path_a}: {copy} against {first}")
+    return first[0]
 
 
 def append_records(df: DataFrame, path_or_table: str, fmt: str = "parquet", as_table: bool = False) -> None:

@@ -118,3 +118,10 @@ def test_ipv4(spark):
     df = spark.createDataFrame(cases, "ip string, want long")
     for row in df.select("want", ipv4_to_long("ip").alias("got")).collect():
         assert row.got == row.want
+
+
+def test_string_entries_are_no_objects(spark):
+    texts = ['["{\\"k\\": \\"a\\"}", {"k": "b"}]', '[{"k": "a"}, 7, null, [1], "x", {"k": "b"}]', '{"k": "c"}', '[{"k": "a"', None, "[]"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: [o.k for o in r.o] for r in df.select("i", normalize_option_json("t", "struct<k:string>").alias("o")).collect()}
+    assert got == {0: ["b"], 1: ["a", "b"], 2: ["c"], 3: [], 4: [], 5: []}

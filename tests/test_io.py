@@ -232,3 +232,27 @@ def test_same_file_name_in_two_folders_loads_both(spark, tmp_dir):
         ingest_files(spark, f"{tmp_dir}/in/*", "raw_events*.jsonl", T.StructType([T.StructField("k", T.LongType())]),
                      checkpoint_path=f"{tmp_dir}/{ckpt}", **kw)
     assert sorted(r.k for r in read_loaded(spark, kw["target_path"]).collect()) == [1, 2]
+
+
+def test_malformed_lines_give_no_record(spark, tmp_dir):
+    with open(f"{tmp_dir}/p.jsonl", "w") as f:
+        f.write('{"product_id": 1, "name": "a"}\n{"product_id": "2", "na\n7\n[{"product_id": "3"}]\n\n{"product_id": "4"}\n')
+    assert [(r.product_id, r.name) for r in R.read_product_info(spark, f"{tmp_dir}/p.jsonl").collect()] == [("1", "a"), ("4", None)]
+    with open(f"{tmp_dir}/ip.jsonl", "w") as f:
+        f.write('{"ip": "1.1.1.1", "country": "X"}\n{"ip": "2.2\n')
+    assert [r.ip for r in R.read_ip_locations(spark, f"{tmp_dir}/ip.jsonl").collect()] == ["1.1.1.1"]
+
+
+def test_digests_prove_both_copies(spark, tmp_dir, monkeypatch):
+    df = spark.createDataFrame([("a", 1, ["x"]), ("a", 1, ["x"]), (None, None, None), ("", 2, [])], "s string, n int, l array<string>")
+    one = df.agg(*K.digest_columns(df)).first()
+    assert one == df.repartition(3).agg(*K.digest_columns(df)).first() and one.n_rows == 4
+    for other in (df.dropDuplicates(), df.fillna(""), df.filter("s is not null")):
+        assert other.agg(*K.digest_columns(other)).first() != one
+    assert K.write_two(df, f"{tmp_dir}/a", f"{tmp_dir}/b") == 4
+    assert spark.read.schema(df.schema).json(f"{tmp_dir}/b").agg(*K.digest_columns(df)).first() == one
+    digests = iter([(4, 1, 1), (4, 1, 2)])
+    monkeypatch.setattr(K, "write_digested", lambda d, p, fmt: (d.write.mode("overwrite").json(p), next(digests))[1])
+    import pytest
+    with pytest.raises(RuntimeError):
+        K.write_two(df, f"{tmp_dir}/c", f"{tmp_dir}/d")
