@@ -1,24 +1,30 @@
 """Personal data by bootstrapped contextual extraction (native column expressions only).
 
 1. Base patterns find the seed entities (email, ip, card, phone), with their checks.
-2. Tokens that look like identifiers give instances; the one or two words before them
-   give lexical patterns. Edges join patterns and instances.
+2. Tokens that look like identifiers, and numbers written in groups, give instances; the
+   one or two words before them give lexical patterns (an identifier that follows another
+   one shares its context). Edges join patterns and instances.
 3. Rounds of scoring: a pattern's confidence for a kind is the share of its instances
    that are believed to be of that kind; an instance's belief is the noisy-or of its
    confident patterns. Seeds are always believed.
 4. Instances believed at ``accept`` or more, and shaped like their kind, are added.
 
-Positions of matches come from the pieces between them (split and extract by the same
-pattern), so no text is walked twice by Python. The patterns start only where a run of
-their characters starts, which keeps them linear on very long runs. Texts stay where
-they are read: only spans, tokens and two context words per token are shuffled.
+Positions of matches are running sums over the pieces between them (split and extract by
+the same pattern). Running values are taken in two levels (``scan``), blocks of sqrt(n)
+matches, so that no array is copied per match; contexts are read from the pieces and
+redacted texts are cut block by block, so no text is walked from its start per match. The
+patterns start only where a run of their characters starts, which keeps them linear on
+very long runs. Texts stay where they are read: only spans, tokens and two context words
+per token are shuffled.
 
 Defined results: null text is empty (no spans); repeated rows get the same spans; a null
-doc_id keeps its row; an empty table gives an empty result; extra columns do not matter.
+doc_id keeps its row; very long texts are read whole; of kinds believed alike the first
+listed is taken; an empty table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,31 +43,64 @@ PATTERNS = {
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# A number in groups of two to four digits, as phones and cards are written.
+GROUPS = (r"(?<![^\x20\x09-\x0D])\(?[0-9]{2,4}+\)?+(?:[\x20.-]{1,2}+[0-9]{2,4}+){2,5}+"
+          r"(?=[^A-Za-z0-9@\x20\x09-\x0D]*(?:[\x20\x09-\x0D]|\z))")
 # What an unseen identifier of a kind must look like.
 SHAPES = {
     "email": r"^[^@]+@[^@]+$",
     "ip": r"^(?:[0-9]+(?:\.[0-9]+){2,}|[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){2,7})$",
-    "card": r"^[0-9](?:-?[0-9]){11,18}$",
-    "phone": r"^\(?[0-9]{2,4}\)?(?:[.-]?[0-9]{2,4}){2,4}$",
+    "card": r"^[0-9](?:[\x20-]?[0-9]){11,18}$",
+    "phone": r"^\(?[0-9]{2,4}\)?(?:[\x20.-]{0,2}[0-9]{2,4}){2,4}$",
 }
 CONTEXT = 80  # characters of a gap in which the context words are looked for
 
 _SPANS = "array<struct<a:int,b:int,m:string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All leftmost non-overlapping matches as (a, b, m) structs, and no Python."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def blocks(p: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """Numbers of the blocks of sqrt(n) elements of a non-empty array, and the block of a number."""
+    size = F.ceil(F.sqrt(F.size(p))).cast("int")
+    return (F.sequence(F.lit(0), (F.ceil(F.size(p) / size) - 1).cast("int")),
+            lambda c: F.slice(p, c * size + 1, size))
+
+
+def scan(items: Column, zero: Column, step: Callable, emit: Callable, out: str, state: str) -> Column:
+    """``emit(state, x)`` of every element, ``state`` being ``step`` folded over those before
+    it. The states at the starts of the blocks are folded first, then every block on its
+    own, so arrays of sqrt(n) elements are the longest that grow."""
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+
+    def run(p: Column) -> Column:
+        numbers, block = blocks(p)
+        starts = F.aggregate(
+            numbers, F.struct(zero.alias("s"), none(state).alias("o")),
+            lambda acc, c: F.struct(F.aggregate(block(c), acc["s"], step).alias("s"),
+                                    F.concat(acc["o"], F.array(acc["s"])).alias("o")), lambda acc: acc["o"])
+        each = F.transform(starts, lambda at, c: F.aggregate(
+            block(c), F.struct(at.alias("s"), none(out).alias("o")),
+            lambda acc, x: F.struct(step(acc["s"], x).alias("s"), F.concat(acc["o"], F.array(emit(acc["s"], x))).alias("o")),
+            lambda acc: acc["o"]))
+        return F.flatten(each)
+
+    return let(items, lambda p: F.when(F.size(p) > 0, run(p)).otherwise(none(out)))
+
+
+def matches(text: Column, pattern: str, gaps: bool = False) -> Column:
+    """All leftmost non-overlapping matches as (a, b, m) structs, with ``gaps`` also the
+    text before each since the match before it; and no Python."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(found, F.split(text, pattern, -1), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("g")))
-    real = F.filter(pairs, lambda p: p["m"].isNotNull())
-    return F.aggregate(
-        real, F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["g"] + F.length(p["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + p["g"]).alias("a"),
-                                                  (acc["at"] + p["g"] + F.length(p["m"])).alias("b"),
-                                                  p["m"].alias("m")))).alias("out")),
-        lambda acc: acc["out"])
+    pairs = F.zip_with(found, F.split(text, pattern, -1), lambda m, gap: F.struct(
+        m.alias("m"), F.length(gap).alias("g"), F.length(m).alias("n"), *([gap.alias("t")] if gaps else [])))
+    at = lambda s, x: F.struct((s + x["g"]).alias("a"), (s + x["g"] + x["n"]).alias("b"), x["m"].alias("m"),
+                               *([x["t"].alias("t")] if gaps else []))
+    return scan(F.filter(pairs, lambda p: p["m"].isNotNull()), F.lit(0), lambda s, x: s + x["g"] + x["n"], at,
+                "struct<a:int,b:int,m:string,t:string>" if gaps else "struct<a:int,b:int,m:string>", "int")
 
 
 def luhn(digits: Column) -> Column:
@@ -99,6 +138,16 @@ def _context(gap: Column) -> Column:
     return F.filter(tail, lambda w: w != "")
 
 
+def first_over(spans: Column, a: Column, b: Column) -> Column:
+    """The first of the spans (in order, none overlapping) that overlaps a..b, else null:
+    its block by the blocks' last ends, then within the block."""
+    numbers, block = blocks(spans)
+    n, size = F.size(spans), F.ceil(F.sqrt(F.size(spans))).cast("int")
+    gone = F.size(F.filter(numbers, lambda c: F.get(spans, F.least((c + 1) * size, n) - 1)["b"] <= a))
+    near = F.get(F.filter(block(gone), lambda x: x["b"] > a), F.lit(0))
+    return F.when((F.size(spans) > 0) & (near["a"] < b), near)
+
+
 def features(docs: DataFrame) -> DataFrame:
     """Per document: its key, base spans by kind, and identifier-like tokens with their
     two context words. Computed inside the row."""
@@ -108,22 +157,25 @@ def features(docs: DataFrame) -> DataFrame:
     tag = lambda n, kind: F.transform(kind, lambda s: F.struct(
         F.lit(n).alias("k"), s["a"].alias("a"), s["b"].alias("b"), s["m"].alias("m")))
     all_base = F.concat(*[tag(n, k) for n, k in enumerate(KINDS)])
-    flat = spans.select("doc_id", "text_hash", "_t", all_base.alias("base"),
-                        F.when(F.col("_t").rlike("[0-9@]"), matches(F.col("_t"), TOKEN))
-                        .otherwise(F.array().cast(_SPANS)).alias("_tokens"))
-    # the text before a token, from the end of the token before it
-    cut = flat.withColumn("_cand", F.transform("_tokens", lambda s, i: F.struct(
-        s["a"].alias("a"), s["b"].alias("b"), s["m"].alias("m"),
-        _context(F.substr(F.col("_t"),
-                          F.greatest(F.coalesce(F.get("_tokens", i - 1)["b"], F.lit(0)), s["a"] - CONTEXT) + 1,
-                          s["a"] - F.greatest(F.coalesce(F.get("_tokens", i - 1)["b"], F.lit(0)), s["a"] - CONTEXT)))
-        .alias("w"))))
+    flat = spans.select("doc_id", "text_hash", all_base.alias("base"), *[
+        F.transform(k, lambda x: F.struct(x["a"], x["b"], x["m"])).alias(k) for k in KINDS],
+        F.when(F.col("_t").rlike("[0-9@]"), F.transform(matches(F.col("_t"), f"(?:{GROUPS}|{TOKEN})", gaps=True), lambda s: F.struct(
+            s["a"].alias("a"), s["b"].alias("b"), s["m"].alias("m"), _context(s["t"]).alias("w")))).alias("_tokens"))
+    # the words before a token, or before the identifiers it follows at once
+    words = "array<string>"
+    last = lambda s, x: F.when(F.size(x["w"]) > 0, x["w"]).otherwise(s)
+    cut = flat.withColumn("_cand", F.when(F.col("_tokens").isNotNull(), scan(
+        F.col("_tokens"), F.array().cast(words), last,
+        lambda s, x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["m"].alias("m"), last(s, x).alias("w")),
+        f"struct<a:int,b:int,m:string,w:{words}>", words)).otherwise(F.array().cast(f"array<struct<a:int,b:int,m:string,w:{words}>>")))
     # a token inside a base span but not at its start is part of that span
-    own = lambda s: F.filter("base", lambda x: (x["a"] < s["b"]) & (s["a"] < x["b"]))
+    own = lambda s: F.coalesce(*[
+        let(first_over(F.col(k), s["a"], s["b"]), lambda x: F.when(x.isNotNull(), F.struct(
+            F.lit(n).alias("k"), x["a"].alias("a"), x["b"].alias("b"), x["m"].alias("m")))) for n, k in enumerate(KINDS)])
     bare = lambda m: F.lower(F.regexp_replace(m, r"^[^A-Za-z0-9@:(]+|[^A-Za-z0-9:)]+$", ""))
     lead = lambda m: F.length(m) - F.length(F.regexp_replace(m, r"^[^A-Za-z0-9@:(]+", ""))
     seeded = cut.withColumn("_seeded", F.transform("_cand", lambda s: F.struct(
-        s["a"].alias("a0"), s["m"].alias("m"), s["w"].alias("w"), F.get(own(s), F.lit(0)).alias("o"))))
+        s["a"].alias("a0"), s["m"].alias("m"), s["w"].alias("w"), own(s).alias("o"))))
     kept = F.filter("_seeded", lambda s: (F.size(s["w"]) > 0) & (s["o"].isNull() | (s["o"]["a"] >= s["a0"])))
     cand = F.transform(kept, lambda s: F.struct(
         (s["a0"] + lead(s["m"])).alias("a"),
@@ -208,13 +260,21 @@ def redact(docs: DataFrame, **scoring) -> DataFrame:
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(
         s["a"].alias("a"), (-s["b"]).alias("e"), s["k"].alias("k"))))
-    done = F.aggregate(
-        by_start, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["a"] >= acc["at"], F.struct(
-            (-s["e"]).alias("at"),
-            F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, s["a"] - acc["at"]), F.get(names, s["k"])).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], -s["e"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1)))
+    # with each span the end of what lies before it; those that start inside are left out
+    span = "struct<a:int,b:int,k:int,at:int>"
+    ended = scan(by_start, F.lit(0), lambda s, x: F.greatest(s, -x["e"]), lambda s, x: F.struct(
+        x["a"].alias("a"), (-x["e"]).alias("b"), x["k"].alias("k"), s.alias("at")), span, "int")
+    text = F.col("text")
+
+    def pieces(p: Column) -> Column:
+        numbers, block = blocks(p)
+        whole = lambda b: let(F.struct(F.get(b, F.lit(0))["at"].alias("from"), F.substr(
+            text, F.get(b, F.lit(0))["at"] + 1, F.element_at(b, -1)["a"] - F.get(b, F.lit(0))["at"]).alias("t")), lambda cut: F.array_join(
+                F.transform(b, lambda x: F.concat(F.substr(cut["t"], x["at"] - cut["from"] + 1, x["a"] - x["at"]), F.get(names, x["k"]))), ""))
+        return F.array_join(F.transform(numbers, lambda c: let(block(c), whole)), "")
+
+    done = let(ended, lambda e: F.concat(let(F.filter(e, lambda x: x["a"] >= x["at"]), pieces),
+                                         F.substr(text, F.array_max(F.transform(e, lambda x: x["b"])) + 1)))
     keyed = docs.withColumn("_hash", F.xxhash64(text_of()))
     joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left")
     out = joined.withColumn("_new", F.when(F.col("spans").isNotNull(), done).otherwise(F.col("text")))

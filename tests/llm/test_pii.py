@@ -124,3 +124,60 @@ def test_redaction_keeps_rows_and_columns(edge_docs, edge_rows, no_docs):
     key = lambda r: str(tuple(r))
     assert sorted(map(key, out.collect())) == sorted(map(key, edge_docs.collect()))
     assert redact(no_docs).count() == 0 and find_pii(no_docs).count() == 0
+
+
+def test_grouped_identifiers_and_rows_of_identifiers(spark):
+    """Phones and cards in groups, and an identifier right after another one."""
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefghijkl") * 3 + rng.choice("mnopqrst") * 2
+    text = lambda middle: f"{word()} {word()} {middle} {word()}"
+    docs = [text(f"mail to customer{k}@shop.example.com") for k in range(60)]
+    docs += [text(f"please call +1 523 555 {1000 + k}") for k in range(60)]
+    cards = ["".join(str(rng.randrange(10)) for _ in range(15)) for _ in range(60)]
+    cards = [c + next(d for d in "0123456789" if luhn(c + d)) for c in cards]
+    docs += [text("pay by card " + " ".join(c[i:i + 4] for i in (0, 4, 8, 12))) for c in cards]
+    plant = {"(555) 123-4567": ("please call", "phone"), "555 123 4567": ("please call", "phone"), "555-123-4567": ("please call", "phone"),
+             "4111 1111 1111 1112": ("pay by card", "card"), "4111-1111-1111-1112": ("pay by card", "card")}
+    first = len(docs)
+    docs += [text(f"{before} {x}, then") for x, (before, _) in plant.items()]
+    docs += [text("mail to jane@intranet bob@intranet ann@intranet"), text("we saw 555 123 9999 there"), text("years 1999 2004 2010")]
+    rows = list(enumerate(docs))
+    got = {r["doc_id"]: r for r in pii_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (x, (_, kind)) in enumerate(plant.items(), first):
+        a = docs[k].index(x)
+        assert f"{kind}:{a}:{a + len(x)}" in got[k]["spans"].split(","), x
+    k = first + len(plant)
+    assert got[k]["spans"] == ",".join(f"email:{docs[k].index(n)}:{docs[k].index(n) + len(n)}" for n in
+                                       ("jane@intranet", "bob@intranet", "ann@intranet"))
+    assert got[k + 1]["spans"] == got[k + 2]["spans"] == ""
+    assert all(tuple(got[i])[1:6] == row(t) for i, t in rows)
+
+
+def test_long_texts_take_linear_time(spark):
+    """32,000 identifiers in one text cost about twice 16,000 (a quadratic walk: four times)."""
+    import time
+    took = []
+    for n in (1000, 16000, 32000):
+        text = " ".join(f"host-{k}.x at 10.0.{k % 256}.7" for k in range(n // 2))
+        start = time.time()
+        out = redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["text"]
+        took.append(time.time() - start)
+        assert out == re.sub(r"10\.0\.\d+\.7", "[IP]", text)
+    assert took[2] - min(took[:2]) < 3.2 * max(took[1] - took[0], 4.0), took
+
+
+def test_redaction_equals_a_plain_walk(spark):
+    rng = random.Random(9)
+    docs = []
+    for k in range(60):
+        docs.append((k, " ".join(rng.choice(["a@b.co", "1.2.3.4", "+1 523 555 1000", "4111 1111 1111 1111", "é🙂", "x", "a@b.co4111111111111111"])
+                                 for _ in range(rng.randrange(0, 90)))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in find_pii(df).collect()}
+    for r in redact(df).collect():
+        text, at, want = docs[r["doc_id"]][1], 0, ""
+        for s in sorted(spans[r["doc_id"]], key=lambda s: (s["a"], -s["b"], s["k"])):
+            if s["a"] >= at:
+                want += text[at:s["a"]] + f"[{KINDS[s['k']].upper()}]"
+            at = max(at, s["b"])
+        assert r["text"] == want + text[at:]
