@@ -12,8 +12,9 @@ source's documents are dealt to bins by their seeded hash, the bins' sums give t
 of the cut, and only the documents of the one bin with the cut are ordered.
 
 Defined results: null text has size 0; null is a source of its own, ranked last; a source
-without words has target 0; repeated rows are mixed as rows of their own; an empty table
-gives an empty result; extra columns are kept out.
+without words has target 0; repeated rows are mixed as rows of their own; rows of one id
+or of none draw by their texts, so they spread over the bins; very long texts count whole;
+an empty table gives an empty result; extra columns are kept out.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def mix_counts(docs: DataFrame, seed: int = 7, fills: int = 3, **rules) -> DataF
     remains, if that brings the source closer to its target."""
     sizes = written(docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
                                 n_words(F.col("text")).alias("size"))
-                    .withColumn("draw", seeded_draw(seed, F.col("doc_id")))
+                    .withColumn("draw", seeded_draw(seed, F.col("doc_id"), F.col("text_hash")))
                     .withColumn("_row", F.monotonically_increasing_id()), "mixing-sizes")
     targets = written(source_targets(sizes, **rules), "mixing-targets")
     in_bin = F.expr(f"cast(draw div {(1 << 60) // BINS} as int)")

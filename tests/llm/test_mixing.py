@@ -73,3 +73,18 @@ def test_documents_are_repeated_as_taken(edge_docs):
 
 def test_empty(no_docs):
     assert mix_counts(no_docs).count() == 0 and mix_documents(no_docs).count() == 0
+
+
+def test_rows_without_ids_spread_over_the_bins(spark):
+    """A third of the rows have no id: their draws differ by text, so no bin holds them all."""
+    from pyspark.sql import functions as F
+
+    from orderlake.llm.mixing import BINS, mix_counts, seeded_draw
+    rows = [(None if k % 3 == 0 else k, f"text {k} " + "w " * (k % 7), "s") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    at = seeded_draw(7, F.col("doc_id"), F.xxhash64("text"))
+    largest = df.filter("doc_id is null").groupBy(F.expr("0").alias("z"), (at / ((1 << 60) // BINS)).cast("int")).count().agg(F.max("count")).first()[0]
+    assert largest < 10
+    got = mix_counts(df)
+    n, taken, target = got.agg(F.count("*"), F.sum("taken"), F.max("target")).first()
+    assert n == 3000 and abs(taken - target) <= 8
