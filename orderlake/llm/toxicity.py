@@ -136,6 +136,22 @@ def count_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
         run, "doc_id long, out boolean, terms array<int>, counts array<long>")
 
 
+def document_frequencies(counted: DataFrame, n_terms: int) -> np.ndarray:
+    """Documents of each term, added up inside every task first (one row a task and term)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=n_terms)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["t", "n"])
+
+    df = np.zeros(n_terms)
+    for r in counted.select("terms").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():
+        df[r["t"]] = r["n"]
+    return df
+
+
 # ---- index -----------------------------------------------------------------------------
 
 
@@ -270,9 +286,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     terms = choose_terms(examples)
     counted = written(count_terms(docs, terms), "toxicity-terms")
     n = counted.count()
-    df = np.zeros(len(terms))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # one row a term
-        df[r["t"]] = r["count"]
+    df = document_frequencies(counted, len(terms))
     idf = 1 + np.log((1 + n) / (1 + df))
     rows = (counted.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
             .agg(F.max("toxic").alias("toxic"), F.min(F.struct("terms", "counts")).alias("v")).collect())
