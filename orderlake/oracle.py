@@ -475,6 +475,32 @@ _lines AS (
 )"""
 
 
+_V4_DOTTED = "concat_ws('.', v // 16777216, v // 65536 % 256, v // 256 % 256, v % 256)"
+_V4_KEY, _SITE_KEY = "repeat('0', 20) || 'ffff' || printf('%08x', {})", "'20010db8' || printf('%04x', n)"
+_HOST_KEY = f"{_SITE_KEY} || repeat('0', 16) || printf('%04x', n)"
+ADDRESSES = f"""
+_ord AS (SELECT o_orderkey, o_orderkey % 8 AS m, o_orderkey % 25 AS n, o_orderkey % 65536 AS low, o_orderkey // 65536 % 65536 AS high,
+                (o_orderkey % 1000003) * 2654435761 % 4294967296 AS v FROM orders),
+_addr AS (
+  SELECT o_orderkey,
+    CASE WHEN m < 3 THEN {_V4_DOTTED} WHEN m = 3 THEN '::ffff:' || {_V4_DOTTED}
+         WHEN m = 4 THEN printf('2001:db8:%x::%x', n, low)
+         WHEN m = 5 THEN printf('2001:0DB8:%04X:0:0:0:%X:%X', n, high, low)
+         WHEN m = 6 THEN printf('2001:db8:%x::', n) || {_V4_DOTTED} ELSE printf('2001:db8:%x::1::2', n) END AS address,
+    CASE WHEN m < 4 THEN {_V4_KEY.format('v')}
+         WHEN m = 4 THEN {_SITE_KEY} || repeat('0', 16) || printf('%04x', low)
+         WHEN m = 5 THEN {_SITE_KEY} || repeat('0', 12) || printf('%04x%04x', high, low)
+         WHEN m = 6 THEN {_SITE_KEY} || repeat('0', 12) || printf('%08x', v) END AS key
+  FROM _ord),
+_nat AS (SELECT n_name AS country, n_nationkey AS n FROM nation),
+_addr_ranges AS (
+  SELECT 'block' AS kind, country, {_V4_KEY.format('CAST(n AS BIGINT) * 167772160')} AS lo, {_V4_KEY.format('CAST(n AS BIGINT) * 167772160 + 16777215')} AS hi FROM _nat
+  UNION ALL SELECT 'odd', country, {_V4_KEY.format('(CAST(n AS BIGINT) * 10 + 1) * 16777216 + 131844')},
+    {_V4_KEY.format('(CAST(n AS BIGINT) * 10 + 3) * 16777216 + 13126921')} FROM _nat
+  UNION ALL SELECT 'site', country, {_SITE_KEY} || repeat('0', 20), {_SITE_KEY} || repeat('f', 20) FROM _nat
+  UNION ALL SELECT 'host', country, {_HOST_KEY}, {_HOST_KEY} FROM _nat)"""
+
+
 def with_(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip().lstrip(",").strip() + "\n" + body
 
@@ -606,6 +632,9 @@ def oracle_sql() -> dict[str, str]:
     sq["dedup_customers"] = with_(STG_FACT + DIMS, edge(DIM_CUSTOMER_COLS[1:], "_cust"))
     sq["ip_range_join"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
         [("ip", "s"), ("country", "s"), ("region", "s"), ("city", "s")], "ip_locations"))
+    sq["address_locations"] = with_(ADDRESSES, edge(
+        [("o_orderkey", "i"), ("address", "s"), ("kind", "s"), ("country", "s")],
+        "(SELECT a.o_orderkey, a.address, r.kind, r.country FROM _addr a LEFT JOIN _addr_ranges r ON a.key BETWEEN r.lo AND r.hi)"))
     sq["ip_lookup_counters"] = with_(CHECKOUT_BASE + IP_LOCATIONS, edge(
         [("total", "i"), ("failed", "i"), ("located", "i"), ("not_found", "i")],
         "(SELECT (SELECT COUNT(*) FROM _ips) AS total, (SELECT COUNT(*) FROM _ips) - (SELECT COUNT(*) FROM _ipv) AS failed, "
@@ -672,6 +701,10 @@ def oracle_sql() -> dict[str, str]:
         [("product_id", "s"), ("n_urls", "i"), ("first_url", "s"), ("last_url", "s")],
         "(SELECT product_id, COUNT(*) AS n_urls, MIN(url) AS first_url, MAX(url) AS last_url "
         "FROM url_pairs GROUP BY product_id)"))
+    sq["url_lists"] = with_(BEHAVIOUR, edge(
+        [("product_id", "s"), ("n_urls", "i"), ("url", "s")],
+        "(SELECT product_id, 1 AS n_urls, url FROM url_pairs QUALIFY ROW_NUMBER() OVER "
+        "(PARTITION BY product_id ORDER BY length(url) % 3 DESC, url) = 1)"))
     sq["product_url_counts"] = with_(BEHAVIOUR, edge(
         [("n_products", "i"), ("n_urls", "i")],
         "(SELECT COUNT(DISTINCT product_id) AS n_products, COUNT(*) AS n_urls FROM url_pairs)"))
@@ -732,6 +765,14 @@ def oracle_sql() -> dict[str, str]:
         [("product_id", "s"), ("name", "s"), ("status", "s")],
         "(SELECT product_id, name, 'ok' AS status FROM product_info WHERE CAST(product_id AS BIGINT) % 11 != 0 "
         "UNION ALL SELECT NULL, NULL, 'rejected' FROM product_info WHERE CAST(product_id AS BIGINT) % 11 = 0)"))
+    sq["product_rejects"] = with_(PRODUCT_BASE, edge(
+        [("product_id", "s"), ("name", "s"), ("file_no", "i"), ("line_no", "i")],
+        "(SELECT product_id, name, NULL AS file_no, NULL AS line_no FROM product_info WHERE CAST(product_id AS BIGINT) % 11 != 0 "
+        "UNION ALL SELECT product_id, NULL, file_no, line_no FROM (SELECT *, ROW_NUMBER() OVER "
+        "(PARTITION BY file_no ORDER BY pk, name, pos) AS line_no FROM (SELECT product_id, name, pos, "
+        "CAST(product_id AS BIGINT) AS pk, CAST(product_id AS BIGINT) // 500 AS file_no "
+        "FROM product_info, (VALUES (0), (1)) AS _l(pos) WHERE pos = 1 OR CAST(product_id AS BIGINT) % 17 = 0)) "
+        "WHERE pos = 1 AND pk % 11 = 0)"))
     sq["table_load"] = with_(PRODUCT_BASE, edge(
         [("product_id", "s"), ("name", "s"), ("sku", "s"), ("min_price_format", "s")],
         "(SELECT product_id, name, sku, min_price_format FROM product_info WHERE CAST(product_id AS BIGINT) % 7 != 0)"))

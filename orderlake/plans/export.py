@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.functions.text import clean_string
-from orderlake.schemas import PRODUCT_FIELDS
+from orderlake.schemas import PRODUCT_FIELDS, PRODUCT_INFO
+from orderlake.session import scratch_path
 from orderlake.sources import readers as R
 from orderlake.sources import sinks as K
+from orderlake.sources.lines import read_jsonl_numbered
 
 
 def normalize_record(events_text: DataFrame) -> DataFrame:
@@ -42,10 +44,17 @@ def export_datasets(ip_locations: DataFrame, product_info: DataFrame, raw_events
     return {"product_info": n_products, "raw_events": n_raw}
 
 
-def load_products(spark: SparkSession, jsonl_path: str, target: str, as_table: bool = False) -> DataFrame:
-    """K8 + K7: products without a product id are dropped, the rest appended."""
-    products = R.read_product_info(spark, jsonl_path).filter(F.col("product_id").isNotNull())
-    K.append_records(products, target, as_table=as_table)
+def load_products(spark: SparkSession, jsonl_path: str, target: str, as_table: bool = False,
+                  rejects: str | None = None) -> DataFrame:
+    """K8 + K7: products without a product id are dropped, the rest appended. With a folder
+    for ``rejects`` the malformed lines are appended there as (file, line_no, line), S10."""
+    if rejects is None:
+        products = R.read_product_info(spark, jsonl_path)
+    else:
+        records, bad = read_jsonl_numbered(spark, jsonl_path, PRODUCT_INFO, scratch_path(spark, "product-lines"))
+        products = records.select(PRODUCT_INFO.names)
+        K.append_records(bad, rejects)
+    K.append_records(products.filter(F.col("product_id").isNotNull()), target, as_table=as_table)
     return spark.table(target) if as_table else spark.read.parquet(target)
 
 

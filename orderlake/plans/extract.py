@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderlake.functions.text import extract_script_payload
+from orderlake.operators.prefix_join import address_key, prefix_join
 from orderlake.operators.range_join import ipv4_to_long, range_join
 from orderlake.sources.seed import DEFAULT_SHOP_HOST
 
@@ -114,6 +115,17 @@ def ip_locations(raw_events: DataFrame, ranges: DataFrame, observation: Observat
     return hit.select("ip", "country", "region", "city")
 
 
+def address_locations(addresses: DataFrame, ranges: DataFrame, address: str = "address") -> DataFrame:
+    """J10 for IPv4 and IPv6: ``addresses`` with the columns of every range (``addr_from`` and
+    ``addr_to`` as text, ends included) that holds them; what is no address, or in no range,
+    keeps nulls. Each distinct address is looked up once."""
+    keyed = addresses.withColumn("__key", address_key(address))
+    ends = ranges.withColumns({"key_from": address_key("addr_from"), "key_to": address_key("addr_to")})
+    keys = keyed.select(F.col("__key").alias("__at")).filter("__at is not null").distinct()
+    hits = prefix_join(keys, "__at", ends).drop("key_from", "key_to", "addr_from", "addr_to")
+    return keyed.join(hits, keyed["__key"] == hits["__at"], "left").drop("__key", "__at")
+
+
 def collect_products(pairs: DataFrame, pages: DataFrame, records_path: str, failed_path: str,
                      pattern: str | None = None, shop_host: str = DEFAULT_SHOP_HOST) -> DataFrame:
     """Product records from fetched pages, written as JSON lines (K2), and the ids

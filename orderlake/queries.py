@@ -274,6 +274,12 @@ def ip_lookup_counters(i: Inputs):
     return X.ip_lookup_counters(i.raw_events(), i.ranges())
 
 
+def address_locations(i: Inputs):
+    """IPv4 and IPv6 addresses in every spelling located in ranges from one address to a
+    quarter of a network, by prefixes; addresses without a place are kept."""
+    return X.address_locations(A.mixed_addresses(i.table("orders")), A.address_ranges(i.table("nation")))
+
+
 def stg_dim_location(i: Inputs):
     """M1."""
     return i.stg_location()
@@ -567,6 +573,39 @@ def corrupt_lines(i: Inputs):
                                     F.lit(None).cast("string").alias("name"), F.lit("rejected").alias("status"))))
 
 
+def product_rejects(i: Inputs):
+    """Product files of up to 500 part numbers each, blank and malformed lines
+    among them, loaded into a table; each record, and each rejected line with the number of
+    its file and its line."""
+    from orderlake.plans.export import load_products
+    from orderlake.session import scratch_path
+    src, out = scratch_path(i.spark, "products-files"), scratch_path(i.spark, "products-loaded")
+    products = i.product_info()
+    pk = F.col("product_id").cast("long")
+    line = F.to_json(F.struct(*products.columns))
+    cut = F.when(pk % 11 == 0, F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))).otherwise(line)
+    texts = F.when(pk % 17 == 0, F.array(F.lit(""), cut)).otherwise(F.array(cut))
+    (products.select(F.floor(pk / 500).alias("file_no"), pk.alias("pk"), "name", F.posexplode(texts).alias("pos", "value"))
+     .repartition("file_no").sortWithinPartitions("file_no", "pk", "name", "pos")
+     .select("file_no", "value").write.partitionBy("file_no").text(src))
+    loaded = load_products(i.spark, src, f"{out}/table", rejects=f"{out}/rejects")
+    rejected = i.spark.read.parquet(f"{out}/rejects")
+    none = F.lit(None)
+    return loaded.select("product_id", "name", none.cast("long").alias("file_no"), none.cast("long").alias("line_no")).unionByName(
+        rejected.select(F.regexp_extract("line", r'"product_id":"(\d+)"', 1).alias("product_id"), none.cast("string").alias("name"),
+                        F.regexp_extract("file", r"file_no=(\d+)/", 1).cast("long").alias("file_no"), "line_no"))
+
+
+def url_lists(i: Inputs):
+    """Product and url list on many lines of many files; each product's last line."""
+    from orderlake.session import scratch_path
+    from orderlake.sources.readers import read_urls
+    path = scratch_path(i.spark, "url-lists")
+    (X.product_url_pairs(i.behaviour()).select((F.length("url") % 3).alias("part"), "url", "product_id", F.array("url").alias("urls"))
+     .orderBy("part", F.desc("url"), "product_id").select("part", "product_id", "urls").write.partitionBy("part").json(path))
+    return read_urls(i.spark, path).select("product_id", F.size("urls").alias("n_urls"), F.get("urls", F.lit(0)).alias("url"))
+
+
 def table_load(i: Inputs):
     """Product records exported as JSON lines (every seventh part
     without its id), loaded into a table, records without an id dropped."""
@@ -723,6 +762,7 @@ QUERIES: dict[str, Callable] = {
     "dim_product": dim_product,
     "ip_range_join": ip_range_join,
     "ip_lookup_counters": ip_lookup_counters,
+    "address_locations": address_locations,
     "stg_dim_location": stg_dim_location,
     "dim_location": dim_location,
     "dim_customer": dim_customer,
@@ -757,6 +797,8 @@ QUERIES: dict[str, Callable] = {
     "ip_location_load": ip_location_load,
     "option_string_entries": option_string_entries,
     "corrupt_lines": corrupt_lines,
+    "product_rejects": product_rejects,
+    "url_lists": url_lists,
     "table_load": table_load,
     "export_datasets": export_datasets_q,
     "ingest_idempotent": ingest_idempotent,

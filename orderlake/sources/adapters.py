@@ -315,6 +315,40 @@ def ip_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+def _dotted(v: Column) -> Column:
+    """A 32-bit number as a dotted address."""
+    return F.concat_ws(".", *[(F.shiftright(v, s) % 256).cast("string") for s in (24, 16, 8, 0)])
+
+
+def mixed_addresses(orders: DataFrame) -> DataFrame:
+    """One address an order: dotted, mapped, compressed, written out in capitals, with a
+    dotted tail, or (every eighth) no address."""
+    k = F.col("o_orderkey").cast("long")
+    v4 = _dotted((k % 1000003) * 2654435761 % 4294967296)
+    site = F.concat(F.lit("2001:db8:"), F.lower(F.hex(k % 25)))
+    low, high = F.hex(k % 65536), F.hex(_div(k, 65536) % 65536)
+    spelled = {3: F.concat(F.lit("::ffff:"), v4), 4: F.concat(site, F.lit("::"), F.lower(low)),
+               5: F.concat(F.lit("2001:0DB8:"), F.lpad(F.hex(k % 25), 4, "0"), F.lit(":0:0:0:"), high, F.lit(":"), low),
+               6: F.concat(site, F.lit("::"), v4), 7: F.concat(site, F.lit("::1::2"))}
+    address = F.when(k % 8 < 3, v4)
+    for kind, text in spelled.items():
+        address = address.when(k % 8 == kind, text)
+    return orders.select("o_orderkey", address.alias("address"))
+
+
+def address_ranges(nation: DataFrame) -> DataFrame:
+    """Four ranges a nation, as unequal as they come: a whole /8, one that starts and ends
+    inside blocks, an IPv6 /48, and a single IPv6 address inside it."""
+    n = F.col("n_nationkey").cast("long")
+    site = F.concat(F.lit("2001:db8:"), F.lower(F.hex(n)), F.lit(":"))
+    at = lambda x, rest: F.concat(x.cast("string"), F.lit(rest))
+    host = F.concat(site, F.lit(":"), F.lower(F.hex(n)))
+    ranges = [("block", at(n * 10, ".0.0.0"), at(n * 10, ".255.255.255")), ("odd", at(n * 10 + 1, ".2.3.4"), at(n * 10 + 3, ".200.77.9")),
+              ("site", F.concat(site, F.lit(":")), F.concat(site, F.lit("ffff:ffff:ffff:ffff:ffff"))), ("host", host, host)]
+    rows = F.array(*[F.struct(F.lit(kind).alias("kind"), lo.alias("addr_from"), hi.alias("addr_to")) for kind, lo, hi in ranges])
+    return nation.select("n_name", F.explode(rows).alias("r")).select("r.*", F.col("n_name").alias("country"))
+
+
 # Planted faults (ours): every seventh page is not found, and every 25th product from the
 # third on is only known by urls that are gone.
 FAIL_EVERY = 7
