@@ -6,8 +6,9 @@ result is empty. Summary forms (``*_summary``) return one row per check,
 
 * not-null and accepted-values checks of one table share a single aggregation pass
   (one ``count_if`` per column), however many columns are checked;
-* a uniqueness check is a grouped count with map-side partial aggregation, so a hot
-  value is counted per map task before the shuffle;
+* the uniqueness checks of one table share one shuffle of (column, hash) with map-side
+  partial aggregation, so a hot value is counted per map task before it; values are looked
+  at again only where a hash repeats;
 * a relationship check is a left anti join against the parent.
 
 Run the checks on built tables (written, or checkpointed into the shared checkpoint
@@ -71,7 +72,19 @@ def accepted_values_summary(df: DataFrame, table: str, rules: dict[str, list]) -
 
 
 def unique_summary(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [_count_rows(f"{table}.{c}", check_unique(df, c)) for c in columns])
+    """All uniqueness checks of one table with one shuffle: (column number, hash of the
+    value), counted in the tasks first. Only values whose hash occurs more than once are
+    then counted by the value itself, so equal hashes of different values fail nothing.
+    Values are compared as text; a failure is a value that occurs more than once."""
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    values = (df.select(F.explode(cells).alias("__cell")).select("__cell.c", "__cell.v").filter("v is not null")
+              .withColumn("h", F.xxhash64("v")))
+    again = values.groupBy("c", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.col("c").alias("__c"), F.col("h").alias("__h"))
+    met = values.join(again, (F.col("c") == F.col("__c")) & (F.col("h") == F.col("__h")), "left_semi")
+    repeated = met.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counts = repeated.agg(*[F.count_if(F.col("c") == i).alias(f"__un_{i}") for i in range(len(columns))])
+    return _unpivot_counts(counts, {f"__un_{i}": f"{table}.{c}" for i, c in enumerate(columns)})
 
 
 def relationships_summary(child: DataFrame, table: str, rules: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -654,6 +654,12 @@ def oracle_sql() -> dict[str, str]:
     sq["metrics_by_country"] = _metrics("dim_location", "location_key", [("country_name", "s")])
     sq["metrics_by_category"] = _metrics("dim_product", "product_key", [("category_name", "s")])
     sq["dq_unique"] = _dq_summary(dq_unique_checks())
+    sq["unique_columns"] = "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}.{c}' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures FROM "
+        f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)"
+        for t, cols in {"orders": ["o_orderkey", "o_custkey", "o_orderdate"], "customer": ["c_custkey", "c_name", "c_nationkey"],
+                        "lineitem": ["l_orderkey", "l_partkey"], "part": ["p_partkey", "p_name"],
+                        "documents": ["doc_id", "text"]}.items() for c in cols) + ")"
     sq["dq_not_null"] = _dq_summary(dq_not_null_checks())
     sq["dq_accepted_values"] = _dq_summary([("dim_date.is_weekend", "SELECT 1 FROM dim_date WHERE is_weekend IS NOT NULL AND is_weekend NOT IN (TRUE, FALSE)"),
                                             ("orders.o_orderstatus", "SELECT 1 FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')")])
@@ -752,6 +758,11 @@ def oracle_sql() -> dict[str, str]:
         [(c, "s") for c in ("product_id", "url", "payload", "sku", "qty", "name", "status")],
         f"(SELECT product_id, url, payload, {spread}, 'found' AS status FROM resolved UNION ALL "
         f"SELECT DISTINCT product_id, NULL, NULL, NULL, NULL, NULL, 'failed' FROM _wanted WHERE {unresolved})"))
+    one_field = lambda f, x: f"SELECT product_id, '{f}' AS field, {x} AS value FROM resolved"
+    records = [one_field(f, f) for f in ("product_id", "url", "payload")] + [
+        one_field(f, f"json_extract_string(payload, '$.{f}')") + " WHERE payload LIKE '{%'" for f in ("sku", "qty", "name", "shelf")]
+    sq["page_records"] = with_(PAGE_RESOLUTION, edge([(c, "s") for c in ("product_id", "field", "value")],
+                                                     f"({' UNION ALL '.join(records)}) WHERE value IS NOT NULL"))
     sq["jsonl_roundtrip"] = sq["cart_explode"]
     sq["ingest_idempotent"] = sq["cart_explode"]
     sq["normalize_record"] = with_(CHECKOUT_BASE, edge(

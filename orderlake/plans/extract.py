@@ -130,20 +130,30 @@ def collect_products(pairs: DataFrame, pages: DataFrame, records_path: str, fail
                      pattern: str | None = None, shop_host: str = DEFAULT_SHOP_HOST) -> DataFrame:
     """Product records from fetched pages, written as JSON lines (K2), and the ids
     of products without a usable page, one per line (K3). A record is the product id,
-    the winning url and the page data: an object payload is spread into the record's
-    catalogue fields (the outer product id is kept); other payloads stay as JSON text."""
-    from orderlake.schemas import PRODUCT_INFO
-    from orderlake.sources.sinks import write_jsonl, write_text_lines
+    the winning url and the page data: every field of an object payload becomes a field of
+    the record, known or not and whatever its type (the outer product id is kept); the
+    payload itself stays as JSON text."""
+    from orderlake.sources.sinks import write_text_lines
     resolved = resolve_pages(pairs, pages, pattern, shop_host)
-    info = F.from_json(F.when(F.ltrim("payload").startswith("{"), F.col("payload")), PRODUCT_INFO)
-    fields = [f.name for f in PRODUCT_INFO.fields if f.name != "product_id"]
-    records = resolved.select("product_id", "url", "payload", info.alias("__info")).select(
-        "product_id", "url", "payload", *[F.col(f"__info.{f}").alias(f) for f in fields])
-    write_jsonl(records, records_path)
+    records = page_records(resolved)
+    write_text_lines(records, "record", records_path)
     write_text_lines(failed_products(pairs, resolved), "product_id", failed_path)
     return records
 
 
+def page_records(resolved: DataFrame, payload: str = "payload") -> DataFrame:
+    """(product_id, record): the columns of ``resolved`` as one JSON object, with the
+    fields of an object payload spread into it. The payload is parsed once, to variants that
+    keep numbers, lists and objects as they are; fields named like a column are left out;
+    null columns are too, while a payload's nulls stay. Payloads that are no object add nothing; a field named twice in a
+    payload occurs twice in the record."""
+    fields = F.from_json(payload, "map<string,variant>", {"mode": "PERMISSIVE"})
+    others = F.map_filter(fields, lambda name, _: ~name.isin(*resolved.columns))
+    spread = F.when(F.size(others) > 0, F.concat(F.lit(","), F.substr(F.to_json(others), F.lit(2)))).otherwise(F.lit("}"))
+    own = F.to_json(F.struct(*resolved.columns))
+    return resolved.select("product_id", F.concat(F.substr(own, F.lit(1), F.length(own) - 1), spread).alias("record"))
+
+
 def ip_lookup_counters(raw_events: DataFrame, ranges: DataFrame) -> DataFrame:
     """I6 for M13: distinct IPs, and how many failed to parse, were located, or fell
     outside every range - one left range join, collapsed to one row per IP."""

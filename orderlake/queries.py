@@ -363,6 +363,13 @@ def dq_unique(i: Inputs):
     return reduce(DataFrame.unionByName, [Q.unique_summary(s[t], t, cols) for t, cols in tests.items()])
 
 
+def unique_columns(i: Inputs):
+    """Q1 with one shuffle a table: keys and repeated values of the given tables."""
+    tests = {"orders": ["o_orderkey", "o_custkey", "o_orderdate"], "customer": ["c_custkey", "c_name", "c_nationkey"],
+             "lineitem": ["l_orderkey", "l_partkey"], "part": ["p_partkey", "p_name"], "documents": ["doc_id", "text"]}
+    return reduce(DataFrame.unionByName, [Q.unique_summary(i.table(t), t, cols) for t, cols in tests.items()])
+
+
 def dq_not_null(i: Inputs):
     """Q2 on every declared not-null column: one aggregation pass per table."""
     s = built_star(i)
@@ -490,6 +497,16 @@ def collect_products(i: Inputs):
     return records.withColumn("status", F.lit("found")).unionByName(failed.withColumn("status", F.lit("failed")))
 
 
+def page_records(i: Inputs):
+    """Every field of every collected record, known or not, as (name, text)."""
+    from orderlake.session import scratch_path
+    root = scratch_path(i.spark, "page-records")
+    X.collect_products(_wanted(i), _fetched(i), f"{root}/product_info", f"{root}/failed", PAYLOAD_PATTERN)
+    fields = F.from_json("value", "map<string,string>")
+    return (i.spark.read.text(f"{root}/product_info")
+            .select(F.get_json_object("value", "$.product_id").alias("product_id"), F.explode(fields).alias("field", "value")))
+
+
 def product_export(i: Inputs):
     """Every kept product field as cleaned text."""
     from orderlake.plans.export import normalize_product
@@ -775,6 +792,7 @@ QUERIES: dict[str, Callable] = {
     "metrics_by_country": metrics_by_country,
     "metrics_by_category": metrics_by_category,
     "dq_unique": dq_unique,
+    "unique_columns": unique_columns,
     "dq_not_null": dq_not_null,
     "dq_accepted_values": dq_accepted_values,
     "dq_relationships": dq_relationships,
@@ -790,6 +808,7 @@ QUERIES: dict[str, Callable] = {
     "failed_products": failed_products,
     "product_export": product_export,
     "collect_products": collect_products,
+    "page_records": page_records,
     "jsonl_roundtrip": jsonl_roundtrip,
     "normalize_record": normalize_record_q,
     "event_export": event_export,
