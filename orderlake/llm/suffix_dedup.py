@@ -12,12 +12,16 @@ of consecutive windows with one minimizer travels as one segment of bytes.
 3. A shard sorts the suffixes of its segments (Larsson-Sadakane: ranks by doubled prefix
    lengths, only unsorted groups are refined), computes the neighbours' common prefixes in
    text order as Kasai does, and finds the smallest document of each class of equal
-   windows. A minimizer whose segments exceed one shard is spread over several; each
-   shard's sorted distinct windows are then looked up in the others by binary search.
+   windows. A minimizer whose segments exceed one shard is spread over several; their
+   sorted distinct windows are merged, and each shard looks its own up by binary search.
 4. The covered bytes go back to their documents.
 
+Memory: the minimizers are dealt to buckets whose number follows from the bytes of all
+texts. Partitions come sorted by bucket, and a task holds one bucket after the other, so a
+worker's need does not grow with the corpus. The segments of one minimizer stay together.
+
 Hot groups: equal texts are found by one aggregate and only the smallest document takes
-part. Inside a chunk of documents, a minimizer is sent on once, and equal segments are
+part. Rows that share an id or have none are told apart by their texts. Inside a chunk of documents, a minimizer is sent on once, and equal segments are
 settled on the spot, so a passage that a third of all documents share sends one segment
 per chunk.
 
@@ -29,7 +33,6 @@ empty table gives an empty result; extra columns do not matter.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,7 @@ from orderlake.llm.common import range_partitions, text_of, written
 WINDOW, GRAM = 50, 20
 CHUNK = 16 << 20  # bytes of text a task holds before it sends on
 SHARD = 1 << 20   # bytes of segments sorted at once
+BUCKET = 16 << 20  # bytes of text whose minimizers and segments share a bucket
 NO_ID = -(1 << 63)
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -161,15 +165,16 @@ class Shard:
         self.class_of[self.sa] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, n)))
         self.whole, self.where, self.docs, self.heads = whole, where, docs, heads
 
-    def distinct(self) -> tuple[list[bytes], np.ndarray]:
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """The sorted distinct windows and their class numbers."""
-        raw, out, number = self.data.tobytes(), [], []
-        for c, p in enumerate(self.sa[self.heads]):
-            if self.smallest[c] != np.iinfo(np.int64).max:
-                at = p if self.whole[p] else next(q for q in self.sa[self.heads[c]:] if self.whole[q])
-                out.append(raw[at:at + WINDOW])
-                number.append(c)
-        return out, np.array(number, dtype=np.int64)
+        n = len(self.sa)
+        place = np.where(self.whole[self.sa], np.arange(n), n)
+        first = np.minimum.reduceat(place, self.heads)  # a window of each class that stays in its segment
+        number = np.flatnonzero(first < n)
+        if not len(number):
+            return np.empty(0, dtype=f"S{WINDOW}"), number
+        every = np.lib.stride_tricks.sliding_window_view(self.data, WINDOW)
+        return np.ascontiguousarray(every[self.sa[first[number]]]).view(f"S{WINDOW}").ravel(), number
 
     def repeated(self) -> Iterator[tuple[int, int, int]]:
         """(segment, first, last + 1) of runs of windows that start in a smaller document."""
@@ -182,19 +187,19 @@ class Shard:
 
 
 def merge_shards(shards: list[Shard]) -> None:
-    """Lower each class's smallest document to that of the other shards' equal window."""
+    """Lower each class's smallest document to that of the other shards' equal windows: the
+    shards' sorted windows are merged once, and each shard finds its own by binary search."""
     tables = [s.distinct() for s in shards]
-    best = [s.smallest.copy() for s in shards]
-    for i, (own, number) in enumerate(tables):
-        for j, (other, other_number) in enumerate(tables):
-            if i == j:
-                continue
-            for window, c in zip(own, number):
-                k = bisect_left(other, window)
-                if k < len(other) and other[k] == window:
-                    best[i][c] = min(best[i][c], shards[j].smallest[other_number[k]])
-    for s, b in zip(shards, best):
-        s.smallest = b
+    windows = np.concatenate([w for w, _ in tables])
+    if not len(windows):
+        return
+    least = np.concatenate([s.smallest[c] for s, (_, c) in zip(shards, tables)])
+    order = np.argsort(windows, kind="stable")
+    windows, least = windows[order], least[order]
+    heads = np.flatnonzero(np.concatenate([[True], windows[1:] != windows[:-1]]))
+    windows, least = windows[heads], np.minimum.reduceat(least, heads)
+    for s, (own, c) in zip(shards, tables):
+        s.smallest[c] = least[np.searchsorted(windows, own)]
 
 
 def settle(marks: np.ndarray, docs: np.ndarray, segments: list[bytes]) -> Iterator[tuple[int, int, int]]:
@@ -244,45 +249,67 @@ def _bucket(m: np.ndarray, n: int) -> np.ndarray:
     return ((m >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
 
+def _home(ids: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of a document; rows that share an id, or a text, are spread."""
+    mixed = (ids.astype(np.uint64) * _C[0]) ^ (hashes.astype(np.uint64) * _C[1])
+    return _bucket(mixed, n)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
+    """The rows of one bucket after the other; the batches come sorted by bucket."""
+    at, held = None, []
+    for batch in batches:
+        for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *names))):
+            if bucket != at and held:
+                yield held
+                held = []
+            at = bucket
+            held.append(tuple(row))
+    if held:
+        yield held
+
+
 def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
 
 
 def _list_minimizers(n_buckets: int):
-    fields = [("bucket", pa.int64()), ("id", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()),
-              ("known", pa.binary())]
-
-    def send(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        ids = np.repeat([i for i, _ in held], [len(m) for _, m in held])
-        marks = np.concatenate([m for _, m in held])
-        order = np.lexsort((ids, marks))
-        ids, marks = ids[order], marks[order]
+    fields = [("bucket", pa.int64()), ("id", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()),
+              ("hashes", pa.binary()), ("known", pa.binary())]
+
+    def send(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        own_id, own_hash = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1))
+        home = _home(own_id, own_hash, n_buckets)
+        docs = np.repeat(np.arange(len(held)), [len(m) for *_, m in held])
+        marks = np.concatenate([m for *_, m in held])
+        order = np.argsort(marks, kind="stable")
+        docs, marks = docs[order], marks[order]
         first, last = runs_of(marks)
         known = last - first > 1  # held by two documents of this chunk already
         rows = []
         inside = np.repeat(known, last - first)
-        mine, m = ids[inside], marks[inside]
+        mine, m = docs[inside], marks[inside]
         by = np.argsort(mine, kind="stable")
         for a, b in zip(*runs_of(mine[by])):
-            i = int(mine[by[a]])
-            rows.append((i % n_buckets, i, m[by[a:b]].tobytes(), None, None))
+            d = mine[by[a]]
+            rows.append((int(home[d]), int(own_id[d]), int(own_hash[d]), m[by[a:b]].tobytes(), None, None, None))
         to = _bucket(marks[first], n_buckets)
         by = np.argsort(to, kind="stable")
         for a, b in zip(*runs_of(to[by])):
             own = first[by[a:b]]
-            rows.append((int(to[by[a]]), None, marks[own].tobytes(), _pack(ids[own]),
+            rows.append((int(to[by[a]]), None, None, marks[own].tobytes(), _pack(own_id[docs[own]]), _pack(own_hash[docs[own]]),
                          known[by[a:b]].astype(np.uint8).tobytes()))
         return _batch(rows, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for i, t in zip(batch.column("id").to_pylist(), batch.column("text")):
+            for i, h, t in zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(), batch.column("text")):
                 data = np.frombuffer(t.as_py().encode(), dtype=np.uint8)
                 m = minimizers(data)
                 if len(m):
-                    held.append((i, np.unique(m[runs_of(m)[0]])))
+                    held.append((i, h, np.unique(m[runs_of(m)[0]])))
                     size += len(data)
                 if size >= CHUNK:
                     yield send(held)
@@ -295,61 +322,47 @@ def _list_minimizers(n_buckets: int):
 
 def _reply_shared(n_buckets: int):
     """Shared minimizers per document, packed by the bucket of the document."""
-    fields = [("bucket", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary())]
+    fields = [("bucket", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("marks", pa.binary())]
 
-    def send(i: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
-        to = i % n_buckets
+    def send(i: np.ndarray, h: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        to = _home(i, h, n_buckets)
         by = np.argsort(to, kind="stable")
-        return _batch([(int(to[by[a]]), _pack(i[by[a:b]]), m[by[a:b]].tobytes()) for a, b in zip(*runs_of(to[by]))], fields)
+        return _batch([(int(to[by[a]]), _pack(i[by[a:b]]), _pack(h[by[a:b]]), m[by[a:b]].tobytes())
+                       for a, b in zip(*runs_of(to[by]))], fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, ids, known, local_ids, local = [], [], [], [], []
-        for batch in batches:
-            for i, m, d, k in zip(*(batch.column(c).to_pylist() for c in ("id", "marks", "ids", "known"))):
-                if d is None:
-                    local_ids.append(np.full(len(m) // 8, i, dtype=np.int64))
-                    local.append(np.frombuffer(m, dtype=np.uint64))
-                else:
-                    marks.append(m)
-                    ids.append(d)
-                    known.append(k)
-            if sum(map(len, local)) * 16 > CHUNK:
-                yield send(np.concatenate(local_ids), np.concatenate(local))
-                local_ids, local = [], []
-        if local:
-            yield send(np.concatenate(local_ids), np.concatenate(local))
-        if not marks:
-            return
-        m = np.frombuffer(b"".join(marks), dtype=np.uint64)
-        i = np.frombuffer(b"".join(ids), dtype=_I64)
-        k = np.frombuffer(b"".join(known), dtype=np.uint8).astype(bool)
-        del marks, ids, known
-        order = np.argsort(m, kind="stable")
-        first, last = runs_of(m[order])
-        ask = order[np.repeat(last - first > 1, last - first)]
-        ask = ask[~k[ask]]  # the others have their answer
-        if len(ask):
-            yield send(i[ask], m[ask])
+        for rows in _by_bucket(batches, ["id", "hash", "marks", "ids", "hashes", "known"]):
+            local = [(i, h, np.frombuffer(m, dtype=np.uint64)) for i, h, m, d, *_ in rows if d is None]
+            if local:  # answered within a chunk
+                sizes = [len(m) for *_, m in local]
+                yield send(*(np.repeat(np.array([x[k] for x in local], dtype=np.int64), sizes) for k in (0, 1)),
+                           np.concatenate([m for *_, m in local]))
+            asked = [r[2:] for r in rows if r[3] is not None]
+            if not asked:
+                continue
+            m, i, h, k = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*asked), (np.uint64, _I64, _I64, np.uint8)))
+            order = np.argsort(m, kind="stable")
+            first, last = runs_of(m[order])
+            ask = order[np.repeat(last - first > 1, last - first)]
+            ask = ask[k[ask] == 0]  # the others have their answer
+            if len(ask):
+                yield send(i[ask], h[ask], m[ask])
 
     return run
 
 
 def _gather_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document: all its shared minimizers."""
-    fields = [("id", pa.int64()), ("marks", pa.binary())]
-    ids, marks = [], []
-    for batch in batches:
-        ids += batch.column("ids").to_pylist()
-        marks += batch.column("marks").to_pylist()
-    if not ids:
-        return
-    i, m = np.frombuffer(b"".join(ids), dtype=_I64), np.frombuffer(b"".join(marks), dtype=np.uint64)
-    del ids, marks
-    by = np.argsort(i, kind="stable")
-    i, m = i[by], m[by]
-    first, last = runs_of(i)
-    for k in range(0, len(first), 20_000):
-        yield _batch([(int(i[a]), m[a:b].tobytes()) for a, b in zip(first[k:k + 20_000], last[k:k + 20_000])], fields)
+    fields = [("id", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary())]
+    for rows in _by_bucket(batches, ["ids", "hashes", "marks"]):
+        i, h, m = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, _I64, np.uint64)))
+        by = np.lexsort((h, i))
+        i, h, m = i[by], h[by], m[by]
+        cuts = np.flatnonzero((i[1:] != i[:-1]) | (h[1:] != h[:-1])) + 1
+        edges = np.concatenate([[0], cuts, [len(i)]]).astype(np.int64)
+        for k in range(0, len(edges) - 1, 20_000):
+            pairs = zip(edges[:-1][k:k + 20_000], edges[1:][k:k + 20_000])
+            yield _batch([(int(i[a]), int(h[a]), np.unique(m[a:b]).tobytes()) for a, b in pairs], fields)
 
 
 def _cut_segments(n_buckets: int):
@@ -359,11 +372,12 @@ def _cut_segments(n_buckets: int):
     def send(held: dict[bytes, list]) -> pa.RecordBatch:
         marks, docs, hashes, starts, segs, rows, found = [], [], [], [], [], [], []
         for seg, own in held.items():
-            smallest = min(own)[0]
+            nameless = min(own)
+            smallest = nameless[0]
             for i, h, start, mark in own:
                 if i > smallest:  # equal segments: settled here
                     found.append((i, h, start, start + len(seg)))
-                else:
+                elif i != NO_ID or (i, h, start, mark) == nameless:  # of those without id one is enough
                     marks.append(mark)
                     docs.append(i)
                     hashes.append(h)
@@ -387,17 +401,16 @@ def _cut_segments(n_buckets: int):
         held: dict[bytes, list] = {}
         size = 0
         for batch in batches:
-            for i, h, t, lists, copies in zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(),
-                                              batch.column("text"), batch.column("marks").to_pylist(),
-                                              batch.column("copies").to_pylist()):
-                if h in (copies or ()):
+            for i, h, t, lists, copy in zip(*(batch.column(c).to_pylist() if c != "text" else batch.column(c)
+                                              for c in ("id", "hash", "text", "marks", "copy"))):
+                if copy:
                     continue
                 raw = t.as_py().encode()
                 m = minimizers(np.frombuffer(raw, dtype=np.uint8))
                 if not len(m):
                     continue
                 first, last = runs_of(m)
-                shared = np.unique(np.frombuffer(lists, dtype=np.uint64))
+                shared = np.frombuffer(lists, dtype=np.uint64)
                 at = np.minimum(np.searchsorted(shared, m[first]), len(shared) - 1)
                 for r in np.flatnonzero(shared[at] == m[first]):
                     a, b = int(first[r]), int(last[r]) + WINDOW - 1
@@ -414,7 +427,6 @@ def _cut_segments(n_buckets: int):
 
 def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fields = [("id", pa.int64()), ("hash", pa.int64()), ("first", pa.binary()), ("last", pa.binary())]
-    got = {c: [] for c in ("marks", "ids", "hashes", "starts", "sizes", "bytes")}
 
     def send(i, h, a, b):
         order = np.lexsort((a, h, i))
@@ -425,39 +437,33 @@ def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for k in range(0, len(rows), 50_000):
             yield _batch(rows[k:k + 50_000], fields)
 
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in got)):
+    for rows in _by_bucket(batches, ["marks", "ids", "hashes", "starts", "sizes", "bytes"]):
+        for row in rows:
             if row[0] is None:  # found within a chunk
-                i, h, a, b = (np.frombuffer(x, dtype=k) for x, k in zip(row[1:5], (_I64, _I64, _I32, _I32)))
-                yield from send(i, h, a, b)
-            else:
-                for c, x in zip(got, row):
-                    got[c].append(x)
-    if not got["marks"]:
-        return
-    joined = {c: b"".join(v) for c, v in got.items()}
-    got.clear()
-    marks = np.frombuffer(joined["marks"], dtype=np.uint64)
-    ids, hashes = (np.frombuffer(joined[c], dtype=_I64) for c in ("ids", "hashes"))
-    starts, sizes = (np.frombuffer(joined[c], dtype=_I32) for c in ("starts", "sizes"))
-    ends = np.cumsum(sizes.astype(np.int64))
-    raw = joined["bytes"]
-    segments = [raw[e - s:e] for e, s in zip(ends.tolist(), sizes.tolist())]
-    del joined, raw
-    out = [(n, starts[n] + a, starts[n] + b + WINDOW - 1) for n, a, b in settle(marks, ids, segments)]
-    if out:
-        n, a, b = (np.array(x, dtype=np.int64) for x in zip(*out))
-        yield from send(ids[n], hashes[n], a, b)
+                yield from send(*(np.frombuffer(x, dtype=k) for x, k in zip(row[1:5], (_I64, _I64, _I32, _I32))))
+        rows = [row for row in rows if row[0] is not None]
+        if not rows:
+            continue
+        *packed, parts = zip(*rows)
+        marks, ids, hashes, starts, sizes = (np.frombuffer(b"".join(x), dtype=t)
+                                             for x, t in zip(packed, (np.uint64, _I64, _I64, _I32, _I32)))
+        ends = np.cumsum(sizes.astype(np.int64))
+        raw = b"".join(parts)
+        del rows, packed, parts
+        segments = [raw[e - z:e] for e, z in zip(ends.tolist(), sizes.tolist())]
+        del raw
+        out = [(n, starts[n] + a, starts[n] + b + WINDOW - 1) for n, a, b in settle(marks, ids, segments)]
+        if out:
+            n, a, b = (np.array(x, dtype=np.int64) for x in zip(*out))
+            yield from send(ids[n], hashes[n], a, b)
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, removed, spans, kept = [], [], [], []
-        for h, t, copies, flagged in zip(batch.column("hash").to_pylist(), batch.column("text"),
-                                         batch.column("copies").to_pylist(), batch.column("flagged").to_pylist()):
+        for t, copy, own in zip(batch.column("text"), batch.column("copy").to_pylist(), batch.column("flagged").to_pylist()):
             raw = t.as_py().encode()
-            own = [f for f in flagged or () if f["hash"] == h]
-            if h in (copies or ()) and len(raw) >= WINDOW:
+            if copy and len(raw) >= WINDOW:
                 left, n = b"", 1
             elif own:
                 step = np.zeros(len(raw) + 1, dtype=np.int64)
@@ -483,25 +489,32 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = range_partitions(spark)
     # the smallest id stands for null
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), text_of().alias("text"))
-    texts = written(rows.select("id", F.xxhash64("text").alias("hash"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"))
-                    , "sd-texts")
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), text_of().alias("text")) \
+        .withColumn("hash", F.xxhash64("text"))
+    texts = written(rows.select("id", "hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
+                                F.octet_length("text").cast("long").alias("size")), "sd-texts")
     several = written(texts.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                       .filter("least < most").select("key", "least"), "sd-several")
-    copies = texts.join(several, "key").filter("id > least").groupBy("id").agg(F.collect_set("hash").alias("copies"))
-
-    listed = rows.mapInArrow(_list_minimizers(n), "bucket long, id long, marks binary, ids binary, known binary")
-    replies = listed.repartition(n, "bucket").mapInArrow(_reply_shared(n), "bucket long, ids binary, marks binary")
-    shared = replies.repartition(n, "bucket").mapInArrow(_gather_replies, "id long, marks binary")
-    notes = written(shared.join(copies, "id", "full"), "sd-notes")
-
-    # the texts are dealt by id once; both joins below read the same exchange
-    dealt = rows.repartition(n, "id")
-    noted = dealt.join(notes.hint("shuffle_merge"), "id", "left").withColumn("hash", F.xxhash64("text"))
-    segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copies").mapInArrow(
-        _cut_segments(n), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
-    flagged = (segments.repartition(n, "bucket").mapInArrow(_settle_segments, "id long, hash long, first binary, last binary")
-               .groupBy("id").agg(F.collect_list(F.struct("hash", "first", "last")).alias("flagged")))
-    return (noted.select("id", "hash", "text", "copies").join(flagged.hint("shuffle_merge"), "id", "left")
-            .select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "hash", "text", "copies", "flagged")
+    copies = (texts.join(several, "key").filter("id > least").select("id", "hash").distinct()
+              .withColumn("copy", F.lit(True)))
+    buckets = max(n, (texts.agg(F.sum("size")).first()[0] or 0) // BUCKET)
+
+    def by_bucket(df: DataFrame) -> DataFrame:
+        return df.repartition(n, "bucket").sortWithinPartitions("bucket")
+
+    listed = rows.mapInArrow(_list_minimizers(buckets), "bucket long, id long, hash long, marks binary, ids binary, "
+                                                        "hashes binary, known binary")
+    replies = by_bucket(listed).mapInArrow(_reply_shared(buckets), "bucket long, ids binary, hashes binary, marks binary")
+    shared = by_bucket(replies).mapInArrow(_gather_replies, "id long, hash long, marks binary")
+    notes = written(shared.join(copies, ["id", "hash"], "full"), "sd-notes")
+
+    # the texts are dealt by id and text once; both joins below read the same exchange
+    dealt = rows.repartition(n, "id", "hash")
+    noted = dealt.join(notes.hint("shuffle_merge"), ["id", "hash"], "left")
+    segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copy").mapInArrow(
+        _cut_segments(buckets), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
+    flagged = (by_bucket(segments).mapInArrow(_settle_segments, "id long, hash long, first binary, last binary")
+               .groupBy("id", "hash").agg(F.collect_list(F.struct("first", "last")).alias("flagged")))
+    return (noted.select("id", "hash", "text", "copy").join(flagged.hint("shuffle_merge"), ["id", "hash"], "left")
+            .select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "text", "copy", "flagged")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))

@@ -93,6 +93,24 @@ def test_one_minimizer_over_several_shards(monkeypatch):
     assert covered() == want and want
 
 
+def test_many_shards_cost_little_more_than_few():
+    """4 MiB of one minimizer's segments: every shard is looked up once."""
+    rng = np.random.default_rng(2)
+    segs = [rng.integers(97, 123, 600).astype(np.uint8).tobytes() for _ in range(7000)]
+    segs += [s[100:300] for s in segs[:50]]
+    docs = np.arange(len(segs))
+    found = {(n, p) for n, a, b in S.settle(np.zeros(len(segs), dtype=np.uint64), docs, segs) for p in range(a, b)}
+    assert found == {(7000 + k, p) for k in range(50) for p in range(151)}
+
+
+def test_many_buckets_and_a_third_without_id(spark, monkeypatch):
+    """More buckets than partitions; a third of the rows has no id, a third one id."""
+    monkeypatch.setattr(S, "BUCKET", 300)
+    rows = [(None if k % 3 == 0 else 77 if k % 3 == 1 else i, t) for k, (i, t) in enumerate(passages(8))]
+    rows += rows[:9]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)
+
+
 def test_minimizers_depend_on_the_window_alone():
     rng = np.random.default_rng(5)
     window = rng.integers(0, 256, 50).astype(np.uint8)
