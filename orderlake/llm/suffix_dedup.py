@@ -106,7 +106,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
             break
         own = sa[slots]
         pair = rank[own] * (n + 2) + rank[np.minimum(own + h, n)]
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         sa[slots] = own[order]
         pair = pair[order]
         new = np.concatenate([[True], pair[1:] != pair[:-1]])
@@ -186,13 +186,29 @@ class Shard:
                 yield int(tag[a]), int(a - self.starts[tag[a]]), int(b - self.starts[tag[a]])
 
 
+def hash_windows(windows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of an array of windows."""
+    h = np.zeros(len(windows), dtype=np.uint64)
+    raw = windows.view(np.uint8).reshape(len(windows), WINDOW)
+    for at in [*range(0, WINDOW - 8, 8), WINDOW - 8]:
+        h = (h ^ np.ascontiguousarray(raw[:, at:at + 8]).view(np.uint64).ravel()) * _C[0]
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def merge_shards(shards: list[Shard]) -> None:
     """Lower each class's smallest document to that of the other shards' equal windows: the
     shards' sorted windows are merged once, and each shard finds its own by binary search."""
     tables = [s.distinct() for s in shards]
-    windows = np.concatenate([w for w, _ in tables])
-    if not len(windows):
+    # a window whose hash no other has is held by one shard only
+    hashes = [hash_windows(w) for w, _ in tables]
+    every, count = np.unique(np.concatenate(hashes), return_counts=True)
+    several = every[count > 1]
+    if not len(several):
         return
+    met = [several[np.minimum(np.searchsorted(several, h), len(several) - 1)] == h for h in hashes]
+    tables = [(w[k], c[k]) for (w, c), k in zip(tables, met)]
+    windows = np.concatenate([w for w, _ in tables])
     least = np.concatenate([s.smallest[c] for s, (_, c) in zip(shards, tables)])
     order = np.argsort(windows, kind="stable")
     windows, least = windows[order], least[order]
@@ -205,8 +221,10 @@ def merge_shards(shards: list[Shard]) -> None:
 def settle(marks: np.ndarray, docs: np.ndarray, segments: list[bytes]) -> Iterator[tuple[int, int, int]]:
     """(segment number, first, last + 1) of repeated windows among segments, grouped by
     minimizer into shards."""
-    order = np.argsort(marks, kind="stable")
+    order = np.argsort(marks)
     first, last = runs_of(marks[order])
+    several = np.flatnonzero(last - first > 1)  # a minimizer of one segment repeats nothing
+    first, last = first[several], last[several]
     size = np.array([len(s) for s in segments], dtype=np.int64)
     batch: list[int] = []
     held = 0
@@ -218,8 +236,6 @@ def settle(marks: np.ndarray, docs: np.ndarray, segments: list[bytes]) -> Iterat
 
     for a, b in zip(first, last):
         own = order[a:b]
-        if b - a == 1:
-            continue
         total = int(size[own].sum())
         if total > SHARD:  # one minimizer, several shards
             ends = np.cumsum(size[own]) // SHARD
