@@ -220,8 +220,17 @@ def merge_shards(shards: list[Shard]) -> None:
 
 def settle(marks: np.ndarray, docs: np.ndarray, segments: list[bytes]) -> Iterator[tuple[int, int, int]]:
     """(segment number, first, last + 1) of repeated windows among segments, grouped by
-    minimizer into shards."""
-    order = np.argsort(marks)
+    minimizer into shards. Of equal segments only the smallest document's is sorted."""
+    least: dict[bytes, int] = {}
+    held_by = docs.tolist()
+    for i, s in zip(held_by, segments):
+        if i < least.get(s, i + 1):
+            least[s] = i
+    own = np.fromiter((i == least[s] for i, s in zip(held_by, segments)), dtype=bool, count=len(segments))
+    for n in np.flatnonzero(~own).tolist():
+        yield n, 0, len(segments[n]) - WINDOW + 1
+    order = np.flatnonzero(own)
+    order = order[np.argsort(marks[order])]
     first, last = runs_of(marks[order])
     several = np.flatnonzero(last - first > 1)  # a minimizer of one segment repeats nothing
     first, last = first[several], last[several]
