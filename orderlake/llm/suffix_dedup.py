@@ -274,12 +274,6 @@ def _bucket(m: np.ndarray, n: int) -> np.ndarray:
     return ((m >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
 
-def _home(ids: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    """The bucket of a document; rows that share an id, or a text, are spread."""
-    mixed = (ids.astype(np.uint64) * _C[0]) ^ (hashes.astype(np.uint64) * _C[1])
-    return _bucket(mixed, n)
-
-
 def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
     """The rows of one bucket after the other; the batches come sorted by bucket."""
     at, held = None, []
@@ -300,14 +294,13 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
 
 
 def _list_minimizers(n_buckets: int):
-    fields = [("bucket", pa.int64()), ("id", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()),
-              ("hashes", pa.binary()), ("known", pa.binary())]
-
-    def send(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        own_id, own_hash = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1))
-        home = _home(own_id, own_hash, n_buckets)
-        docs = np.repeat(np.arange(len(held)), [len(m) for *_, m in held])
-        marks = np.concatenate([m for *_, m in held])
+    fields = [("bucket", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary()), ("hashes", pa.binary()), ("known", pa.binary())]
+
+    def send(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        own_hash = np.array([h for h, _ in held], dtype=np.int64)
+        home = _bucket(own_hash.view(np.uint64), n_buckets)
+        docs = np.repeat(np.arange(len(held)), [len(m) for _, m in held])
+        marks = np.concatenate([m for _, m in held])
         order = np.argsort(marks, kind="stable")
         docs, marks = docs[order], marks[order]
         first, last = runs_of(marks)
@@ -318,23 +311,23 @@ def _list_minimizers(n_buckets: int):
         by = np.argsort(mine, kind="stable")
         for a, b in zip(*runs_of(mine[by])):
             d = mine[by[a]]
-            rows.append((int(home[d]), int(own_id[d]), int(own_hash[d]), m[by[a:b]].tobytes(), None, None, None))
+            rows.append((int(home[d]), int(own_hash[d]), m[by[a:b]].tobytes(), None, None))
         to = _bucket(marks[first], n_buckets)
         by = np.argsort(to, kind="stable")
         for a, b in zip(*runs_of(to[by])):
             own = first[by[a:b]]
-            rows.append((int(to[by[a]]), None, None, marks[own].tobytes(), _pack(own_id[docs[own]]), _pack(own_hash[docs[own]]),
+            rows.append((int(to[by[a]]), None, marks[own].tobytes(), _pack(own_hash[docs[own]]),
                          known[by[a:b]].astype(np.uint8).tobytes()))
         return _batch(rows, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for i, h, t in zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(), batch.column("text")):
+            for h, t in zip(batch.column("hash").to_pylist(), batch.column("text")):
                 data = np.frombuffer(t.as_py().encode(), dtype=np.uint8)
                 m = minimizers(data)
                 if len(m):
-                    held.append((i, h, np.unique(m[runs_of(m)[0]])))
+                    held.append((h, np.unique(m[runs_of(m)[0]])))
                     size += len(data)
                 if size >= CHUNK:
                     yield send(held)
@@ -347,47 +340,43 @@ def _list_minimizers(n_buckets: int):
 
 def _reply_shared(n_buckets: int):
     """Shared minimizers per document, packed by the bucket of the document."""
-    fields = [("bucket", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("marks", pa.binary())]
+    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("marks", pa.binary())]
 
-    def send(i: np.ndarray, h: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
-        to = _home(i, h, n_buckets)
+    def send(h: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        to = _bucket(h.view(np.uint64), n_buckets)
         by = np.argsort(to, kind="stable")
-        return _batch([(int(to[by[a]]), _pack(i[by[a:b]]), _pack(h[by[a:b]]), m[by[a:b]].tobytes())
-                       for a, b in zip(*runs_of(to[by]))], fields)
+        return _batch([(int(to[by[a]]), _pack(h[by[a:b]]), m[by[a:b]].tobytes()) for a, b in zip(*runs_of(to[by]))], fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_bucket(batches, ["id", "hash", "marks", "ids", "hashes", "known"]):
-            local = [(i, h, np.frombuffer(m, dtype=np.uint64)) for i, h, m, d, *_ in rows if d is None]
+        for rows in _by_bucket(batches, ["hash", "marks", "hashes", "known"]):
+            local = [(h, np.frombuffer(m, dtype=np.uint64)) for h, m, d, _ in rows if d is None]
             if local:  # answered within a chunk
-                sizes = [len(m) for *_, m in local]
-                yield send(*(np.repeat(np.array([x[k] for x in local], dtype=np.int64), sizes) for k in (0, 1)),
-                           np.concatenate([m for *_, m in local]))
-            asked = [r[2:] for r in rows if r[3] is not None]
+                yield send(np.repeat(np.array([h for h, _ in local], dtype=np.int64), [len(m) for _, m in local]),
+                           np.concatenate([m for _, m in local]))
+            asked = [r[1:] for r in rows if r[2] is not None]
             if not asked:
                 continue
-            m, i, h, k = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*asked), (np.uint64, _I64, _I64, np.uint8)))
+            m, h, k = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*asked), (np.uint64, _I64, np.uint8)))
             order = np.argsort(m, kind="stable")
             first, last = runs_of(m[order])
             ask = order[np.repeat(last - first > 1, last - first)]
             ask = ask[k[ask] == 0]  # the others have their answer
             if len(ask):
-                yield send(i[ask], h[ask], m[ask])
+                yield send(h[ask], m[ask])
 
     return run
 
 
 def _gather_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document: all its shared minimizers."""
-    fields = [("id", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary())]
-    for rows in _by_bucket(batches, ["ids", "hashes", "marks"]):
-        i, h, m = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, _I64, np.uint64)))
-        by = np.lexsort((h, i))
-        i, h, m = i[by], h[by], m[by]
-        cuts = np.flatnonzero((i[1:] != i[:-1]) | (h[1:] != h[:-1])) + 1
-        edges = np.concatenate([[0], cuts, [len(i)]]).astype(np.int64)
-        for k in range(0, len(edges) - 1, 20_000):
-            pairs = zip(edges[:-1][k:k + 20_000], edges[1:][k:k + 20_000])
-            yield _batch([(int(i[a]), int(h[a]), np.unique(m[a:b]).tobytes()) for a, b in pairs], fields)
+    fields = [("hash", pa.int64()), ("marks", pa.binary())]
+    for rows in _by_bucket(batches, ["hashes", "marks"]):
+        h, m = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, np.uint64)))
+        by = np.argsort(h, kind="stable")
+        h, m = h[by], m[by]
+        first, last = runs_of(h)
+        for k in range(0, len(first), 20_000):
+            yield _batch([(int(h[a]), np.unique(m[a:b]).tobytes()) for a, b in zip(first[k:k + 20_000], last[k:k + 20_000])], fields)
 
 
 def _cut_segments(n_buckets: int):
@@ -486,8 +475,10 @@ def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, removed, spans, kept = [], [], [], []
-        for t, copy, own in zip(batch.column("text"), batch.column("copy").to_pylist(), batch.column("flagged").to_pylist()):
+        for i, t, copy, flagged in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("copy").to_pylist(),
+                                       batch.column("flagged").to_pylist()):
             raw = t.as_py().encode()
+            own = [f for f in flagged or () if f["id"] == i]
             if copy and len(raw) >= WINDOW:
                 left, n = b"", 1
             elif own:
@@ -504,7 +495,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append(n)
             kept.append(left)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+            [pa.array([None if i == NO_ID else i for i in batch.column("id").to_pylist()], pa.int64()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
              pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
@@ -513,33 +504,32 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     spark = docs.sparkSession
     n = range_partitions(spark)
-    # the smallest id stands for null
+    # the smallest id stands for null; rows are addressed by a hash of id and text (two that
+    # share one would share their lists of minimizers, and are told apart by id after that)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("id"), text_of().alias("text")) \
-        .withColumn("hash", F.xxhash64("text"))
+        .withColumn("hash", F.xxhash64("id", "text"))
     texts = written(rows.select("id", "hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
                                 F.octet_length("text").cast("long").alias("size")), "sd-texts")
     several = written(texts.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                       .filter("least < most").select("key", "least"), "sd-several")
-    copies = (texts.join(several, "key").filter("id > least").select("id", "hash").distinct()
-              .withColumn("copy", F.lit(True)))
+    copies = texts.join(several, "key").filter("id > least").groupBy("hash").agg(F.collect_set("id").alias("copies"))
     buckets = max(n, (texts.agg(F.sum("size")).first()[0] or 0) // BUCKET)
 
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition(n, "bucket").sortWithinPartitions("bucket")
 
-    listed = rows.mapInArrow(_list_minimizers(buckets), "bucket long, id long, hash long, marks binary, ids binary, "
-                                                        "hashes binary, known binary")
-    replies = by_bucket(listed).mapInArrow(_reply_shared(buckets), "bucket long, ids binary, hashes binary, marks binary")
-    shared = by_bucket(replies).mapInArrow(_gather_replies, "id long, hash long, marks binary")
-    notes = written(shared.join(copies, ["id", "hash"], "full"), "sd-notes")
+    listed = rows.mapInArrow(_list_minimizers(buckets), "bucket long, hash long, marks binary, hashes binary, known binary")
+    replies = by_bucket(listed).mapInArrow(_reply_shared(buckets), "bucket long, hashes binary, marks binary")
+    shared = by_bucket(replies).mapInArrow(_gather_replies, "hash long, marks binary")
+    notes = written(shared.join(copies, "hash", "full"), "sd-notes")
 
-    # the texts are dealt by id and text once; both joins below read the same exchange
-    dealt = rows.repartition(n, "id", "hash")
-    noted = dealt.join(notes.hint("shuffle_merge"), ["id", "hash"], "left")
+    # the texts are dealt once; both joins below read the same exchange
+    dealt = rows.repartition(n, "hash")
+    noted = dealt.join(notes.hint("shuffle_merge"), "hash", "left").withColumn("copy", F.array_contains("copies", F.col("id")))
     segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copy").mapInArrow(
         _cut_segments(buckets), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
     flagged = (by_bucket(segments).mapInArrow(_settle_segments, "id long, hash long, first binary, last binary")
-               .groupBy("id", "hash").agg(F.collect_list(F.struct("first", "last")).alias("flagged")))
-    return (noted.select("id", "hash", "text", "copy").join(flagged.hint("shuffle_merge"), ["id", "hash"], "left")
-            .select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "text", "copy", "flagged")
+               .groupBy("hash").agg(F.collect_list(F.struct("id", "first", "last")).alias("flagged")))
+    return (noted.select("id", "hash", "text", "copy").join(flagged.hint("shuffle_merge"), "hash", "left")
+            .select("id", "text", "copy", "flagged")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
