@@ -20,8 +20,8 @@ shuffle: every range also gets a copy of the first document of the following ran
 later steps keep that partitioning.
 
 Defined results: null text is empty; a null doc_id sorts first; equal doc_ids order by
-text hash; repeated rows follow each other; an empty table gives an empty result; extra
-columns do not matter.
+text hash; repeated rows follow each other; texts of any length give all their terms; an
+empty table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ So every pair of a bucket is verified or already connected, and no row is made p
 Defined results: documents without words (null or empty texts too) have no shingles and
 are linked with nothing; a null doc_id counts as the smallest id (its group has a null
 component_id, and rows with a null id are kept); repeated rows are copies of one another;
-an empty table gives an empty result; extra columns do not matter.
+of equal sets the smallest id stands for all; texts of any length are shingled whole, one
+text at a time; an empty table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations

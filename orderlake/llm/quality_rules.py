@@ -13,8 +13,10 @@ Two points keep clean documents:
   their whole text.
 
 Defined results: null text is an empty text (no words, base_failed); a null host is a
-host of its own; repeated rows are judged alike; an empty table gives an empty result;
-extra columns do not matter (columns are taken by name).
+host of its own; repeated rows are judged alike; a line held by exactly its limit of
+documents stays, and so does a document that loses exactly the share allowed; texts of any
+length are judged whole; an empty table gives an empty result; extra columns do not matter
+(columns are taken by name).
 """
 
 from __future__ import annotations

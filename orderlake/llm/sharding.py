@@ -15,7 +15,8 @@ shard still leave a spread over SPREAD of a shard, that limit is halved until th
 
 Defined results: null text is empty (size 16 with the row overhead); rows with equal
 doc_id and text follow their group; slots order by doc_id (nulls first), ties broken
-arbitrarily among identical rows; an empty table gives an empty result.
+arbitrarily among identical rows; a text of any length counts with all its bytes; an empty
+table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
