@@ -125,3 +125,14 @@ def test_string_entries_are_no_objects(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: [o.k for o in r.o] for r in df.select("i", normalize_option_json("t", "struct<k:string>").alias("o")).collect()}
     assert got == {0: ["b"], 1: ["a", "b"], 2: ["c"], 3: [], 4: [], 5: []}
+
+
+def test_rates_are_joined_without_moving_the_lines(spark):
+    from pyspark.sql import functions as F
+    from orderlake.operators.currency import to_usd
+    from orderlake.sources.seed import exchange_rates, seed_rows
+    rates = exchange_rates(spark)
+    assert [tuple(r) for r in rates.collect()] == seed_rows()
+    lines = spark.range(10).select(F.concat(F.lit("E"), F.col("id")).alias("currency_code"), F.col("id").cast("decimal(38,9)").alias("price"))
+    plan = to_usd(lines, rates, {"usd": "price"})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
