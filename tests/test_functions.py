@@ -136,3 +136,25 @@ def test_rates_are_joined_without_moving_the_lines(spark):
     lines = spark.range(10).select(F.concat(F.lit("E"), F.col("id")).alias("currency_code"), F.col("id").cast("decimal(38,9)").alias("price"))
     plan = to_usd(lines, rates, {"usd": "price"})._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_lists_are_parsed_once_and_entries_that_do_not_fit_one_by_one(spark):
+    from orderlake.functions.json_shape import normalize_cart_json
+    from orderlake.schemas import CART_ITEM_TEXT_DDL, OPTION_DDL
+    texts = ['[{"product_id":"1","amount":2,"option":[{"option_label":"a"}]},{"product_id":"2"}]',
+             '[7,{"product_id":"1","amount":"x","price":1.5,"option":{"option_label":"a"}},"{}",null]',
+             '[{"amount":1,"amount":2}]', "[{'amount':1}]", '{"option":[7,{"option":[]}]}', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.c for r in df.select("i", normalize_cart_json("t", CART_ITEM_TEXT_DDL, OPTION_DDL).alias("c")).collect()}
+    assert [(x.product_id, x.amount, x.price, [o.option_label for o in x.option]) for x in got[0]] == [
+        ("1", 2, None, ["a"]), ("2", None, None, [])]
+    assert [(x.product_id, x.amount, x.price, [o.option_label for o in x.option]) for x in got[1]] == [("1", None, "1.5", ["a"])]
+    assert got[2] == got[3] == got[5] == [] and [len(x.option) for x in got[4]] == [1]
+
+
+def test_entries_are_not_looked_up_by_parsing_the_list_again(spark):
+    from orderlake.functions.json_shape import json_array_of_objects
+    df = spark.createDataFrame([("[{}]",)], "t string").select(json_array_of_objects("t").alias("j"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    # a filter whose lambda holds the parser parses the whole list for each of its entries
+    assert "zip_with" in plan and not [x for x in plan.split("lambdafunction(")[1:] if "schema_of_variant" in x and "get(" in x]
