@@ -158,3 +158,10 @@ def test_entries_are_not_looked_up_by_parsing_the_list_again(spark):
     plan = df._jdf.queryExecution().analyzed().toString()
     # a filter whose lambda holds the parser parses the whole list for each of its entries
     assert "zip_with" in plan and not [x for x in plan.split("lambdafunction(")[1:] if "schema_of_variant" in x and "get(" in x]
+
+
+def test_events_of_a_feed_are_parsed_once(spark):
+    from pyspark.sql import functions as F
+    from orderlake.streaming.feeds import event_shape
+    df = spark.range(1).select(F.concat(F.lit("{}"), F.lit("")).alias("v")).select(event_shape(F.col("v")).alias("e"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(StructField(_id") <= 1
