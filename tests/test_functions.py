@@ -165,3 +165,13 @@ def test_events_of_a_feed_are_parsed_once(spark):
     from orderlake.streaming.feeds import event_shape
     df = spark.range(1).select(F.concat(F.lit("{}"), F.lit("")).alias("v")).select(event_shape(F.col("v")).alias("e"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(StructField(_id") <= 1
+
+
+def test_exports_are_packed(spark, tmp_dir):
+    import os
+    from orderlake.sources import sinks as K
+    K.write_two(spark.range(3), f"{tmp_dir}/a", f"{tmp_dir}/b")
+    assert K.export_if_absent(spark.range(3), f"{tmp_dir}/c") == 3
+    for d in "abc":
+        assert {f.rsplit(".", 1)[1] for f in os.listdir(f"{tmp_dir}/{d}") if f.startswith("part-")} == {"gz"}
+        assert spark.read.json(f"{tmp_dir}/{d}").count() == 3
