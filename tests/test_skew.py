@@ -108,3 +108,18 @@ def test_fact_joins_split_hot_keys_with_and_without_measurement(spark):
         assert shares(salted) < 0.15
         assert sorted(map(tuple, salted.collect()), key=str) == plain
     assert len(plain) == 30_000
+
+
+def test_fact_joins_shuffle_no_hashed_key_and_no_copy_of_the_order(spark):
+    from orderlake.plans import intermediate as I
+    from orderlake.plans.warehouse import fact_sales_order
+    rows, product, place = fact_inputs(spark, 3_000)
+    fact = I.int_fact_sales_order(rows.drop("fact_sales_order_key").distinct())
+    with settings(spark, PLAIN):
+        carried = fact_sales_order(fact, product, place)
+        late = fact_sales_order(fact, product, place, fact_key=I.fact_key())
+        plan = late._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, late.collect()), key=str) == sorted(map(tuple, carried.collect()), key=str)
+        assert late.columns == carried.columns
+    assert "md5(" in plan and "__gk" not in plan
+    assert plan.rindex("md5(") < plan.index("Exchange"), plan
