@@ -118,3 +118,20 @@ def test_fact_with_a_hot_ip(spark):
             sums[r.order_id] += r.line_total_price
         totals[r.order_id] = r.order_total_amount
     assert all(totals[k] == v for k, v in sums.items())
+
+
+def test_models_that_do_not_read_each_other_are_built_at_the_same_time(spark, tmp_dir, monkeypatch):
+    import threading
+    from orderlake.plans import build
+    rounds = {"first": threading.Barrier(3, timeout=120), "second": threading.Barrier(4, timeout=120)}
+    of = dict.fromkeys(["stg_fact_sales_order", "int_dim_location", "dim_product"], "first")
+    plain = build.materialize
+
+    def met(df, layer, name, root):
+        rounds[of.get(name, "second")].wait()
+        return plain(df, layer, name, root=root)
+
+    monkeypatch.setattr(build, "materialize", met)
+    i = Inputs(spark, SF)
+    built = build.build_warehouse(i.raw_events(), i.product_info(), i.ranges(), i.rates(), tmp_dir)
+    assert built["fact_sales_order"].count() == i.stg_fact().count() > 0
