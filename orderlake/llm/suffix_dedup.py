@@ -439,52 +439,69 @@ def _cut_segments(n_buckets: int):
     return run
 
 
-def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fields = [("id", pa.int64()), ("hash", pa.int64()), ("first", pa.binary()), ("last", pa.binary())]
-
-    def send(i, h, a, b):
-        order = np.lexsort((a, h, i))
-        i, h, a, b = i[order], h[order], a[order], b[order]
-        cut = np.flatnonzero((i[1:] != i[:-1]) | (h[1:] != h[:-1])) + 1
-        edges = np.concatenate([[0], cut, [len(i)]]).astype(np.int64)
-        rows = [(int(i[x]), int(h[x]), _pack(a[x:y], _I32), _pack(b[x:y], _I32)) for x, y in zip(edges[:-1], edges[1:])]
-        for k in range(0, len(rows), 50_000):
-            yield _batch(rows[k:k + 50_000], fields)
-
-    for rows in _by_bucket(batches, ["marks", "ids", "hashes", "starts", "sizes", "bytes"]):
-        for row in rows:
-            if row[0] is None:  # found within a chunk
-                yield from send(*(np.frombuffer(x, dtype=k) for x, k in zip(row[1:5], (_I64, _I64, _I32, _I32))))
-        rows = [row for row in rows if row[0] is not None]
-        if not rows:
-            continue
-        *packed, parts = zip(*rows)
-        marks, ids, hashes, starts, sizes = (np.frombuffer(b"".join(x), dtype=t)
-                                             for x, t in zip(packed, (np.uint64, _I64, _I64, _I32, _I32)))
-        ends = np.cumsum(sizes.astype(np.int64))
-        raw = b"".join(parts)
-        del rows, packed, parts
-        segments = [raw[e - z:e] for e, z in zip(ends.tolist(), sizes.tolist())]
-        del raw
-        out = [(n, starts[n] + a, starts[n] + b + WINDOW - 1) for n, a, b in settle(marks, ids, segments)]
-        if out:
-            n, a, b = (np.array(x, dtype=np.int64) for x in zip(*out))
-            yield from send(ids[n], hashes[n], a, b)
+def _settle_segments(n_buckets: int):
+    """Repeated spans, packed by the bucket of their document."""
+    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("ids", pa.binary()), ("first", pa.binary()), ("last", pa.binary())]
+
+    def send(i, h, a, b) -> pa.RecordBatch:
+        to = _bucket(h.view(np.uint64), n_buckets)
+        by = np.argsort(to, kind="stable")
+        rows = []
+        for x, y in zip(*runs_of(to[by])):
+            own = by[x:y]
+            rows.append((int(to[own[0]]), _pack(h[own]), _pack(i[own]), _pack(a[own], _I32), _pack(b[own], _I32)))
+        return _batch(rows, fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_bucket(batches, ["marks", "ids", "hashes", "starts", "sizes", "bytes"]):
+            for row in rows:
+                if row[0] is None:  # found within a chunk
+                    yield send(*(np.frombuffer(x, dtype=k) for x, k in zip(row[1:5], (_I64, _I64, _I32, _I32))))
+            rows = [row for row in rows if row[0] is not None]
+            if not rows:
+                continue
+            *packed, parts = zip(*rows)
+            marks, ids, hashes, starts, sizes = (np.frombuffer(b"".join(x), dtype=t)
+                                                 for x, t in zip(packed, (np.uint64, _I64, _I64, _I32, _I32)))
+            ends = np.cumsum(sizes.astype(np.int64))
+            raw = b"".join(parts)
+            del rows, packed, parts
+            segments = [raw[e - z:e] for e, z in zip(ends.tolist(), sizes.tolist())]
+            del raw
+            out = [(n, starts[n] + a, starts[n] + b + WINDOW - 1) for n, a, b in settle(marks, ids, segments)]
+            if out:
+                n, a, b = (np.array(x, dtype=np.int64) for x in zip(*out))
+                yield send(ids[n], hashes[n], a, b)
+
+    return run
+
+
+def _gather_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document hash: all repeated spans of its rows."""
+    fields = [("hash", pa.int64()), ("ids", pa.binary()), ("first", pa.binary()), ("last", pa.binary())]
+    for rows in _by_bucket(batches, ["hashes", "ids", "first", "last"]):
+        h, i, a, b = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, _I64, _I32, _I32)))
+        by = np.argsort(h, kind="stable")
+        h, i, a, b = h[by], i[by], a[by], b[by]
+        first, last = runs_of(h)
+        for k in range(0, len(first), 20_000):
+            yield _batch([(int(h[x]), i[x:y].tobytes(), a[x:y].tobytes(), b[x:y].tobytes())
+                          for x, y in zip(first[k:k + 20_000], last[k:k + 20_000])], fields)
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, removed, spans, kept = [], [], [], []
-        for i, t, copy, flagged in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("copy").to_pylist(),
-                                       batch.column("flagged").to_pylist()):
+        for i, t, copy, ids, first, last in zip(*(batch.column(c).to_pylist() if c != "text" else batch.column(c)
+                                                  for c in ("id", "text", "copy", "ids", "first", "last"))):
             raw = t.as_py().encode()
-            own = [f for f in flagged or () if f["id"] == i]
+            own = np.frombuffer(ids or b"", dtype=_I64) == i
             if copy and len(raw) >= WINDOW:
                 left, n = b"", 1
-            elif own:
+            elif own.any():
                 step = np.zeros(len(raw) + 1, dtype=np.int64)
-                np.add.at(step, np.frombuffer(b"".join([f["first"] for f in own]), dtype=_I32), 1)
-                np.add.at(step, np.frombuffer(b"".join([f["last"] for f in own]), dtype=_I32), -1)
+                np.add.at(step, np.frombuffer(first, dtype=_I32)[own], 1)
+                np.add.at(step, np.frombuffer(last, dtype=_I32)[own], -1)
                 gone = np.cumsum(step)[:-1] > 0
                 left = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
                 n = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
@@ -528,8 +545,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     noted = dealt.join(notes.hint("shuffle_merge"), "hash", "left").withColumn("copy", F.array_contains("copies", F.col("id")))
     segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copy").mapInArrow(
         _cut_segments(buckets), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
-    flagged = (by_bucket(segments).mapInArrow(_settle_segments, "id long, hash long, first binary, last binary")
-               .groupBy("hash").agg(F.collect_list(F.struct("id", "first", "last")).alias("flagged")))
+    spans = by_bucket(segments).mapInArrow(
+        _settle_segments(buckets), "bucket long, hashes binary, ids binary, first binary, last binary")
+    flagged = by_bucket(spans).mapInArrow(_gather_spans, "hash long, ids binary, first binary, last binary")
     return (noted.select("id", "hash", "text", "copy").join(flagged.hint("shuffle_merge"), "hash", "left")
-            .select("id", "text", "copy", "flagged")
+            .select("id", "text", "copy", "ids", "first", "last")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))

@@ -118,3 +118,21 @@ def test_minimizers_depend_on_the_window_alone():
         left, right = rng.integers(0, 256, rng.integers(0, 60)), rng.integers(0, 256, rng.integers(0, 60))
         m = S.minimizers(np.concatenate([left, window, right]).astype(np.uint8))
         assert m[len(left)] == S.minimizers(window)[0]
+
+
+def test_settled_spans_are_packed_by_bucket():
+    """What a chunk settles is sent on in one row a bucket, not one a document."""
+    import pyarrow as pa
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    shared = line(200)
+    texts = [line(60) + shared + line(60) for _ in range(300)]
+    marks = [np.unique(S.minimizers(np.frombuffer(t.encode(), dtype=np.uint8))).tobytes() for t in texts]
+    docs = pa.RecordBatch.from_arrays(
+        [pa.array(range(300), pa.int64()), pa.array([i * 7919 for i in range(300)], pa.int64()), pa.array(texts),
+         pa.array(marks, pa.binary()), pa.array([False] * 300)], ["id", "hash", "text", "marks", "copy"])
+    cut = list(S._cut_segments(4)(iter([docs])))
+    settled = list(S._settle_segments(4)(iter(cut)))
+    assert sum(b.num_rows for b in settled) <= 4 * sum(b.num_rows for b in cut) <= 20
+    ids = {int(i) for b in settled for x in b.column("ids").to_pylist() for i in np.frombuffer(x, dtype="<i8")}
+    assert ids == set(range(1, 300))
