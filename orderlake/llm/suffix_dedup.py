@@ -20,6 +20,10 @@ Memory: the minimizers are dealt to buckets whose number follows from the bytes
 texts. Partitions come sorted by bucket, and a task holds one bucket after the other, so a
 worker's need does not grow with the corpus. The segments of one minimizer stay together.
 
+Disk: what travels is packed: sorted minimizers as differences within their bucket, each
+document's hash once a row, numbers byte by place, all of it and the segments' bytes
+compressed. The shuffle files of the lists are removed before the segments are sent.
+
 Hot groups: equal texts are found by one aggregate and only the smallest document takes
 part. Rows that share an id or have none are told apart by their texts. Inside a chunk of documents, a minimizer is sent on once, and equal segments are
 settled on the spot, so a passage that a third of all documents share sends one segment
@@ -34,10 +38,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import range_partitions, text_of, written
@@ -69,7 +74,7 @@ def minimizers(data: np.ndarray) -> np.ndarray:
     h = w[:grams] * _C[0] + w[8:8 + grams] * _C[1] + w[GRAM - 8:GRAM - 8 + grams] * _C[2]
     h ^= h >> np.uint64(32)
     h *= _C[3]
-    h ^= h >> np.uint64(29)
+    h >>= np.uint64(16)  # 48 bits: two that meet by chance only share a list, windows are compared whole
     span, low = WINDOW - GRAM + 1, h
     width = 1
     while 2 * width <= span:  # minima of doubled widths, then two overlapping ones
@@ -263,29 +268,62 @@ def settle(marks: np.ndarray, docs: np.ndarray, segments: list[bytes]) -> Iterat
     yield from one(batch)
 
 
-_I64, _I32 = np.dtype("<i8"), np.dtype("<i4")
+_I64, _I32, _U64, _U8 = np.dtype("<i8"), np.dtype("<i4"), np.dtype("<u8"), np.dtype("u1")
+
+
+def _squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _expand(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
 def _pack(values, kind=_I64) -> bytes:
-    return np.asarray(values, dtype=kind).tobytes()
+    """Numbers, byte by place (the upper ones of small numbers are zeros), compressed."""
+    v = np.ascontiguousarray(values, dtype=kind)
+    return _squeeze(v.view(_U8).reshape(-1, kind.itemsize).T.tobytes())
+
+
+def _unpack(packed: bytes, kind=_I64) -> np.ndarray:
+    planes = np.frombuffer(_expand(packed), dtype=_U8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=values.dtype.type(0)), values.dtype)
+
+
+def _unpack_sorted(packed: bytes, kind=_U64) -> np.ndarray:
+    return np.cumsum(_unpack(packed, kind), dtype=kind)
+
+
+def _pack_hashes(h: np.ndarray) -> tuple[bytes, bytes]:
+    """Distinct document hashes and the place of each row's among them."""
+    table, at = np.unique(h.view(_U64), return_inverse=True)
+    return _pack_sorted(table), _pack(at, _I32)
+
+
+def _unpack_hashes(table: bytes, at: bytes) -> np.ndarray:
+    return _unpack_sorted(table)[_unpack(at, _I32)].view(_I64)
 
 
 def _bucket(m: np.ndarray, n: int) -> np.ndarray:
-    return ((m >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
+    return (m % np.uint64(n)).astype(np.int64)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
-    """The rows of one bucket after the other; the batches come sorted by bucket."""
+def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """Each bucket and its rows, one after the other; the batches come sorted by bucket."""
     at, held = None, []
     for batch in batches:
         for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *names))):
             if bucket != at and held:
-                yield held
+                yield at, held
                 held = []
             at = bucket
             held.append(tuple(row))
     if held:
-        yield held
+        yield at, held
 
 
 def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
@@ -294,30 +332,26 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
 
 
 def _list_minimizers(n_buckets: int):
-    fields = [("bucket", pa.int64()), ("hash", pa.int64()), ("marks", pa.binary()), ("hashes", pa.binary()), ("known", pa.binary())]
+    """Documents (hashes, docs) and minimizers (marks), in order of the latter. Rows that ask the
+    minimizer's bucket say which are known to be shared; those without ``known`` are answers."""
+    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("marks", pa.binary()), ("known", pa.binary())]
 
     def send(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         own_hash = np.array([h for h, _ in held], dtype=np.int64)
-        home = _bucket(own_hash.view(np.uint64), n_buckets)
         docs = np.repeat(np.arange(len(held)), [len(m) for _, m in held])
         marks = np.concatenate([m for _, m in held])
         order = np.argsort(marks, kind="stable")
         docs, marks = docs[order], marks[order]
         first, last = runs_of(marks)
         known = last - first > 1  # held by two documents of this chunk already
-        rows = []
         inside = np.repeat(known, last - first)
-        mine, m = docs[inside], marks[inside]
-        by = np.argsort(mine, kind="stable")
-        for a, b in zip(*runs_of(mine[by])):
-            d = mine[by[a]]
-            rows.append((int(home[d]), int(own_hash[d]), m[by[a:b]].tobytes(), None, None))
+        rows = [(*row, None) for row in _answers(own_hash[docs[inside]], marks[inside], n_buckets)]
         to = _bucket(marks[first], n_buckets)
         by = np.argsort(to, kind="stable")
         for a, b in zip(*runs_of(to[by])):
             own = first[by[a:b]]
-            rows.append((int(to[by[a]]), None, marks[own].tobytes(), _pack(own_hash[docs[own]]),
-                         known[by[a:b]].astype(np.uint8).tobytes()))
+            rows.append((int(to[by[a]]), *_pack_hashes(own_hash[docs[own]]), _pack_sorted(marks[own] // np.uint64(n_buckets)),
+                         _pack(known[by[a:b]], _U8)))
         return _batch(rows, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,31 +372,35 @@ def _list_minimizers(n_buckets: int):
     return run
 
 
+def _answers(h: np.ndarray, m: np.ndarray, n_buckets: int) -> list[tuple]:
+    """Shared minimizers (in order) of documents, a row for each bucket of documents."""
+    to = _bucket(h.view(_U64), n_buckets)
+    by = np.argsort(to, kind="stable")
+    return [(int(to[by[a]]), *_pack_hashes(h[by[a:b]]), _pack_sorted(m[by[a:b]])) for a, b in zip(*runs_of(to[by]))]
+
+
 def _reply_shared(n_buckets: int):
     """Shared minimizers per document, packed by the bucket of the document."""
-    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("marks", pa.binary())]
-
-    def send(h: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
-        to = _bucket(h.view(np.uint64), n_buckets)
-        by = np.argsort(to, kind="stable")
-        return _batch([(int(to[by[a]]), _pack(h[by[a:b]]), m[by[a:b]].tobytes()) for a, b in zip(*runs_of(to[by]))], fields)
+    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("marks", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_bucket(batches, ["hash", "marks", "hashes", "known"]):
-            local = [(h, np.frombuffer(m, dtype=np.uint64)) for h, m, d, _ in rows if d is None]
-            if local:  # answered within a chunk
-                yield send(np.repeat(np.array([h for h, _ in local], dtype=np.int64), [len(m) for _, m in local]),
-                           np.concatenate([m for _, m in local]))
-            asked = [r[1:] for r in rows if r[2] is not None]
+        for bucket, rows in _by_bucket(batches, ["hashes", "docs", "marks", "known"]):
+            answered = [(bucket, *row[:3]) for row in rows if row[3] is None]
+            if answered:  # within a chunk
+                yield _batch(answered, fields)
+            asked = [row for row in rows if row[3] is not None]
+            del rows
             if not asked:
                 continue
-            m, h, k = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*asked), (np.uint64, _I64, np.uint8)))
+            m = np.concatenate([_unpack_sorted(m) for _, _, m, _ in asked]) * np.uint64(n_buckets) + np.uint64(bucket)
+            h = np.concatenate([_unpack_hashes(t, d) for t, d, _, _ in asked])
+            k = np.concatenate([_unpack(k, _U8) for _, _, _, k in asked])
             order = np.argsort(m, kind="stable")
             first, last = runs_of(m[order])
             ask = order[np.repeat(last - first > 1, last - first)]
             ask = ask[k[ask] == 0]  # the others have their answer
             if len(ask):
-                yield send(h[ask], m[ask])
+                yield _batch(_answers(h[ask], m[ask], n_buckets), fields)
 
     return run
 
@@ -370,8 +408,9 @@ def _reply_shared(n_buckets: int):
 def _gather_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document: all its shared minimizers."""
     fields = [("hash", pa.int64()), ("marks", pa.binary())]
-    for rows in _by_bucket(batches, ["hashes", "marks"]):
-        h, m = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, np.uint64)))
+    for _, rows in _by_bucket(batches, ["hashes", "docs", "marks"]):
+        h = np.concatenate([_unpack_hashes(t, d) for t, d, _ in rows])
+        m = np.concatenate([_unpack_sorted(m) for _, _, m in rows])
         by = np.argsort(h, kind="stable")
         h, m = h[by], m[by]
         first, last = runs_of(h)
@@ -380,7 +419,7 @@ def _gather_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _cut_segments(n_buckets: int):
-    fields = [("bucket", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()), ("hashes", pa.binary()),
+    fields = [("bucket", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()), ("hashes", pa.binary()), ("docs", pa.binary()),
               ("starts", pa.binary()), ("sizes", pa.binary()), ("bytes", pa.binary())]
 
     def send(held: dict[bytes, list]) -> pa.RecordBatch:
@@ -399,16 +438,17 @@ def _cut_segments(n_buckets: int):
                     segs.append(seg)
         if found:
             i, h, a, b = zip(*found)
-            rows.append((found[0][1] % n_buckets, None, _pack(i), _pack(h), _pack(a, _I32), _pack(b, _I32), None))
+            rows.append((found[0][1] % n_buckets, None, _pack(i), *_pack_hashes(np.array(h, dtype=np.int64)),
+                         _pack(a, _I32), _pack(b, _I32), None))
         m = np.array(marks, dtype=np.uint64)
         docs, hashes, starts = (np.array(x, dtype=np.int64) for x in (docs, hashes, starts))
         to = _bucket(m, n_buckets)
-        by = np.argsort(to, kind="stable")
+        by = np.lexsort((m, to))
         for a, b in zip(*runs_of(to[by])):
             own = by[a:b]
-            rows.append((int(to[own[0]]), m[own].tobytes(), _pack(docs[own]), _pack(hashes[own]),
+            rows.append((int(to[own[0]]), _pack_sorted(m[own] // np.uint64(n_buckets)), _pack(docs[own]), *_pack_hashes(hashes[own]),
                          _pack(starts[own], _I32), _pack([len(segs[i]) for i in own], _I32),
-                         b"".join([segs[i] for i in own])))
+                         _squeeze(b"".join([segs[i] for i in own]))))
         return _batch(rows, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,31 +481,33 @@ def _cut_segments(n_buckets: int):
 
 def _settle_segments(n_buckets: int):
     """Repeated spans, packed by the bucket of their document."""
-    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("ids", pa.binary()), ("first", pa.binary()), ("last", pa.binary())]
+    fields = [("bucket", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("ids", pa.binary()),
+              ("first", pa.binary()), ("last", pa.binary())]
 
     def send(i, h, a, b) -> pa.RecordBatch:
-        to = _bucket(h.view(np.uint64), n_buckets)
+        to = _bucket(h.view(_U64), n_buckets)
         by = np.argsort(to, kind="stable")
         rows = []
         for x, y in zip(*runs_of(to[by])):
             own = by[x:y]
-            rows.append((int(to[own[0]]), _pack(h[own]), _pack(i[own]), _pack(a[own], _I32), _pack(b[own], _I32)))
+            rows.append((int(to[own[0]]), *_pack_hashes(h[own]), i[own].tobytes(), _pack(a[own], _I32), _pack(b[own], _I32)))
         return _batch(rows, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_bucket(batches, ["marks", "ids", "hashes", "starts", "sizes", "bytes"]):
-            for row in rows:
-                if row[0] is None:  # found within a chunk
-                    yield send(*(np.frombuffer(x, dtype=k) for x, k in zip(row[1:5], (_I64, _I64, _I32, _I32))))
+        for bucket, rows in _by_bucket(batches, ["marks", "ids", "hashes", "docs", "starts", "sizes", "bytes"]):
+            for mark, i, table, at, a, b, _ in rows:
+                if mark is None:  # found within a chunk
+                    yield send(_unpack(i), _unpack_hashes(table, at), _unpack(a, _I32), _unpack(b, _I32))
             rows = [row for row in rows if row[0] is not None]
             if not rows:
                 continue
-            *packed, parts = zip(*rows)
-            marks, ids, hashes, starts, sizes = (np.frombuffer(b"".join(x), dtype=t)
-                                                 for x, t in zip(packed, (np.uint64, _I64, _I64, _I32, _I32)))
+            marks = np.concatenate([_unpack_sorted(row[0]) for row in rows]) * np.uint64(n_buckets) + np.uint64(bucket)
+            ids = np.concatenate([_unpack(row[1]) for row in rows])
+            hashes = np.concatenate([_unpack_hashes(row[2], row[3]) for row in rows])
+            starts, sizes = (np.concatenate([_unpack(row[c], _I32) for row in rows]) for c in (4, 5))
             ends = np.cumsum(sizes.astype(np.int64))
-            raw = b"".join(parts)
-            del rows, packed, parts
+            raw = b"".join([_expand(row[6]) for row in rows])
+            del rows
             segments = [raw[e - z:e] for e, z in zip(ends.tolist(), sizes.tolist())]
             del raw
             out = [(n, starts[n] + a, starts[n] + b + WINDOW - 1) for n, a, b in settle(marks, ids, segments)]
@@ -479,8 +521,10 @@ def _settle_segments(n_buckets: int):
 def _gather_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document hash: all repeated spans of its rows."""
     fields = [("hash", pa.int64()), ("ids", pa.binary()), ("first", pa.binary()), ("last", pa.binary())]
-    for rows in _by_bucket(batches, ["hashes", "ids", "first", "last"]):
-        h, i, a, b = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), (_I64, _I64, _I32, _I32)))
+    for _, rows in _by_bucket(batches, ["hashes", "docs", "ids", "first", "last"]):
+        h = np.concatenate([_unpack_hashes(row[0], row[1]) for row in rows])
+        i = np.frombuffer(b"".join([row[2] for row in rows]), dtype=_I64)
+        a, b = (np.concatenate([_unpack(row[c], _I32) for row in rows]) for c in (3, 4))
         by = np.argsort(h, kind="stable")
         h, i, a, b = h[by], i[by], a[by], b[by]
         first, last = runs_of(h)
@@ -517,6 +561,21 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the table they were made for is written, not when the
+    driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     spark = docs.sparkSession
@@ -535,18 +594,19 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition(n, "bucket").sortWithinPartitions("bucket")
 
-    listed = rows.mapInArrow(_list_minimizers(buckets), "bucket long, hash long, marks binary, hashes binary, known binary")
-    replies = by_bucket(listed).mapInArrow(_reply_shared(buckets), "bucket long, hashes binary, marks binary")
+    listed = rows.mapInArrow(_list_minimizers(buckets), "bucket long, hashes binary, docs binary, marks binary, known binary")
+    replies = by_bucket(listed).mapInArrow(_reply_shared(buckets), "bucket long, hashes binary, docs binary, marks binary")
     shared = by_bucket(replies).mapInArrow(_gather_replies, "hash long, marks binary")
-    notes = written(shared.join(copies, "hash", "full"), "sd-notes")
+    with shuffles_removed(spark):  # nothing below reads the lists again
+        notes = written(shared.join(copies, "hash", "full"), "sd-notes")
 
     # the texts are dealt once; both joins below read the same exchange
     dealt = rows.repartition(n, "hash")
     noted = dealt.join(notes.hint("shuffle_merge"), "hash", "left").withColumn("copy", F.array_contains("copies", F.col("id")))
     segments = noted.filter("marks is not null").select("id", "hash", "text", "marks", "copy").mapInArrow(
-        _cut_segments(buckets), "bucket long, marks binary, ids binary, hashes binary, starts binary, sizes binary, bytes binary")
+        _cut_segments(buckets), "bucket long, marks binary, ids binary, hashes binary, docs binary, starts binary, sizes binary, bytes binary")
     spans = by_bucket(segments).mapInArrow(
-        _settle_segments(buckets), "bucket long, hashes binary, ids binary, first binary, last binary")
+        _settle_segments(buckets), "bucket long, hashes binary, docs binary, ids binary, first binary, last binary")
     flagged = by_bucket(spans).mapInArrow(_gather_spans, "hash long, ids binary, first binary, last binary")
     return (noted.select("id", "hash", "text", "copy").join(flagged.hint("shuffle_merge"), "hash", "left")
             .select("id", "text", "copy", "ids", "first", "last")

@@ -136,3 +136,53 @@ def test_settled_spans_are_packed_by_bucket():
     assert sum(b.num_rows for b in settled) <= 4 * sum(b.num_rows for b in cut) <= 20
     ids = {int(i) for b in settled for x in b.column("ids").to_pylist() for i in np.frombuffer(x, dtype="<i8")}
     assert ids == set(range(1, 300))
+
+
+def sent(batches):
+    return sum(len(x) for b in batches for c in b.columns if str(c.type) == "binary" for x in c.to_pylist() if x)
+
+
+def test_lists_and_segments_travel_packed():
+    """Less than 10 bytes a listed minimizer (17 in full), and a segment takes fewer bytes than it has."""
+    import pyarrow as pa
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(2000)]
+    shared = " ".join(rng.choices(words, k=400))
+    texts = [" ".join(rng.choices(words, k=200)) + shared[k % 50:] for k in range(200)]
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in texts]
+    marks = [np.unique(S.minimizers(np.frombuffer(t.encode(), dtype=np.uint8))) for t in texts]
+    docs = pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(texts)], ["hash", "text"])
+    assert sent(S._list_minimizers(4)(iter([docs]))) < 10 * sum(map(len, marks))
+    docs = pa.RecordBatch.from_arrays(
+        [pa.array(range(200), pa.int64()), pa.array(hashes, pa.int64()), pa.array(texts),
+         pa.array([m.tobytes() for m in marks], pa.binary()), pa.array([False] * 200)], ["id", "hash", "text", "marks", "copy"])
+    cut = [S.minimizers(np.frombuffer(t.encode(), dtype=np.uint8)) for t in texts]
+    segments = {t[a:b + 49] for t, m in zip(texts, cut) for a, b in zip(*S.runs_of(m))}
+    assert sent(S._cut_segments(4)(iter([docs]))) < sum(map(len, segments))
+
+
+def test_packed_numbers_come_back():
+    for kind in (S._I64, S._I32, S._U8, S._U64):
+        low, high = np.iinfo(kind).min, np.iinfo(kind).max
+        for values in ([], [low], [high], [low, high, 0, 1, 1]):
+            values = np.array(values, dtype=kind)
+            assert S._unpack(S._pack(values, kind), kind).tolist() == values.tolist()
+    h = np.array([5, S.NO_ID, 5, (1 << 63) - 1, -1, S.NO_ID], dtype=np.int64)
+    assert S._unpack_hashes(*S._pack_hashes(h)).tolist() == h.tolist()
+    marks = np.array([0, 3, 3, (1 << 64) - 1], dtype=np.uint64)
+    assert S._unpack_sorted(S._pack_sorted(marks)).tolist() == marks.tolist()
+
+
+def test_shuffle_files_of_the_lists_are_removed_once_written(spark, monkeypatch):
+    key, held = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}
+    before = spark.conf.get(key)
+    write = S.written
+
+    def written(df, name):
+        held[name] = spark.conf.get(key)
+        return write(df, name)
+
+    monkeypatch.setattr(S, "written", written)
+    S.dedup_substrings(spark.createDataFrame(passages(3), "doc_id long, text string"))
+    assert held["sd-notes"] == "true"
+    assert spark.conf.get(key) == before
