@@ -38,14 +38,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import range_partitions, text_of, written
+from orderlake.session import shuffles_removed
 
 WINDOW, GRAM = 50, 20
 CHUNK = 16 << 20  # bytes of text a task holds before it sends on
@@ -561,21 +561,6 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go as soon as the table they were made for is written, not when the
-    driver happens to collect its garbage."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     spark = docs.sparkSession
