@@ -1,5 +1,5 @@
-"""Files that queries write between their steps take little disk: lines are gzipped, rows
-are loaded once, and the shuffle of the tables they are made from is gone once they are written."""
+"""Files that queries write between their steps take little disk: lines are gzipped, loaded
+rows are packed, and the shuffle of the tables they are made from is gone once they are written."""
 
 import datetime
 import glob
@@ -50,6 +50,14 @@ def packed(files):
     return len(files) > 0 and {f.rsplit(".", 1)[1] for f in files} == {"gz"}
 
 
+def test_feed_rows(spark, inputs, tmp_dir):
+    out = Q.feed_rows(inputs)
+    loaded = written(tmp_dir, "feeds/data")
+    assert loaded and all(f.endswith(".zstd.parquet") for f in loaded)
+    counts = {r.feed: r["count"] for r in out.groupBy("feed").count().collect()}
+    assert counts["raw_events"] == ORDERS * LINES and counts["product_info"] == inputs.product_info().count()
+
+
 def test_landed_feeds(spark, inputs, tmp_dir):
     before = shuffle_files(spark)
     Q._landed_feeds(inputs)
