@@ -50,6 +50,17 @@ def packed(files):
     return len(files) > 0 and {f.rsplit(".", 1)[1] for f in files} == {"gz"}
 
 
+def test_ingest_idempotent(spark, inputs, tmp_dir):
+    out = Q.ingest_idempotent(inputs)
+    assert packed(written(tmp_dir, "landing"))
+    loaded = written(tmp_dir, "ingest/raw_events")
+    assert loaded and all(f.endswith(".zstd.parquet") for f in loaded)
+    status = sorted(r.status for r in spark.read.parquet(f"{tmp_dir}/scratch/ingest/load_report").collect())
+    files = len(written(tmp_dir, "landing"))
+    assert status == ["DUPLICATE_SKIPPED"] * files + ["SUCCESS"] * files
+    assert out.count() == Q.cart_explode(inputs).count() > 0
+
+
 def test_feed_rows(spark, inputs, tmp_dir):
     out = Q.feed_rows(inputs)
     loaded = written(tmp_dir, "feeds/data")
