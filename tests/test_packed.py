@@ -14,7 +14,8 @@ from orderlake.schemas import RAW_EVENT
 from orderlake.streaming.feeds import feed_counters, ingest_feeds, read_feed, read_outcomes
 from orderlake.streaming.publish import PublishedTable
 
-ORDERS, LINES = 20, 7
+ORDERS, LINES = 20, 7  # line number 7 has an empty cart, every fourth a second item
+ITEMS = ORDERS * (LINES - 1) + ORDERS
 
 
 @pytest.fixture()
@@ -50,6 +51,13 @@ def packed(files):
     return len(files) > 0 and {f.rsplit(".", 1)[1] for f in files} == {"gz"}
 
 
+def test_event_export(spark, inputs, tmp_dir):
+    before = shuffle_files(spark)
+    out = Q.event_export(inputs)
+    assert packed(written(tmp_dir, "raw-event-export")) and shuffle_files(spark) <= before
+    assert out.count() == ORDERS * LINES and out.agg({"n_items": "sum"}).first()[0] == ITEMS
+
+
 def test_ingest_idempotent(spark, inputs, tmp_dir):
     out = Q.ingest_idempotent(inputs)
     assert packed(written(tmp_dir, "landing"))
