@@ -51,6 +51,14 @@ def packed(files):
     return len(files) > 0 and {f.rsplit(".", 1)[1] for f in files} == {"gz"}
 
 
+def test_jsonl_roundtrip(spark, inputs, tmp_dir):
+    before = shuffle_files(spark)
+    out = Q.jsonl_roundtrip(inputs)
+    assert packed(written(tmp_dir, "raw-jsonl")) and shuffle_files(spark) <= before
+    key = lambda df: sorted(map(str, df.collect()))
+    assert out.count() > 0 and key(out) == key(Q.cart_explode(inputs))
+
+
 def test_event_export(spark, inputs, tmp_dir):
     before = shuffle_files(spark)
     out = Q.event_export(inputs)
