@@ -59,6 +59,13 @@ def test_jsonl_roundtrip(spark, inputs, tmp_dir):
     assert out.count() > 0 and key(out) == key(Q.cart_explode(inputs))
 
 
+def test_normalize_record(spark, inputs, tmp_dir):
+    before = shuffle_files(spark)
+    out = Q.normalize_record_q(inputs)
+    assert packed(written(tmp_dir, "raw-normalize")) and shuffle_files(spark) <= before
+    assert out.count() == ORDERS * LINES and out.agg({"n_items": "sum"}).first()[0] == ITEMS
+
+
 def test_event_export(spark, inputs, tmp_dir):
     before = shuffle_files(spark)
     out = Q.event_export(inputs)
